@@ -1,0 +1,105 @@
+"""Text scalars as column expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: File endings and folders by which paths are classed.
+VENDORED = r"(?i)(^|/)(vendor|vendored|third_party|third-party|external|extern|deps|node_modules|site-packages)(/|$)"
+GENERATED = r"(?i)(^|/)(build|dist|generated|gen)(/|$)|\.min\.js$|_pb2\.py$|\.pb\.(h|cc)$"
+ENV_DUMP = r"(?i)(^|/)(requirements-lock|pip-freeze|conda-list|environment-lock)[^/]*\.(txt|yml|yaml)$"
+DOC_PATH = r"(?i)(^|/)(docs?|documentation|examples?|skills?)(/|$)|\.(md|rst)$"
+
+
+def path_class(path: Column) -> Column:
+    """vendored > env > generated > doc > own: the first that fits."""
+    return F.when(path.rlike(VENDORED), "vendored").when(path.rlike(ENV_DUMP), "env").when(path.rlike(GENERATED), "generated").when(path.rlike(DOC_PATH), "doc").otherwise("own")
+
+
+def own_source(path: Column) -> Column:
+    return path_class(path).isin("own", "doc")
+
+
+def distribution_name(name: Column) -> Column:
+    """Runs of - _ . as one dash, lower case; a CUDA suffix such as -cu12 goes."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(name)), "[-_.]+", "-"), "-cu[0-9]+$", "")
+
+
+def title_key(title: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(title), "[^a-z0-9 ]", " "), " +", " "))
+
+
+def normal_doi(doi: Column) -> Column:
+    """Lower case without a resolver's address or `doi:`; NULL unless it looks like 10.x/y."""
+    bare = F.regexp_replace(F.lower(F.trim(doi)), r"^(https?://(dx\.)?doi\.org/|doi:\s*)", "")
+    return F.when(bare.rlike(r"^10\.[0-9]{4,9}/\S+$"), F.regexp_replace(bare, r"[.,;]+$", ""))
+
+
+def references(text: Column) -> Column:
+    """DOIs in a text, with arXiv ids as their DOIs; distinct, sorted."""
+    dois = F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"(10\.[0-9]{4,9}/[^\s\"'<>]+)"), F.lit(1)), lambda x: F.regexp_replace(x, r"[.,;)\]]+$", ""))
+    arxiv = F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"arxiv(?::|\.org/abs/)\s*([0-9]{4}\.[0-9]{4,5})"), F.lit(1)), lambda x: F.concat(F.lit("10.48550/arxiv."), x))
+    return F.array_sort(F.array_distinct(F.concat(dois, arxiv)))
+
+
+def repository_links(text: Column, host: str = "github.com") -> Column:
+    """owner/name of links to a code host: punctuation and .git at the end go; distinct, sorted, lower case."""
+    pattern = rf"https?://(?:www\.)?{host.replace('.', '[.]')}/([a-z0-9_.-]+/[a-z0-9_.-]+)"
+    found = F.transform(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)), lambda x: F.regexp_replace(F.regexp_replace(x, r"[.,;:]+$", ""), r"\.git$", ""))
+    return F.array_sort(F.array_distinct(found))
+
+
+#: Shapes of credentials.
+SECRETS = [
+    (r"(?i)(bearer|token|basic)\s+[A-Za-z0-9._~+/=-]{8,}", "$1 [redacted]"),
+    (r"(?i)(token|secret|password|passwd|api_key|apikey|access_key)(\s*[=:]\s*)[^\s&,;]+", "$1$2[redacted]"),
+    (r"(https?://)[^\s/@:]+:[^\s/@]+@", "$1[redacted]@"),
+    (r"(https?://[^\s?]+)\?[^\s]*", "$1?[redacted]"),
+]
+
+
+def redact(text: Column, cap: int = 500) -> Column:
+    for pattern, to in SECRETS:
+        text = F.regexp_replace(text, pattern, to)
+    return F.substring(text, 1, cap)
+
+
+def csv_cell(x: Column) -> Column:
+    """A quote in front of what a spreadsheet would run as a formula."""
+    return F.when(x.rlike(r"^[\x00-\x20]*[=+\-@]"), F.concat(F.lit("'"), x)).otherwise(x)
+
+
+def token_reference(text: Column, token: str) -> Column:
+    """The token with no letter, digit or _ before it, and no letter or digit after it."""
+    return text.rlike(rf"(?<![A-Za-z0-9_])\Q{token}\E(?![A-Za-z0-9])")
+
+
+def namespace_tails(text: Column, namespace: str, most: int = 40) -> Column:
+    """Names used as `namespace.name` or `namespace::name`: distinct, sorted, the first `most`."""
+    return F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"\b{namespace}(?:\.|::)([A-Za-z_][A-Za-z0-9_]*)"), F.lit(1)))), 1, most)
+
+
+def include_of(text: Column, header: str) -> Column:
+    return text.rlike(rf"(?im)^\s*#\s*include\s*[<\"](?:[^>\"]*/)?\Q{header}\E[>\"]")
+
+
+#: How authors of commits show; (label, field, pattern).
+AGENTS = [("copilot", "author", r"(?i)\bcopilot\b"), ("cursor", "body", r"(?i)co-authored-by:\s*cursor"), ("aider", "author", r"(?i)\(aider\)"), ("devin", "email", r"(?i)devin-ai"), ("codex", "body", r"(?i)co-authored-by:\s*codex")]
+
+
+def agent_labels(author: Column, email: Column, body: Column) -> Column:
+    by = {"author": author, "email": email, "body": body}
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(by[f].rlike(p), F.lit(n)) for n, f, p in AGENTS]))))
+
+
+def fingerprint(domain: str, fields: dict[str, Column]) -> Column:
+    """SHA-256 of canonical JSON (sorted keys, nulls kept) in a domain envelope."""
+    body = F.struct(*[fields[k].alias(k) for k in sorted(fields)])
+    return F.sha2(F.to_json(F.struct(F.lit(domain).alias("domain"), body.alias("value")), {"ignoreNullFields": "false"}), 256)
+
+
+def pointer_file(text: Column) -> Column:
+    """(oid, size) of a three-line large-file pointer, NULL for anything else."""
+    strict = r"\Aversion https://[^\n]+/spec/v1\noid sha256:([0-9a-f]{64})\nsize ([0-9]+)\n?\z"
+    return F.when(text.rlike(strict), F.struct(F.regexp_extract(text, strict, 1).alias("oid"), F.regexp_extract(text, strict, 2).cast("long").alias("size")))

@@ -1,11 +1,480 @@
-"""All registered queries of the adoption operators with their SQL twins."""
+"""The adoption operators as queries on the test tables, each beside its SQL twin.
+
+Roles of the tables: events are uses (actor user_id, category event_type), orders are dated integrations, customers are
+repositories, nations libraries and regions families, lineitems evidence, documents and pages texts.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import parsers, text
+from ..functions import windows as D
+from ..operators import adoption, citations, coverage, graph, publish, relational, serve
+from ..sources.tables import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+AS_OF = "2001-08-01"
+
 
-def queries() -> dict:
-    return {}
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _day(c: str):
+    return F.to_date(c)
+
+
+def _as_of():
+    return F.lit(AS_OF).cast("date")
+
+
+_FIRST = "SELECT user_id, event_type, min(CAST(ts AS DATE)) AS first_date, arg_min(event_id, (CAST(ts AS DATE), event_id)) AS first_event FROM events GROUP BY user_id, event_type"
+
+
+@_query(_FIRST)
+def first_use(spark, sf):
+    out = adoption.first_use(table(spark, sf, "events"), ["user_id", "event_type"], _day("ts"), F.col("event_id"))
+    return out.withColumnRenamed("first_tie_0", "first_event")
+
+
+_CUM = f"""WITH f AS ({_FIRST}), c AS (SELECT event_type, first_date AS period, count(*) AS n FROM f GROUP BY 1, 2),
+s AS (SELECT min(first_date) AS a, max(first_date) AS b FROM f),
+d AS (SELECT event_type, g::DATE AS period FROM (SELECT DISTINCT event_type FROM f), (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS g FROM s))
+SELECT event_type, period, CAST(coalesce(n, 0) AS BIGINT) AS "new", CAST(sum(coalesce(n, 0)) OVER (PARTITION BY event_type ORDER BY period) AS BIGINT) AS total FROM d LEFT JOIN c USING (event_type, period)"""
+
+
+@_query(_CUM)
+def cumulative_adoption(spark, sf):
+    return adoption.cumulative(first_use(spark, sf), "event_type", "first_date", "day")
+
+
+@_query(f"SELECT event_type, list(period ORDER BY period) AS periods, list(total ORDER BY period) AS totals FROM ({_CUM}) GROUP BY event_type")
+def sparkline(spark, sf):
+    return adoption.sparkline(cumulative_adoption(spark, sf), "event_type")
+
+
+@_query("""WITH c AS (SELECT o_orderpriority, date_trunc('month', o_orderdate)::DATE AS period, count(*) AS n FROM orders GROUP BY 1, 2), s AS (SELECT min(period) a, max(period) b FROM c),
+d AS (SELECT o_orderpriority, g::DATE AS period FROM (SELECT DISTINCT o_orderpriority FROM c), (SELECT unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS g FROM s))
+SELECT o_orderpriority, period, CAST(coalesce(n, 0) AS BIGINT) AS "new", CAST(sum(coalesce(n, 0)) OVER (PARTITION BY o_orderpriority ORDER BY period) AS BIGINT) AS total FROM d LEFT JOIN c USING (o_orderpriority, period)""")
+def cumulative_monthly(spark, sf):
+    return adoption.cumulative(table(spark, sf, "orders").withColumn("d", _day("o_orderdate")), "o_orderpriority", "d", "month")
+
+
+@_query(f"""SELECT user_id, event_type, CASE WHEN event_type = 'click' AND strftime(first_date, '%Y-%m') < '2024-02' THEN NULL ELSE first_date END AS first_date,
+CASE WHEN event_type = 'click' AND strftime(first_date, '%Y-%m') < '2024-02' THEN NULL ELSE first_event END AS first_event FROM ({_FIRST})""")
+def adoption_clamped(spark, sf):
+    releases = spark.createDataFrame([("click", "2024-02")], "event_type string, released string")
+    df = first_use(spark, sf).join(F.broadcast(releases), "event_type", "left")  # a registry of one row
+    kept = D.clamp_to_release(F.col("first_date"), F.col("released"))
+    return df.select("user_id", "event_type", kept.alias("first_date"), F.when(kept.isNotNull(), F.col("first_event")).alias("first_event"))
+
+
+@_query(f"""WITH o AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, DATE '{AS_OF}' AS t FROM orders)
+SELECT p, count(*) FILTER (d > t - 90 AND d <= t) AS now_90, count(*) FILTER (d > t - 180 AND d <= t - 90) AS before_90,
+count(*) FILTER (d > t - 365 AND d <= t) AS now_365, count(*) FILTER (d > t - 730 AND d <= t - 365) AS before_365 FROM o GROUP BY p""")
+def growth_windows(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("p"), _day("o_orderdate").alias("d"))
+    return adoption.growth(o, "p", F.col("d"), _as_of(), [90, 365])
+
+
+@_query(f"""WITH o AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, DATE '{AS_OF}' AS t FROM orders),
+n AS (SELECT p, count(*) FILTER (d > t - 90 AND d <= t) AS c, count(*) FILTER (d > t - 180 AND d <= t - 90) AS b FROM o GROUP BY p)
+SELECT p, CASE WHEN b = 0 AND c = 0 THEN '±0%' WHEN b = 0 THEN 'new' ELSE (CASE WHEN floor((c - b) * 100.0 / b + 0.5) > 0 THEN '+' ELSE '' END) || CAST(CAST(floor((c - b) * 100.0 / b + 0.5) AS BIGINT) AS VARCHAR) || '%' END AS change FROM n""")
+def growth_labels(spark, sf):
+    return growth_windows(spark, sf).select("p", D.percent_change(F.col("now_90"), F.col("before_90")).alias("change"))
+
+
+@_query(f"""WITH o AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, DATE '{AS_OF}' AS t FROM orders)
+SELECT p, count(*) FILTER (d BETWEEN t - 6 AND t) AS last_7, count(*) FILTER (d BETWEEN t - 90 AND t) AS last_90, count(*) FILTER (d BETWEEN t - 180 AND t - 91) AS before_90 FROM o GROUP BY p""")
+def paper_windows(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("p"), _day("o_orderdate").alias("d"))
+    d = F.col("d")
+    return o.groupBy("p").agg(F.count_if(D.paper_current(d, _as_of(), 7)).alias("last_7"), F.count_if(D.paper_current(d, _as_of(), 90)).alias("last_90"), F.count_if(D.paper_previous(d, _as_of(), 90)).alias("before_90"))
+
+
+def _entries(spark, sf):
+    c = table(spark, sf, "customer")
+    band = F.when(F.col("c_mktsegment") == "BUILDING", "confirmed").when(F.col("c_mktsegment") == "MACHINERY", "bundled").otherwise("targeted")
+    first = table(spark, sf, "orders").groupBy("o_custkey").agg(F.min(_day("o_orderdate")).alias("first_date"))
+    return c.join(first, c["c_custkey"] == first["o_custkey"], "left").select(F.col("c_custkey").alias("repository"), F.col("c_nationkey").alias("library"), band.alias("band"), "first_date")
+
+
+_ENTRIES = """SELECT c_custkey AS repository, c_nationkey AS library, CASE WHEN c_mktsegment = 'BUILDING' THEN 'confirmed' WHEN c_mktsegment = 'MACHINERY' THEN 'bundled' ELSE 'targeted' END AS band,
+first_date FROM customer LEFT JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS first_date FROM orders GROUP BY 1) ON c_custkey = o_custkey"""
+
+
+@_query(f"""WITH e AS ({_ENTRIES}), a AS (SELECT library, count(*) FILTER (band = 'confirmed') AS k, count(*) FILTER (band = 'bundled') AS b, count(*) FILTER (band = 'targeted') AS g,
+min(first_date) FILTER (band = 'confirmed') AS first_seen, count(*) FILTER (band = 'confirmed' AND DATE '{AS_OF}' - first_date <= 30) AS t30, count(*) FILTER (band = 'confirmed' AND first_date > DATE '{AS_OF}' - 7 AND first_date <= DATE '{AS_OF}') AS n7 FROM e GROUP BY 1)
+SELECT n_name AS library, coalesce(k, 0) AS confirmed, coalesce(b, 0) AS bundled, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE coalesce(g, 0) END AS targeted,
+coalesce(k, 0) + CASE WHEN n_nationkey % 2 = 0 THEN coalesce(b, 0) ELSE 0 END AS headline, first_seen, coalesce(t30, 0) AS trending_30, coalesce(n7, 0) AS new_7 FROM nation LEFT JOIN a ON library = n_nationkey""")
+def cards(spark, sf):
+    n = table(spark, sf, "nation")
+    coverage_ = F.create_map(F.lit("targeted"), F.when(F.col("n_nationkey") % 3 == 0, "not_evaluated").otherwise("evaluated"))
+    registry = n.select(F.col("n_nationkey").alias("library"), "n_name", (F.col("n_nationkey") % 2 == 0).alias("counts_build"), coverage_.alias("coverage"))
+    out = adoption.cards(_entries(spark, sf), registry, _as_of())
+    return out.join(registry.select("library", "n_name"), "library").drop("library").withColumnRenamed("n_name", "library")
+
+
+@_query("SELECT count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, count(*) AS n, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_suppkey END) AS returned FROM lineitem")
+def portfolio_totals(spark, sf):
+    rows = table(spark, sf, "lineitem")
+    return rows.agg(F.countDistinct("l_suppkey").alias("suppliers"), F.countDistinct("l_partkey").alias("parts"), F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("l_returnflag") == "R", F.col("l_suppkey"))).alias("returned"))
+
+
+@_query("""WITH e AS (SELECT l_suppkey AS repository, p_brand AS library, substr(p_brand, 1, length(p_brand) - 1) || '1' AS parent, min(CAST(l_shipdate AS DATE)) AS d FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)
+SELECT repository, parent, min(d) AS first_date, arg_min(library, (d, library <> parent, library)) AS first_library, list_sort(list(library) FILTER (library <> parent)) AS components, bool_or(library = parent) AS has_parent FROM e GROUP BY 1, 2""")
+def family_rollup(spark, sf):
+    parts = table(spark, sf, "part")
+    rows = table(spark, sf, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    entries = rows.groupBy(F.col("l_suppkey").alias("repository"), F.col("p_brand").alias("library")).agg(F.min(_day("l_shipdate")).alias("first_date"))
+    parents = parts.select(F.col("p_brand").alias("library")).distinct().withColumn("parent", F.expr("concat(substr(library, 1, length(library) - 1), '1')"))
+    out = adoption.family_rollup(entries, parents)
+    return out.withColumn("components", F.when(F.size("components") > 0, F.col("components")))
+
+
+@_query("""WITH c AS (SELECT n_regionkey AS parent, count(c_custkey) AS n, true AS ok FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal >= 0 GROUP BY n_nationkey, n_regionkey),
+r AS (SELECT n_regionkey AS parent, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 GROUP BY 1)
+SELECT parent, CAST(sum(c.n) AS BIGINT) AS children, coalesce(any_value(r.n), 0) AS residual, CASE WHEN parent <> 2 THEN CAST(sum(c.n) AS BIGINT) + coalesce(any_value(r.n), 0) END AS total FROM c LEFT JOIN r USING (parent) GROUP BY parent""")
+def additive_rollup(spark, sf):
+    n, c = table(spark, sf, "nation"), table(spark, sf, "customer")
+    own = n.join(c.where("c_acctbal >= 0"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    children = own.groupBy("n_nationkey", F.col("n_regionkey").alias("parent")).agg(F.count("c_custkey").alias("n")).withColumn("ok", F.col("parent") != 2)
+    residual = c.where("c_acctbal < 0").join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_regionkey").alias("parent")).agg(F.count(F.lit(1)).alias("n"))
+    return adoption.additive_rollup(children, residual, F.col("ok"))
+
+
+@_query("""WITH e AS (SELECT c_custkey AS repository, c_mktsegment AS seg, c_acctbal > 0 AS conf FROM customer)
+SELECT repository, CASE seg WHEN 'BUILDING' THEN 'child-b' ELSE 'child-m' END AS library, CASE WHEN conf THEN 'confirmed' ELSE 'targeted' END AS band, CASE WHEN seg = 'BUILDING' THEN DATE '1995-06-01' END AS first_date FROM e WHERE seg IN ('BUILDING', 'MACHINERY')""")
+def component_projection(spark, sf):
+    c = table(spark, sf, "customer")
+    confirmed = F.col("c_acctbal") > 0
+    entries = c.select(
+        F.col("c_custkey").alias("repository"), F.lit("family").alias("library"), F.when(confirmed, "confirmed").otherwise("targeted").alias("band"), F.lit("1995-06-01").cast("date").alias("first_date"),
+        F.when(confirmed, F.create_map("c_mktsegment", F.lit(1))).otherwise(F.create_map().cast("map<string,int>")).alias("detail"), F.array("c_mktsegment").alias("operators"),
+    )
+    registry = spark.createDataFrame([("family", "BUILDING", "child-b", "1995-06"), ("family", "MACHINERY", "child-m", "1996-01")], "library string, label string, child string, released string")
+    return adoption.component_children(entries, registry)
+
+
+@_query("""SELECT c_name, n_name, o_orderkey, sum(l_quantity) AS quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey < 3
+WHERE o_orderstatus = 'F' GROUP BY 1, 2, 3""")
+def materialize_join(spark, sf):
+    o = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    rows = o.join(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey", "o_custkey").agg(F.sum("l_quantity").alias("quantity"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = table(spark, sf, "nation").where("n_regionkey < 3")
+    return rows.join(c, F.col("c_custkey") == F.col("o_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("c_name", "n_name", "o_orderkey", "quantity")
+
+
+@_query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O')")
+def nonreusable(spark, sf):
+    done = table(spark, sf, "orders").where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("c_custkey"))
+    return relational.without(table(spark, sf, "customer"), done, ["c_custkey"]).select("c_custkey")
+
+
+@_query("""SELECT c_custkey AS repository FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)
+AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag <> 'R'))""")
+def analysis_only(spark, sf):
+    candidates = table(spark, sf, "orders").select(F.col("o_custkey").alias("repository"), F.col("o_orderkey").alias("library"))
+    live = table(spark, sf, "lineitem").where("l_returnflag <> 'R'").select(F.col("l_orderkey").alias("library")).distinct()
+    results = candidates.join(live, "library")
+    return relational.analysis_only(table(spark, sf, "customer").select(F.col("c_custkey").alias("repository")), candidates, results)
+
+
+@_query("SELECT s_suppkey, s_name FROM supplier WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity > 49)")
+def semi_retention(spark, sf):
+    live = table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"))
+    return relational.within(table(spark, sf, "supplier"), live, ["s_suppkey"]).select("s_suppkey", "s_name")
+
+
+@_query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
+def latest_per_key(spark, sf):
+    return relational.latest_one(table(spark, sf, "events"), ["user_id", "event_type"], F.struct("ts", "event_id"), ["event_id", "value"])
+
+
+@_query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n <= 3")
+def keep_top_k(spark, sf):
+    return relational.latest(table(spark, sf, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")], 3).select("user_id", "event_id")
+
+
+@_query("""WITH r AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS node_id, upper(c_name) AS name FROM customer), k AS (SELECT c_custkey AS node_id, c_name AS name FROM customer WHERE c_custkey % 3 <> 0)
+SELECT r.node_id, r.name, coalesce(a.node_id, b.node_id) AS resolved, CASE WHEN a.node_id IS NOT NULL THEN 'id' WHEN b.node_id IS NOT NULL THEN 'name' ELSE 'none' END AS how
+FROM r LEFT JOIN k a ON a.node_id = r.node_id LEFT JOIN (SELECT lower(name) AS name, min(node_id) AS node_id FROM k GROUP BY 1 HAVING count(DISTINCT node_id) = 1) b ON b.name = lower(r.name)""")
+def identity_coalesce(spark, sf):
+    c = table(spark, sf, "customer")
+    rows = c.select(F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).alias("node_id"), F.upper("c_name").alias("name"))
+    return relational.resolve_identity(rows, c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("node_id"), F.col("c_name").alias("name")))
+
+
+@_query("""WITH n AS (SELECT o_custkey AS k, max(CAST(o_orderdate AS DATE)) AS d FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' GROUP BY 1), o AS (SELECT o_custkey AS k, max(CAST(o_orderdate AS DATE)) AS d FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1)
+SELECT k, d, false AS stale FROM n UNION ALL SELECT k, d, true FROM o WHERE k NOT IN (SELECT k FROM n)""")
+def carry_forward(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), _day("o_orderdate").alias("d"))
+    new, old = (x.groupBy("k").agg(F.max("d").alias("d")) for x in (o.where("d >= DATE '2000-01-01'"), o.where("d < DATE '2000-01-01'")))
+    return relational.carry_forward(old, new, ["k"])
+
+
+def _cut(spark, sf, test):
+    return table(spark, sf, "orders").where(test).groupBy(F.col("o_orderpriority").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("""WITH a AS (SELECT o_orderpriority AS p, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01' AND o_orderpriority <> '1-URGENT' GROUP BY 1)
+SELECT p, a.n - coalesce(b.n, 0) AS delta FROM a LEFT JOIN b USING (p)""")
+def release_delta(spark, sf):
+    return relational.delta(_cut(spark, sf, "true"), _cut(spark, sf, "o_orderdate < TIMESTAMP_NTZ '1999-01-01' AND o_orderpriority <> '1-URGENT'"), "p")
+
+
+@_query("SELECT o_orderpriority AS p, count(*) FILTER (CAST(o_orderdate AS DATE) > DATE '2000-06-01') AS delta FROM orders GROUP BY 1")
+def snapshot_delta(spark, sf):
+    return table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("p")).agg(F.count_if(_day("o_orderdate") > F.lit("2000-06-01").cast("date")).alias("delta"))
+
+
+@_query("""WITH m AS (SELECT strftime(o_orderdate, '%m') AS m, year(o_orderdate) AS y FROM orders), a AS (SELECT m, count(*) AS n FROM m WHERE y = 1999 GROUP BY 1), b AS (SELECT m, count(*) AS n FROM m WHERE y = 2001 GROUP BY 1),
+f AS (SELECT m, coalesce(a.n, 0) AS old_n, coalesce(b.n, 0) AS new_n FROM a FULL JOIN b USING (m)), g AS (SELECT *, CAST(greatest(10, ceil(greatest(old_n, 1) * 0.15)) AS BIGINT) AS allowed FROM f) SELECT *, abs(new_n - old_n) >= allowed AS failed FROM g""")
+def anomaly_gate(spark, sf):
+    o = table(spark, sf, "orders").select(F.date_format("o_orderdate", "MM").alias("m"), F.year("o_orderdate").alias("y"))
+    old, new = (o.where(f"y = {y}").groupBy("m").agg(F.count(F.lit(1)).alias("n")) for y in (1999, 2001))
+    return relational.anomalies(old, new, "m")
+
+
+@_query("""WITH a AS (SELECT p_brand AS library, sha256(CAST(count(*) AS VARCHAR)) AS scan, sha256(CAST(max(p_size) AS VARCHAR)) AS dating FROM part WHERE p_partkey % 2 = 0 AND p_brand < 'Brand#5' GROUP BY 1), b AS (SELECT p_brand AS library, sha256(CAST(count(*) AS VARCHAR)) AS scan, sha256(CAST(max(p_size) AS VARCHAR)) AS dating FROM part WHERE p_partkey % 2 = 1 AND p_brand > 'Brand#12' GROUP BY 1)
+SELECT library, CASE WHEN a.scan IS NULL THEN 'added' WHEN b.scan IS NULL THEN 'removed' ELSE 'common' END AS state, concat_ws(',', CASE WHEN a.scan <> b.scan THEN 'scan' END, CASE WHEN a.dating <> b.dating THEN 'dating' END) AS changed FROM a FULL JOIN b USING (library)""")
+def invalidation_plan(spark, sf):
+    def prints(test):
+        return table(spark, sf, "part").where(test).groupBy(F.col("p_brand").alias("library")).agg(F.sha2(F.count(F.lit(1)).cast("string"), 256).alias("scan"), F.sha2(F.max("p_size").cast("string"), 256).alias("dating"))
+
+    return relational.invalidation(prints("p_partkey % 2 = 0 AND p_brand < 'Brand#5'"), prints("p_partkey % 2 = 1 AND p_brand > 'Brand#12'"), "library", ["scan", "dating"])
+
+
+@_query("""WITH n AS (SELECT user_id, max(value) AS value FROM events WHERE event_id % 2 = 1 GROUP BY 1), o AS (SELECT user_id, max(value) AS value FROM events WHERE event_id % 2 = 0 GROUP BY 1)
+SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n)""")
+def upsert_latest(spark, sf):
+    e = table(spark, sf, "events")
+    old, new = (e.where(f"event_id % 2 = {k}").groupBy("user_id").agg(F.max("value").alias("value")) for k in (0, 1))
+    return relational.upsert(old, new, ["user_id"])
+
+
+@_query("""WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT CASE WHEN k IS NULL OR k % 10 = 0 THEN 'drop-private' WHEN k % 10 = 1 THEN 'drop-gone' WHEN k % 10 = 2 THEN 'drop-fork' WHEN k % 10 = 3 OR k <> k // 2 * 2 THEN 'rescan' WHEN k % 10 = 4 THEN 'skip-reject' ELSE 'reuse' END AS decision, count(*) AS n FROM e GROUP BY 1""")
+def ledger_decision(spark, sf):
+    k = F.get_json_object("props", "$.k").cast("long")
+    e = table(spark, sf, "events").withColumn("k", k)
+    m = F.col("k") % 10
+    cached = F.when(m != 3, F.floor(F.col("k") / 2) * 2)
+    decision = relational.ledger_decision(m == 0, m == 1, m == 2, cached, F.col("k"), m == 4)
+    return e.select(decision.alias("decision")).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("""WITH e AS (SELECT event_type, event_id % 7 AS node, CASE WHEN event_id % 5 <> 0 THEN value END AS v, event_id, CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 END AS cur, ts FROM events)
+SELECT event_type AS lane, CAST(node AS VARCHAR) AS node_id, arg_max(v, (ts, cur, event_id)) FILTER (v IS NOT NULL) AS value, max(ts) AS observed_at, CAST(count(DISTINCT event_id % 2) AS BIGINT) AS n_aliases FROM e GROUP BY 1, 2""")
+def durable_union(spark, sf):
+    e = table(spark, sf, "events").where("ts IS NOT NULL")
+    one = e.select(F.col("event_type").alias("lane"), (F.col("event_id") % 7).cast("string").alias("node_id"), F.concat(F.lit("Name-"), (F.col("event_id") % 7).cast("string"), F.lit("-"), (F.col("event_id") % 2).cast("string")).alias("name"), F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"), F.col("ts").alias("observed_at"), "event_id")
+    old, new = (one.where(f"event_id % 2 = {k}").drop("event_id") for k in (0, 1))
+    out = coverage.durable_union(old, new, ["lane"], ["value"])
+    return out.select("lane", "node_id", "value", "observed_at", F.size("aliases").cast("long").alias("n_aliases"))
+
+
+@_query("""SELECT event_type AS library, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS source, bool_and(value > 1) AS complete, CAST(sum(user_id) AS BIGINT) AS observations, max(value) AS max_lag, min(ts) AS first_started, max(ts) AS last_completed, bool_or(value > 99) AS any_stale FROM events GROUP BY 1, 2""")
+def coverage_stats(spark, sf):
+    e = table(spark, sf, "events")
+    return coverage.stats(e.select(F.col("event_type").alias("library"), F.when(F.col("user_id") % 2 == 0, "a").otherwise("b").alias("source"), (F.col("value") > 1).alias("complete"), F.col("user_id").alias("observations"), F.col("value").alias("lag"), F.col("ts").alias("started_at"), F.col("ts").alias("completed_at"), (F.col("value") > 99).alias("stale")))
+
+
+@_query("""WITH l AS (SELECT event_type AS source, arg_max(user_id % 2 = 0, (ts, event_id)) AS complete, max(ts) AS "at" FROM events GROUP BY 1) SELECT source, complete, "at", complete AND date_diff('day', CAST("at" AS DATE), DATE '2024-02-10') BETWEEN 0 AND 28 AS fresh FROM l""")
+def epoch_check(spark, sf):
+    e = table(spark, sf, "events")
+    last = relational.latest_one(e.withColumn("complete", F.col("user_id") % 2 == 0).withColumn("source", F.col("event_type")), ["source"], F.struct("ts", "event_id"), ["complete", "ts"])
+    return coverage.epochs(last.select("source", "complete", F.col("ts").alias("completed_at"), F.col("ts").alias("started_at")), F.lit("2024-02-10").cast("date"))
+
+
+@_query("""SELECT p_brand AS lane, d AS last FROM (SELECT DISTINCT p_brand FROM part) LEFT JOIN (SELECT 'Brand#' || CAST(11 + user_id % 40 AS VARCHAR) AS p_brand, max(CAST(ts AS DATE)) AS d FROM events WHERE value > 95 GROUP BY 1) USING (p_brand) WHERE d IS NULL OR date_diff('day', d, DATE '2024-02-15') >= 21""")
+def due_lanes(spark, sf):
+    expected = table(spark, sf, "part").select(F.col("p_brand").alias("lane")).distinct()
+    done = table(spark, sf, "events").where("value > 95").select(F.concat(F.lit("Brand#"), (11 + F.col("user_id") % 40).cast("string")).alias("lane"), _day("ts").alias("completed_at"))
+    return coverage.due(expected, done, F.lit("2024-02-15").cast("date"))
+
+
+@_query("SELECT event_id FROM events WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1) WHERE n < 10)")
+def quarantine_gate(spark, sf):
+    e = table(spark, sf, "events")
+    lanes = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("event_type").alias("lane"), F.lit(True).alias("required"), (F.col("n") >= 10).alias("complete"))
+    return coverage.quarantine(e.select("event_id"), lanes)
+
+
+@_query("""SELECT doc_id, CASE WHEN contains(lower(text), 'license') THEN 'confirmed' WHEN contains(text, '|') THEN 'bundled' WHEN regexp_matches(text, '[0-9]') THEN 'targeted' ELSE 'rejected' END AS band FROM documents""")
+def band_precedence(spark, sf):
+    t = F.col("text")
+    return table(spark, sf, "documents").select("doc_id", relational.band(F.lower(t).contains("license"), t.contains("|"), t.rlike("[0-9]")).alias("band"))
+
+
+@_query("""SELECT conv_id, role, count(*) AS n FROM conversations WHERE regexp_matches(text, '(?i)the') GROUP BY 1, 2""")
+def agent_counts(spark, sf):
+    turns = table(spark, sf, "conversations").where(F.col("text").rlike("(?i)the"))
+    return turns.groupBy("conv_id", "role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("""SELECT page_id, list_sort(list_distinct(list_transform(regexp_extract_all(lower(html), 'https?://([a-z0-9.-]+)', 1), lambda x: x))) AS hosts FROM pages""")
+def url_links(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("html"), F.lit("https?://([a-z0-9.-]+)"), F.lit(1)))).alias("hosts"))
+
+
+@_query(r"""SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?i)(bearer|token|basic)\s+[A-Za-z0-9._~+/=-]{8,}', '\1 [redacted]', 'g'), '(?i)(token|secret|password|passwd|api_key|apikey|access_key)(\s*[=:]\s*)[^\s&,;]+', '\1\2[redacted]', 'g'), '(https?://)[^\s/@:]+:[^\s/@]+@', '\1[redacted]@', 'g'), '(https?://[^\s?]+)\?[^\s]*', '\1?[redacted]', 'g'), 1, 500) AS text FROM documents""")
+def redact(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.redact(F.col("text")).alias("text"))
+
+
+@_query("""WITH p AS (SELECT item_id, trim(regexp_replace(regexp_replace(lower(substr(text, 1, 40)), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS key FROM benchmark) SELECT key, min(item_id) AS item_id, count(*) AS n FROM p GROUP BY key""")
+def title_key_dedup(spark, sf):
+    b = table(spark, sf, "benchmark").select("item_id", text.title_key(F.substring("text", 1, 40)).alias("key"))
+    return b.groupBy("key").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n"))
+
+
+@_query("""SELECT doc_id AS name, doc_id = max(doc_id) OVER (PARTITION BY text) AS kept FROM documents WHERE text IS NOT NULL""")
+def mirror_groups(spark, sf):
+    d = table(spark, sf, "documents").where("text IS NOT NULL")
+    rows = d.select(F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("name"), F.array(F.sha2("text", 256)).alias("commits"), F.sha2("text", 256).alias("signature"), F.lit(0).alias("stars"), F.lit(0).alias("n_commits"))
+    return graph.mirror_groups(rows).select(F.col("name").cast("long").alias("name"), "kept")
+
+
+@_query("""SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '([A-Za-z]{9,})', 1)))[1:25] AS operators FROM documents""")
+def operators_topk(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Za-z]{9,})"), F.lit(1)))), 1, 25).alias("operators"))
+
+
+@_query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE contains(lower(p_name), 'a') ORDER BY p_retailprice DESC NULLS LAST, p_partkey LIMIT 200 OFFSET 200")
+def search_page(spark, sf):
+    found = serve.search(table(spark, sf, "part"), "A", "p_name")
+    return serve.page(found.select("p_partkey", "p_name", "p_retailprice"), [serve.by_value("p_retailprice", True), F.col("p_partkey")], 200, 1)
+
+
+@_query("""SELECT event_type AS stage, CASE WHEN user_id % 3 = 0 THEN '_shared' ELSE CAST(user_id % 3 AS VARCHAR) END AS library, count(*) AS attempts, count(*) FILTER (value > 50) AS exact_attempts, CASE WHEN bool_and(value > 50) THEN sum(value) END AS usage FROM events GROUP BY 1, 2""")
+def runtime_inventory(spark, sf):
+    e = table(spark, sf, "events").withColumn("library", F.coalesce(F.when(F.col("user_id") % 3 != 0, (F.col("user_id") % 3).cast("string")), F.lit("_shared")))
+    known = F.col("value") > 50
+    return e.groupBy(F.col("event_type").alias("stage"), "library").agg(F.count(F.lit(1)).alias("attempts"), F.count_if(known).alias("exact_attempts"), F.when(F.every(known), F.sum("value")).alias("usage"))
+
+
+@_query("""WITH o AS (SELECT l_orderkey, sum(l_quantity) AS s FROM lineitem GROUP BY 1), t AS (SELECT s FROM o ORDER BY s DESC LIMIT 10) SELECT (SELECT quantile_cont(s, 0.5) FROM o) AS median_size, (SELECT sum(s) FROM t) AS largest, (SELECT sum(s) FROM t) + ((SELECT count(*) FROM o) - 10) * (SELECT quantile_cont(s, 0.5) FROM o) AS estimate""")
+def plan_estimate(spark, sf):
+    o = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("s"))
+    top = o.orderBy(F.desc("s")).limit(10).agg(F.sum("s").alias("largest"))
+    one = o.agg(F.percentile("s", 0.5).alias("median_size"), F.count(F.lit(1)).alias("n"))
+    return one.crossJoin(F.broadcast(top)).select("median_size", "largest", (F.col("largest") + (F.col("n") - 10) * F.col("median_size")).alias("estimate"))  # one row each
+
+
+@_query("SELECT source, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 1")
+def repo_peel(spark, sf):
+    return relational.peel(table(spark, sf, "documents"), "source")
+
+
+@_query("""WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS token FROM part), c AS (SELECT token, count(DISTINCT p_partkey) AS n FROM t GROUP BY 1), k AS (SELECT count(DISTINCT p_partkey) AS total FROM t)
+SELECT token, n FROM c, k WHERE n < total ORDER BY abs(n * 2 - total), token LIMIT 1""")
+def tie_token(spark, sf):
+    tokens = table(spark, sf, "part").select("p_partkey", F.explode(F.split(F.lower("p_name"), " ")).alias("token"))
+    return relational.split_token(tokens, "p_partkey", "token")
+
+
+@_query("""SELECT c_custkey, CASE WHEN regexp_matches(CAST(c_custkey * (CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE 1 END) AS VARCHAR), '^[\\x00-\\x20]*[=+\\-@]') THEN '''' || CAST(-c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END || ',' || c_name AS line FROM customer""")
+def csv_neutralised(spark, sf):
+    signed = F.col("c_custkey") * F.when(F.col("c_custkey") % 3 == 0, -1).otherwise(1)
+    return table(spark, sf, "customer").select("c_custkey", publish.csv_line(signed, F.col("c_name")).alias("line"))
+
+
+@_query("""SELECT c_custkey, '{"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","c_nationkey":' || CAST(c_nationkey AS VARCHAR) || '}' AS line FROM customer""")
+def export_rows(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", publish.json_line("c_name", "c_mktsegment", "c_nationkey").alias("line"))
+
+
+@_query()
+def shard_packing(spark, sf):
+    rows = table(spark, sf, "customer").select("c_nationkey", F.lower("c_name").alias("k"), publish.json_line("c_custkey", "c_name").alias("line"))
+    return publish.pack_rows(rows, "c_nationkey", ["k"], "line", 2000)
+
+
+@_query("SELECT 'unique' AS rule, event_type || '|' || CAST(user_id AS VARCHAR) AS key, CAST(count(*) AS VARCHAR) AS detail FROM events GROUP BY event_type, user_id HAVING count(*) > 1")
+def validate_unique(spark, sf):
+    return publish.duplicates(table(spark, sf, "events"), ["event_type", "user_id"])
+
+
+@_query("SELECT event_id FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before > ts")
+def validate_order(spark, sf):
+    w = W.partitionBy("user_id").orderBy("event_id")
+    return table(spark, sf, "events").withColumn("_b", F.lag("ts").over(w)).where("_b > ts").select("event_id")
+
+
+@_query("""WITH s AS (SELECT l_orderkey AS o, count(*) AS s FROM lineitem GROUP BY 1), t AS (SELECT o_orderkey AS o, 4 AS t FROM orders)
+SELECT 'reconcile' AS rule, CAST(o AS VARCHAR) AS key, concat_ws('<>', CAST(s AS VARCHAR), CAST(t AS VARCHAR)) AS detail FROM s FULL JOIN t USING (o) WHERE s IS DISTINCT FROM t""")
+def validate_reconcile(spark, sf):
+    parts = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o"), F.lit(1).cast("long").alias("n"))
+    return adoption.reconcile(parts, table(spark, sf, "orders").select(F.col("o_orderkey").alias("o"), F.lit(4).cast("long").alias("n")), "o")
+
+
+@_query("SELECT 'membership' AS rule, CAST(s_suppkey AS VARCHAR) AS key, 'left' AS detail FROM supplier WHERE s_suppkey % 10 = 0")
+def validate_membership(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey")
+    return publish.same_rows(s, s.where("s_suppkey % 10 <> 0")).withColumn("key", F.get_json_object("key", "$.s_suppkey"))
+
+
+@_query("""WITH p AS (SELECT page_id, trim(regexp_replace(regexp_replace(lower(url), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS key, length(html) AS cited FROM pages) SELECT key, arg_min(CAST(page_id AS VARCHAR), (-cited, CAST(page_id AS VARCHAR))) AS work_id, CAST(max(cited) AS BIGINT) AS cited_by, count(*) AS n FROM p GROUP BY key""")
+def paper_merge(spark, sf):
+    p = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("work_id"), F.lit(None).cast("string").alias("doi"), F.col("url").alias("title"), F.length("html").cast("long").alias("cited_by"), F.array("url").alias("repos"))
+    return citations.merge_papers(p).select(text.title_key(F.col("title")).alias("key"), "work_id", "cited_by", "n")
+
+
+@_query("""SELECT l_suppkey AS g, sum(l_quantity) AS kept, count(*) AS n FROM (SELECT *, sum(l_quantity) OVER (PARTITION BY l_suppkey) - coalesce(sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM lineitem) WHERE rest > 5000 GROUP BY 1""")
+def cache_eviction(spark, sf):
+    order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber")]
+    gone = relational.evict(table(spark, sf, "lineitem"), order, "l_quantity", 5000, F.col("l_suppkey"))
+    return gone.groupBy(F.col("l_suppkey").alias("g")).agg(F.sum("l_quantity").alias("kept"), F.count(F.lit(1)).alias("n"))
+
+
+@_query()
+def path_classes(spark, sf):
+    fixed = spark.createDataFrame([("src/a.py",), ("vendor/x/a.c",), ("build/a.js",), ("docs/a.md",), ("a_pb2.py",)], "path string")
+    return fixed.select("path", text.path_class(F.col("path")).alias("kind"), text.own_source(F.col("path")).alias("own"))
+
+
+@_query()
+def imports(spark, sf):
+    fixed = spark.createDataFrame([("import a.b\nfrom c import d\n__import__('e')",), ("from x.y import z\nprint 'old'",), (None,)], "code string")
+    return fixed.select(parsers.python_imports(F.col("code")).alias("modules"))
+
+
+@_query()
+def manifest_names(spark, sf):
+    fixed = spark.createDataFrame([("requirements.txt", "Foo_Bar>=1\n# no\nbaz[x]==2"), ("pyproject.toml", '[project]\ndependencies = ["a.b>1"]'), ("setup.py", "setup(install_requires=['q>1'])"), ("pyproject.toml", "[broken")], "path string, text string")
+    return fixed.select("path", parsers.manifest_distributions(F.col("path"), F.col("text")).alias("names"))
+
+
+@_query()
+def strip_comments(spark, sf):
+    fixed = spark.createDataFrame([('int a; // b\nchar *s = "/* no */"; /* x\ny */ int c;',)], "code string")
+    return fixed.select(parsers.strip_comments(F.col("code")).alias("code"))
+
+
+@_query()
+def notebook_text(spark, sf):
+    fixed = spark.createDataFrame([('{"cells": [{"cell_type": "code", "source": ["a\\n", "b"]}, {"cell_type": "markdown", "source": "no"},]}',), ("{",)], "raw string")
+    return fixed.select(parsers.notebook_code(F.col("raw")).alias("code"))
