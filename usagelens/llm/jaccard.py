@@ -101,6 +101,19 @@ def _may_link(n1, at1, n2, at2, t: float):
     return (np.minimum(n1, n2) * 100 >= round(t * 100) * np.maximum(n1, n2)) & (np.minimum(n1 - at1, n2 - at2) >= _needed(n1, n2, t))
 
 
+BITS = 2048
+
+
+def parity(s: np.ndarray) -> bytes:
+    """Parities of hashed tokens: two sets differ by at least as many tokens as their parities do by bits."""
+    return np.packbits((np.bincount((s >> np.uint64(40)) % np.uint64(BITS), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def _may_differ(n1, n2, t: float):
+    """Most tokens that linked sets of these sizes differ by."""
+    return n1 + n2 - 2 * _needed(n1, n2, t)
+
+
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
     """Whole batches of rows sorted by token; a token's rows may go on in the next one."""
     for batch in batches:
@@ -153,13 +166,27 @@ def _groups(batches: Iterable[pa.RecordBatch], by: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _hopeful(t: float):
+def _by_parity(t: float):
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(a), -1) for i in (4, 5))
+            ok = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= _may_differ(na, nb, t)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
+
+    return keep
+
+
+def _hopeful(t: float, parities: bool = False):
     """Members of a block pair that the filters leave a partner in another component."""
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 3):
             n, at, root = (group[c].to_numpy() for c in ("n", "at", "root"))
             may = _may_link(n[:, None], at[:, None], n[None, :], at[None, :], t) & (root[:, None] != root[None, :])
+            if parities:
+                x = np.unpackbits(np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint8).reshape(len(n), -1), axis=1).astype(np.float32) * 2 - 1
+                may &= (BITS - x @ x.T) / 2 <= _may_differ(n[:, None], n[None, :], t)
             rows = may.any(axis=1)
             if rows.any():
                 yield from group.filter(pa.array(rows)).to_batches()
@@ -221,18 +248,19 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, key, group, prefix = [], [], [], []
+            size, key, group, prefix, bits = [], [], [], [], []
             for s in all_shingles(batch.column(1), n):
                 head = _ordered(s, common.value)[: _prefix(len(s), t)].tobytes() if len(s) else None
                 size.append(len(s))
                 key.append(set_key(s))
                 group.append(xxhash.xxh3_64_intdigest(head, seed=len(s)) - (1 << 63) if head else None)
                 prefix.append(head)
+                bits.append(parity(s))
             cols = [pa.array(c, pa.int64()) for c in (size, key, group)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols, pa.array(prefix, pa.binary())], ["doc_id", "n_shingles", "key", "g", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols, pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n_shingles", "key", "g", "prefix", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(prefixes, f"doc_id {kind}, n_shingles long, key long, g long, prefix binary"), "prefixes")
+    rows = staged(docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(prefixes, f"doc_id {kind}, n_shingles long, key long, g long, prefix binary, bits binary"), "prefixes")
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,23 +287,29 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
     within = members.join(several, "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"))
     lists = staged(lists.join(members.select("g", "key"), "g").select("token", "key", "n", "at").union(within), "postings")
     sorted_ = lists.repartition("token").sortWithinPartitions("token", "n", "key")
-    pairs = staged(sorted_.mapInArrow(_first_pairs(t), "a long, b long").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).union(lists.select("key")).distinct()
-    active = spark.sparkContext.broadcast(KeyFilter.of(wanted, "key"))  # of a fixed size
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen, key, tokens = set(), [], []
-            found = list(all_shingles(batch.column(0), n))
-            keys = np.array([set_key(s) for s in found], np.int64)
-            for k, s, wanted in zip(keys.tolist(), found, active.value.has(keys).tolist(), strict=True):
-                if wanted and len(s) and k not in seen:
-                    seen.add(k)
-                    key.append(k)
-                    tokens.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(tokens, pa.binary())], ["key", "tokens"])
-
-    whole = staged(docs.select(F.col("text").cast("binary")).mapInArrow(sets, "key long, tokens binary").dropDuplicates(["key"]), "sets")
+    pairs = sorted_.mapInArrow(_first_pairs(t), "a long, b long").distinct()
+    # parities leave out what can't link before any set is sent
+    bits = staged(rows.where("g IS NOT NULL").select("key", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["key"]), "bits")
+    named = lambda k: bits.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+    pairs = staged(pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(_by_parity(t), "a long, b long"), "pairs")
+
+    def whole(keys: DataFrame) -> DataFrame:
+        """(key, tokens) of these classes, read from the texts again."""
+        active = spark.sparkContext.broadcast(KeyFilter.of(keys, "key"))  # of a fixed size
+
+        def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen, key, tokens = set(), [], []
+                found = list(all_shingles(batch.column(0), n))
+                own = np.array([set_key(s) for s in found], np.int64)
+                for k, s, wanted in zip(own.tolist(), found, active.value.has(own).tolist(), strict=True):
+                    if wanted and len(s) and k not in seen:
+                        seen.add(k)
+                        key.append(k)
+                        tokens.append(s.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(tokens, pa.binary())], ["key", "tokens"])
+
+        return staged(docs.select(F.col("text").cast("binary")).mapInArrow(sets, "key long, tokens binary").dropDuplicates(["key"]), "sets")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,7 +319,8 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
                 ok.append(bool(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), t)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    one, other = whole.select(F.col("key").alias("a"), F.col("tokens").alias("x")), whole.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
+    sets = whole(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
+    one, other = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
     links = staged(pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
     roots = staged(components(links), "roots")
     # lists of three classes or more that still hold several components
@@ -299,7 +334,9 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
     block = ["token", "lo", "hi"]
     met = spread.select(*block, "key", "n", "at", "root").repartition(*block).sortWithinPartitions(*block)
     spread = staged(met.mapInArrow(_hopeful(t), "token long, lo long, hi long, key long, n long, at long, root long"), "open")
-    met = spread.join(whole, "key").select(*block, "key", "n", "root", "tokens").repartition(*block).sortWithinPartitions(*block)
+    met = spread.join(bits.select("key", "bits"), "key").select(*block, "key", "n", "at", "root", "bits").repartition(*block).sortWithinPartitions(*block)
+    spread = staged(met.mapInArrow(_hopeful(t, True), "token long, lo long, hi long, key long, n long, at long, root long, bits binary"), "open").drop("bits")
+    met = spread.join(whole(spread.select("key").distinct()), "key").select(*block, "key", "n", "root", "tokens").repartition(*block).sortWithinPartitions(*block)
     more = met.mapInArrow(_block_links(t), "a long, b long")
     links = links.union(more)
     return rows.select("doc_id", "n_shingles", "key"), components(links)

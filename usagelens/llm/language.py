@@ -110,12 +110,15 @@ class Codes:
 def sample(docs: DataFrame, per_language: int, usable: Column) -> DataFrame:
     """About `per_language` rows of each language, or all it has: those of the least hashes. Languages are counted over all rows."""
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language: the model's classes
+    if not counts:
+        return rows.select("lang", "text")
+    n = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], r["n"])]), F.col("lang"))
     share = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(counts, "lang").where(share * F.col("_n") < per_language).select("lang", "text")
+    return rows.where(share * n < per_language).select("lang", "text")
 
 
-def fit(docs: DataFrame, usable: Column, per_language: int = 1000, bits: int = 12) -> Codes:
+def fit(docs: DataFrame, usable: Column, per_language: int = 700, bits: int = 12) -> Codes:
     """A model from a sample bounded by per_language (a half more is the most that is used); features come to the driver, texts don't."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
