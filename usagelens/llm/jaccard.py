@@ -187,7 +187,18 @@ def _hopeful(t: float, parities: bool = False):
             if parities:
                 x = np.unpackbits(np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint8).reshape(len(n), -1), axis=1).astype(np.float32) * 2 - 1
                 may &= (BITS - x @ x.T) / 2 <= _may_differ(n[:, None], n[None, :], t)
+            i, j = np.nonzero(np.triu(may, 1))
+            if parities and len(i) <= 4 * len(n):
+                # few pairs: as pairs, so that one that meets in many lists is verified once; never more than in proportion to the rows
+                key = group["key"].to_numpy()
+                none = pa.nulls(len(i), pa.int64())
+                cols = {"token": none, "lo": none, "hi": none, "key": pa.array(np.minimum(key[i], key[j])), "n": none, "root": none, "other": pa.array(np.maximum(key[i], key[j]))}
+                if len(i):
+                    yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+                continue
             rows = may.any(axis=1)
+            if parities:
+                group = group.select(["token", "lo", "hi", "key", "n", "root"]).append_column("other", pa.nulls(len(n), pa.int64()))
             if rows.any():
                 yield from group.filter(pa.array(rows)).to_batches()
 
@@ -320,8 +331,12 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     sets = whole(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
-    one, other = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
-    links = staged(pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        one, other = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
+        return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+
+    links = staged(verified(pairs, sets), "links")
     roots = staged(components(links), "roots")
     # lists of three classes or more that still hold several components
     rooted = lists.join(roots, lists["key"] == roots["node"], "left").select("token", "key", "n", "at", F.coalesce("root", "key").alias("root"))
@@ -335,9 +350,12 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
     met = spread.select(*block, "key", "n", "at", "root").repartition(*block).sortWithinPartitions(*block)
     spread = staged(met.mapInArrow(_hopeful(t), "token long, lo long, hi long, key long, n long, at long, root long"), "open")
     met = spread.join(bits.select("key", "bits"), "key").select(*block, "key", "n", "at", "root", "bits").repartition(*block).sortWithinPartitions(*block)
-    spread = staged(met.mapInArrow(_hopeful(t, True), "token long, lo long, hi long, key long, n long, at long, root long, bits binary"), "open").drop("bits")
-    met = spread.join(whole(spread.select("key").distinct()), "key").select(*block, "key", "n", "root", "tokens").repartition(*block).sortWithinPartitions(*block)
-    more = met.mapInArrow(_block_links(t), "a long, b long")
+    spread = staged(met.mapInArrow(_hopeful(t, True), "token long, lo long, hi long, key long, n long, root long, other long"), "open")
+    few = staged(spread.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
+    dense = spread.where("other IS NULL").select(*block, "key", "n", "root")
+    sets = whole(few.select(F.col("a").alias("key")).union(few.select(F.col("b").alias("key"))).union(dense.select("key")).distinct())
+    met = dense.join(sets, "key").select(*block, "key", "n", "root", "tokens").repartition(*block).sortWithinPartitions(*block)
+    more = met.mapInArrow(_block_links(t), "a long, b long").union(verified(few, sets))
     links = links.union(more)
     return rows.select("doc_id", "n_shingles", "key"), components(links)
 
