@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _WHITE = re.compile(rb"[\x20\x09-\x0d]")
-_CACHE_LIMIT = 400_000
+_CACHE_LIMIT = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -92,11 +92,11 @@ def flat_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.r_[0, np.searchsorted(np.concatenate(starts), ends)]
 
 
-def in_chunks(column: Iterable, most: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def in_chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts) of an Arrow column of binary texts, some megabytes or one text at a time; null is empty."""
     first, held, size = 0, [], 0
-    for i, x in enumerate(column.to_pylist()):
-        x = x or b""
+    for i in range(len(column)):
+        x = column[i].as_py() or b""
         if held and size + len(x) > most:
             yield first, held
             first, held, size = i, [], 0

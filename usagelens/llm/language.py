@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 
 _LETTER = regex.compile(r"\p{L}")
-DIMS = 1 << 13
+DIMS = 1 << 12
 
 
 def held_out(doc_id: Column, parts: int, rest: int) -> Column:
@@ -118,7 +118,7 @@ def sample(docs: DataFrame, per_language: int, usable: Column) -> DataFrame:
     return rows.where(share * n < per_language).select("lang", "text")
 
 
-def fit(docs: DataFrame, usable: Column, per_language: int = 700, bits: int = 12) -> Codes:
+def fit(docs: DataFrame, usable: Column, per_language: int = 600, bits: int = 12) -> Codes:
     """A model from a sample bounded by per_language (a half more is the most that is used); features come to the driver, texts don't."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +159,7 @@ def identify(docs: DataFrame, model: Codes, keep: list[str] | None = None) -> Da
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [held.value.predict(t) for t in batch.column(len(keep)).to_pylist()]
+            out = [held.value.predict(t.as_py()) for t in batch.column(len(keep))]
             cols = list(zip(*out, strict=True)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())], [*keep, "lang_pred", "score", "ambiguous"])
 
