@@ -178,4 +178,6 @@ def known_language(docs: DataFrame, **how) -> DataFrame:
     """`docs` without those rejected: texts that are `und`. The ambiguous stay, as short clean texts are."""
     model = fit(docs.select("doc_id", "text", "lang"), F.lit(True), **how)
     cols = docs.columns
-    return identify(docs, model, cols).where("lang_pred <> 'und'").select(*cols)
+    # the caller's columns travel as one, clear of this operator's names
+    whole = docs.select(F.struct(*cols).alias("_row"), "text")
+    return identify(whole, model, ["_row"]).where("lang_pred <> 'und'").select("_row.*")

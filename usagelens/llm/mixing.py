@@ -169,14 +169,15 @@ def mix(
 def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
     """The mix as rows of `docs`' own columns: one row for each pass over a document, its text cut to the words taken where that pass takes a part; rows are shuffled inside their partition."""
     cols = docs.columns
-    mixed = mix(docs, seed=seed, keep=[c for c in cols if c not in ("doc_id", "source")], **how)
+    # the caller's columns travel as one, clear of this plan's names
+    whole = docs.select("doc_id", "source", "text", F.struct(*cols).alias("_row"))
+    mixed = mix(whole, seed=seed, keep=["text", "_row"], **how)
     one = mixed.withColumn("_pass", F.explode(F.array_distinct(F.transform("pieces", lambda x: x["pass"]))))
     own = F.filter("pieces", lambda x: x["pass"] == F.col("_pass"))
     one = one.withColumn("_own", own).withColumn("_n", F.aggregate("_own", F.lit(0).cast("long"), lambda a, x: a + x["n"]))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     part = F.array_join(F.flatten(F.transform("_own", lambda x: F.slice(words, (x["start"] + 1).cast("int"), x["n"].cast("int")))), " ")
     one = one.withColumn("text", F.when(F.col("_n") == F.col("size"), F.col("text")).otherwise(part))
-    if "n_chars" in cols:
-        one = one.withColumn("n_chars", F.length("text").cast("long"))
     one = one.sortWithinPartitions(F.element_at("_own", 1)["shard"], F.xxhash64(F.lit(seed), "doc_id", "_pass"))
-    return one.select(*cols)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return one.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in cols])
