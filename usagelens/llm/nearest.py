@@ -1,8 +1,8 @@
 """Embedding near-dedup by sorted projection passes.
 
 Equal vectors of one label are one class. In each pass the classes of a label are ordered by many random sign hashes in a row,
-so that near vectors tend to stand near each other, and each is compared with its neighbours in a window of that order. The
-pairs that hold up are united over all passes. Inside the components so found, every pair is then compared in blocks, so the
+so that near vectors tend to stand near each other, and each is compared with its neighbours in a window of that order. All passes
+share one sort. The pairs that hold up are united, first in each window, then over all passes. Inside the components so found, every pair is then compared in blocks, so the
 counts of links don't depend on the window, however many near copies a group has; blocks give counts, never lists of pairs.
 
 Defined cases: a null, zero or non-finite vector, or one with a null component, or with a null label, is linked with nothing;
@@ -16,55 +16,116 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, ranked, staged
+from .common import components, staged
 
 BITS = 60
 
 
-def _vectors(column) -> np.ndarray:
-    """Rows of equal length as a matrix."""
-    return np.stack([np.asarray(x, np.float64) for x in column.to_pylist()])
-
-
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled by powers of two first, so that squares neither overflow nor vanish."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keys(seed: int):
-    """Sign hashes by random projections, in a row as one number; the projections follow from the seed and the length."""
+def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors in double precision, lengths) of an Arrow column of lists; shorter vectors are padded with zeros."""
+    size = column.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(size), size.max(initial=0)))
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return _unit(out), size
+
+
+def _keys(seeds: range):
+    """Every row once for each pass, with its sign hashes by random projections, in a row as one number; the projections follow from the seed and the length."""
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            size = [len(v) for v in batch.column(2)]
-            key = np.zeros(batch.num_rows, np.int64)
-            for d in set(size):
-                rows = np.flatnonzero(np.array(size) == d)
-                if d not in planes:
-                    planes[d] = np.random.default_rng([seed, d]).standard_normal((d, BITS))
-                bits = _vectors(batch.column(2).take(pa.array(rows))) @ planes[d] > 0
-                key[rows] = bits @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], [*batch.schema.names, "order"])
+            if not batch.num_rows:
+                continue
+            x, size = _units(batch.column(2))
+            for k, seed in enumerate(seeds):
+                key = np.zeros(batch.num_rows, np.int64)
+                for d in map(int, np.unique(size)):
+                    if (seed, d) not in planes:
+                        planes[seed, d] = np.random.default_rng([seed, d]).standard_normal((d, BITS))
+                    rows = size == d
+                    key[rows] = (x[rows, :d] @ planes[seed, d] > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), *batch.columns, pa.array(key)], ["pass", *batch.schema.names, "order"])
 
     return hashed
 
 
+def _united(near: np.ndarray) -> np.ndarray:
+    """Of each row the smallest row that it is connected with."""
+    root = np.arange(len(near))
+    while True:
+        low = np.minimum(root, np.where(near, root[None, :], len(near)).min(axis=1))
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _tree(x: np.ndarray, same: list[np.ndarray], rank: np.ndarray, cls: np.ndarray, window: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that unite what the verified pairs within the window unite: fewer than rows, whatever the number of pairs."""
+    near = (x @ x.T >= least) & (np.abs(rank[:, None] - rank[None, :]) <= window)
+    for v in same:
+        near &= v[:, None] == v[None, :]
+    root = _united(near)
+    i = np.flatnonzero(root != np.arange(len(root)))
+    return cls[i], cls[root[i]]
+
+
+def _windows(window: int, least: float):
+    """Of a partition in order: edges (a, b) between its rows; its first and last `window` rows, as their windows reach into other partitions; its number of rows."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, done, held = TaskContext.get().partitionId(), 0, None
+        names = ["a", "b", "part", "at", "pass", "cls", "label", "v"]
+
+        def rows(some: pa.RecordBatch, at: int) -> pa.RecordBatch:
+            n = some.num_rows
+            none = pa.nulls(n, pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, pa.array([part] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), *(some.column(c) for c in names[4:])], names)
+
+        for batch in batches:
+            schema = batch.schema
+            for at in range(0, batch.num_rows, 4 * window):
+                piece = batch.slice(at, 4 * window)
+                if done < window:
+                    yield rows(piece.slice(0, window - done), done)
+                done += piece.num_rows
+                held = pa.Table.from_batches([held, piece] if held else [piece]).combine_chunks().to_batches()[0]
+                x, size = _units(held.column("v"))
+                same = [held.column(c).to_numpy(zero_copy_only=False) for c in ("pass", "label")]
+                a, b = _tree(x, [size, *same], np.arange(len(x)), held.column("cls").to_numpy(), window, least)
+                blank = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int64(), *(schema.field(c).type for c in names[4:]))]
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *blank], names)
+                held = held.slice(max(0, held.num_rows - window))
+        if done:
+            first = max(min(done, window), done - window)
+            if first < done:
+                yield rows(held.slice(held.num_rows - (done - first)), first)
+            blank = [pa.nulls(1, schema.field(c).type) for c in names[4:]]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([done], pa.int64()), *blank], names)
+
+    return compare
+
+
 def _neighbours(window: int, least: float):
     """A block's own rows against themselves and the block before, no further than the window."""
 
     def compare(frame):
         import pandas as pd
 
-        frame = frame.sort_values("rank")
-        x = _unit_rows(frame["v"])
-        rank, cls, label = frame["rank"].to_numpy(), frame["cls"].to_numpy(), frame["label"].to_numpy()
-        size = frame["v"].map(len).to_numpy()
-        near = (x @ x.T >= least) & (label[:, None] == label[None, :]) & (size[:, None] == size[None, :]) & (np.abs(rank[:, None] - rank[None, :]) <= window)
-        i, j = np.nonzero(np.triu(near, 1))
-        return pd.DataFrame({"a": np.minimum(cls[i], cls[j]), "b": np.maximum(cls[i], cls[j])}).astype("int64")
+        same = [frame["v"].map(len).to_numpy(), frame["pass"].to_numpy(), frame["label"].to_numpy()]
+        a, b = _tree(_unit_rows(frame["v"]), same, frame["rank"].to_numpy(), frame["cls"].to_numpy(), window, least)
+        return pd.DataFrame({"a": a, "b": b}).astype("int64")
 
     return compare
 
@@ -78,6 +139,26 @@ def _unit_rows(column) -> np.ndarray:
     return _unit(out)
 
 
+def _swept(reps: DataFrame, seeds: range, window: int, least: float) -> DataFrame:
+    """Edges (a, b) of all passes, in one sort. Windows go by the place in the whole order, wherever partitions end."""
+    spark = reps.sparkSession
+    label, v = (reps.schema[c].dataType.simpleString() for c in ("label", "v"))
+    keyed = reps.select("cls", "label", "v").mapInArrow(_keys(seeds), f"pass int, cls long, label {label}, v {v}, order long")
+    order = ["pass", "label", "order", "cls"]
+    sorted_ = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("pass", "cls", "label", "v")
+    found = staged(sorted_.mapInArrow(_windows(window, least), f"a long, b long, part int, at long, pass int, cls long, label {label}, v {v}"), "windows")
+    base, offsets = 0, []
+    for row in sorted(found.where("a IS NULL AND cls IS NULL").select("part", "at").collect()):  # a row for each partition
+        offsets.append((row["part"], base))
+        base += row["at"]
+    offsets = spark.createDataFrame(offsets, "part int, base long")
+    edges = found.where("cls IS NOT NULL").join(F.broadcast(offsets), "part").withColumn("rank", F.col("base") + F.col("at"))
+    own = F.floor(F.col("rank") / F.lit(window)).cast("long")
+    dealt = edges.select("pass", "cls", "label", "v", "rank", F.explode(F.array(own, own + 1)).alias("block"))
+    across = dealt.groupBy("block").applyInPandas(_neighbours(window, least), "a long, b long")
+    return found.where("a IS NOT NULL").select("a", "b").union(across)
+
+
 def _block_counts(least: float):
     """For one pair of blocks of a component: how many vectors (copies counted) each class of the first block links with in the second."""
 
@@ -101,22 +182,14 @@ def _block_counts(least: float):
 
 def near(vectors: DataFrame, least: float = 0.93, passes: int = 12, window: int = 128, block: int = 1024, seed: int = 5) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row for each of `vectors` (vec_id, embedding, label)."""
-    rows = vectors.select(F.col("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"), "label")
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"  # half the bytes; all sums are in double precision
+    rows = vectors.select(F.col("vec_id"), F.transform("embedding", lambda x: x.cast("float" if single else "double")).alias("v"), "label")
     sound = F.col("v").isNotNull() & F.col("label").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("cls", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64("label", F.transform("v", lambda x: x + F.lit(0.0)))))
     ids = rows.select("vec_id", "cls")
     reps = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("label").alias("label"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
     reps = staged(reps, "classes")
-    found = None
-    for k in range(passes):
-        keyed = reps.select("cls", "label", "v").mapInArrow(_keys(seed + k), "cls long, label " + vectors.schema["label"].dataType.simpleString() + ", v array<double>, order long")
-        order = ranked(keyed, [F.col("label"), F.col("order"), F.col("cls")])
-        own = F.floor(F.col("rank") / F.lit(window)).cast("long")
-        dealt = order.withColumn("block", F.explode(F.array(own, own + 1)))
-        pairs = dealt.groupBy("block").applyInPandas(_neighbours(window, least), "a long, b long").distinct()
-        pairs = staged(pairs, "pass")
-        found = pairs if found is None else found.union(pairs)
-    roots = components(found)
+    roots = staged(components(_swept(reps, range(seed, seed + passes), window, least)), "roots")
     held = staged(reps.join(roots, reps["cls"] == roots["node"]).select("cls", "root", "copies", "v"), "held")
     sizes = held.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
     chunks = F.ceil(F.col("m") / F.lit(block)).cast("long")
