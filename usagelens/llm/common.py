@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +107,17 @@ def in_chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list
         yield first, held
 
 
+def smaller(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of some megabytes of `column`, or one row."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser over uint64."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, flat_words, gram_hashes, in_chunks, words_in_slices
+from .common import KeyFilter, flat_words, gram_hashes, in_chunks, smaller, words_in_slices
 
 _SECOND = 0xC2B2AE3D27D4EB4F
 
@@ -86,7 +86,7 @@ def _stretches(docs: DataFrame, window: int, shared: KeyFilter) -> DataFrame:
 
     def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"hashes": pa.binary()}
-        for batch in batches:
+        for batch in smaller(batches, "text"):
             ids, versions = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
             least: dict[tuple[int, bytes], tuple[int, list[tuple[int, int]]]] = {}
             out = {k: [] for k in ("deal", "run", "doc_id", "version", "start", "hashes", "n")}
@@ -199,7 +199,7 @@ def cleaned(docs: DataFrame, window: int = 50) -> DataFrame:
     cols = docs.columns
 
     def rest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in smaller(batches, "text"):
             at, marks_at = batch.schema.get_field_index("text"), batch.schema.get_field_index("_marks")
             texts, keep = [], []
             for text, marks in zip(batch.column(at), batch.column(marks_at), strict=True):
