@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -93,6 +94,16 @@ def flat_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.r_[0, np.searchsorted(np.concatenate(starts), ends)]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Python workers outlive their tasks, and what one stage held would weigh on the next."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def in_chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts) of an Arrow column of binary texts, some megabytes or one text at a time; null is empty."""
     first, held, size = 0, [], 0
@@ -105,6 +116,8 @@ def in_chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list
         size += len(x)
     if held:
         yield first, held
+    held = []
+    release()
 
 
 def smaller(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

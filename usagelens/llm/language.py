@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
 
 _LETTER = regex.compile(r"\p{L}")
 DIMS = 1 << 12
@@ -162,6 +163,7 @@ def identify(docs: DataFrame, model: Codes, keep: list[str] | None = None) -> Da
             out = [held.value.predict(t.as_py()) for t in batch.column(len(keep))]
             cols = list(zip(*out, strict=True)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())], [*keep, "lang_pred", "score", "ambiguous"])
+        release()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(predict, schema + ", lang_pred string, score double, ambiguous boolean")

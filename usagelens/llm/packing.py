@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import _CACHE_LIMIT, staged, words_in_slices
+from .common import _CACHE_LIMIT, release, staged, words_in_slices
 
 _STEM = re.compile(rb"([a-z]+)([.,!?;:*&%$#|]*)\Z")
 _TOKENIZERS: dict[str, WordTokens] = {}
@@ -216,6 +216,8 @@ def tokenized(docs: DataFrame, tokenizer: str, size: int, separator: int = 0, wi
             cols = [batch.column(0).take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(doc), pa.int32()), pa.array(nth, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(ids, pa.binary())] * with_ids, names + ["ids"] * with_ids)
+        tokens.clear()  # the worker stays; its cached words needn't
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long" + ", ids binary" * with_ids)
