@@ -103,6 +103,26 @@ def test_near_vectors(spark):
     assert all(got[i] == (0, i, True) for i in range(100, 106))
 
 
+def test_near_vectors_of_a_hot_label_with_a_shared_direction(spark):
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    mean = unit(rng.standard_normal(64))
+    x = unit(0.8**0.5 * mean + 0.2**0.5 * unit(rng.standard_normal((6000, 64))))
+    away = rng.standard_normal((300, 64))
+    away = unit(away - (away * x[:300]).sum(axis=1, keepdims=True) * x[:300])
+    x = np.concatenate([x, 0.935 * x[:300] + (1 - 0.935**2) ** 0.5 * away]).astype(np.float32)
+    y = unit(x.astype(float))
+    a, b = np.nonzero(np.triu(y @ y.T >= 0.93, 1))
+    assert len(a) >= 300
+    parent, n = list(range(len(x))), np.bincount(np.r_[a, b], minlength=len(x))
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        i, j = _top(parent, i), _top(parent, j)
+        parent[max(i, j)] = min(i, j)
+    table = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nearest.near(table).collect()}
+    assert got == {i: (n[i], _top(parent, i)) for i in range(len(x))}
+
+
 def test_jaccard(docs, empty):
     sets = {}
     for r in rows():

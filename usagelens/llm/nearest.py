@@ -1,9 +1,9 @@
-"""Embedding near-dedup by sorted projection passes.
+"""Embedding near-dedup by comparing all pairs of a label.
 
-Equal vectors of one label are one class. In each pass the classes of a label are ordered by many random sign hashes in a row,
-so that near vectors tend to stand near each other, and each is compared with its neighbours in a window of that order. All passes
-share one sort. The pairs that hold up are united, first in each window, then over all passes. Inside the components so found, every pair is then compared in blocks, so the
-counts of links don't depend on the window, however many near copies a group has; blocks give counts, never lists of pairs.
+Equal vectors of one label are one class. The classes of a label are dealt into blocks, and each pair of blocks is compared in
+full, in tiles: every pair of the label is seen once, so links and components are those of brute force at any size. A pair of
+blocks gives, for each class that it links, a count and one edge; never a list of pairs. Work grows with the square of a label's
+distinct vectors.
 
 Defined cases: a null, zero or non-finite vector, or one with a null component, or with a null label, is linked with nothing;
 vectors of different lengths aren't compared; equal vectors link with each other; repeated vec_ids are rows of their own; an
@@ -12,17 +12,15 @@ empty table gives no rows; clashing or extra columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, staged
 
-BITS = 60
+#: Products held at a time.
+TILE = 1 << 21
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -39,149 +37,63 @@ def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _unit(out), size
 
 
-def _keys(seeds: range):
-    """Every row once for each pass, with its sign hashes by random projections, in a row as one number; the projections follow from the seed and the length."""
-
-    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, size = _units(batch.column(2))
-            for k, seed in enumerate(seeds):
-                key = np.zeros(batch.num_rows, np.int64)
-                for d in map(int, np.unique(size)):
-                    if (seed, d) not in planes:
-                        planes[seed, d] = np.random.default_rng([seed, d]).standard_normal((d, BITS))
-                    rows = size == d
-                    key[rows] = (x[rows, :d] @ planes[seed, d] > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), *batch.columns, pa.array(key)], ["pass", *batch.schema.names, "order"])
-
-    return hashed
-
-
-def _united(near: np.ndarray) -> np.ndarray:
-    """Of each row the smallest row that it is connected with."""
-    root = np.arange(len(near))
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`root` (of each row the smallest row that it is connected with) after the edges (a, b)."""
     while True:
-        low = np.minimum(root, np.where(near, root[None, :], len(near)).min(axis=1))
-        low = low[low]
-        if (low == root).all():
+        x, y = root[a], root[b]
+        open_ = x != y
+        if not open_.any():
             return root
-        root = low
-
-
-def _tree(x: np.ndarray, same: list[np.ndarray], rank: np.ndarray, cls: np.ndarray, window: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that unite what the verified pairs within the window unite: fewer than rows, whatever the number of pairs."""
-    near = (x @ x.T >= least) & (np.abs(rank[:, None] - rank[None, :]) <= window)
-    for v in same:
-        near &= v[:, None] == v[None, :]
-    root = _united(near)
-    i = np.flatnonzero(root != np.arange(len(root)))
-    return cls[i], cls[root[i]]
-
-
-def _windows(window: int, least: float):
-    """Of a partition in order: edges (a, b) between its rows; its first and last `window` rows, as their windows reach into other partitions; its number of rows."""
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done, held = TaskContext.get().partitionId(), 0, None
-        names = ["a", "b", "part", "at", "pass", "cls", "label", "v"]
-
-        def rows(some: pa.RecordBatch, at: int) -> pa.RecordBatch:
-            n = some.num_rows
-            none = pa.nulls(n, pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.array([part] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), *(some.column(c) for c in names[4:])], names)
-
-        for batch in batches:
-            schema = batch.schema
-            for at in range(0, batch.num_rows, 4 * window):
-                piece = batch.slice(at, 4 * window)
-                if done < window:
-                    yield rows(piece.slice(0, window - done), done)
-                done += piece.num_rows
-                held = pa.Table.from_batches([held, piece] if held else [piece]).combine_chunks().to_batches()[0]
-                x, size = _units(held.column("v"))
-                same = [held.column(c).to_numpy(zero_copy_only=False) for c in ("pass", "label")]
-                a, b = _tree(x, [size, *same], np.arange(len(x)), held.column("cls").to_numpy(), window, least)
-                blank = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int64(), *(schema.field(c).type for c in names[4:]))]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *blank], names)
-                held = held.slice(max(0, held.num_rows - window))
-        if done:
-            first = max(min(done, window), done - window)
-            if first < done:
-                yield rows(held.slice(held.num_rows - (done - first)), first)
-            blank = [pa.nulls(1, schema.field(c).type) for c in names[4:]]
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([done], pa.int64()), *blank], names)
-
-    return compare
-
-
-def _neighbours(window: int, least: float):
-    """A block's own rows against themselves and the block before, no further than the window."""
-
-    def compare(frame):
-        import pandas as pd
-
-        same = [frame["v"].map(len).to_numpy(), frame["pass"].to_numpy(), frame["label"].to_numpy()]
-        a, b = _tree(_unit_rows(frame["v"]), same, frame["rank"].to_numpy(), frame["cls"].to_numpy(), window, least)
-        return pd.DataFrame({"a": a, "b": b}).astype("int64")
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _block_links(least: float):
+    """For one pair of blocks: of each class that links with any in it, how many vectors (copies counted) it links with, and a class that it is connected with."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        i, j, chunk, cls, copies = (group.column(c).to_numpy() for c in ("i", "j", "chunk", "cls", "copies"))
+        x, _ = _units(group.column("v").chunk(0))
+        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        y, same = x[right].T, i[0] == j[0]
+        n, root = np.zeros(len(cls), np.int64), np.arange(len(cls))
+        step = max(1, TILE // max(1, len(right)))
+        for at in range(0, len(left), step):
+            rows = left[at : at + step]
+            a, b = np.nonzero(x[rows] @ y >= least)
+            a, b = rows[a], right[b]
+            apart = a != b
+            a, b = a[apart], b[apart]
+            np.add.at(n, a, copies[b])
+            if not same:
+                np.add.at(n, b, copies[a])
+            root = _joined(root, a, b)
+        linked = n > 0
+        return pa.table({"cls": pa.array(cls[linked]), "n": pa.array(n[linked]), "with": pa.array(cls[root[linked]])})
 
     return compare
 
 
-def _unit_rows(column) -> np.ndarray:
-    """Unit vectors, shorter ones padded with zeros; their lengths are compared apart."""
-    width = max(map(len, column))
-    out = np.zeros((len(column), width))
-    for i, v in enumerate(column):
-        out[i, : len(v)] = v
-    return _unit(out)
-
-
-def _swept(reps: DataFrame, seeds: range, window: int, least: float) -> DataFrame:
-    """Edges (a, b) of all passes, in one sort. Windows go by the place in the whole order, wherever partitions end."""
-    spark = reps.sparkSession
-    label, v = (reps.schema[c].dataType.simpleString() for c in ("label", "v"))
-    keyed = reps.select("cls", "label", "v").mapInArrow(_keys(seeds), f"pass int, cls long, label {label}, v {v}, order long")
-    order = ["pass", "label", "order", "cls"]
-    sorted_ = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("pass", "cls", "label", "v")
-    found = staged(sorted_.mapInArrow(_windows(window, least), f"a long, b long, part int, at long, pass int, cls long, label {label}, v {v}"), "windows")
-    base, offsets = 0, []
-    for row in sorted(found.where("a IS NULL AND cls IS NULL").select("part", "at").collect()):  # a row for each partition
-        offsets.append((row["part"], base))
-        base += row["at"]
-    offsets = spark.createDataFrame(offsets, "part int, base long")
-    edges = found.where("cls IS NOT NULL").join(F.broadcast(offsets), "part").withColumn("rank", F.col("base") + F.col("at"))
-    own = F.floor(F.col("rank") / F.lit(window)).cast("long")
-    dealt = edges.select("pass", "cls", "label", "v", "rank", F.explode(F.array(own, own + 1)).alias("block"))
-    across = dealt.groupBy("block").applyInPandas(_neighbours(window, least), "a long, b long")
-    return found.where("a IS NOT NULL").select("a", "b").union(across)
-
-
-def _block_counts(least: float):
-    """For one pair of blocks of a component: how many vectors (copies counted) each class of the first block links with in the second."""
-
-    def count(frame):
-        import pandas as pd
-
-        left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"cls": [], "n": []}).astype("int64")
-        both = pd.concat([left["v"], right["v"]])
-        x = _unit_rows(both)
-        size = both.map(len).to_numpy()
-        k = len(left)
-        near = (x[:k] @ x[k:].T >= least) & (size[:k, None] == size[None, k:])
-        near &= left["cls"].to_numpy()[:, None] != right["cls"].to_numpy()[None, :]
-        n = near @ right["copies"].to_numpy()
-        return pd.DataFrame({"cls": left["cls"].to_numpy(), "n": n}).astype("int64")
-
-    return count
+def _compared(reps: DataFrame, least: float, block: int) -> DataFrame:
+    """(cls, n, with): what `_block_links` finds in all pairs of blocks. Blocks are wider in large labels, so that fewer copies of rows are sent."""
+    rows = reps.withColumn("d", F.size("v"))
+    sizes = rows.groupBy("label", "d").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    wide = F.least(F.lit(8.0 * block), F.greatest(F.lit(float(block)), F.col("m") / 4))
+    sizes = sizes.select("label", "d", F.ceil(F.col("m") / wide).cast("long").alias("chunks"))
+    dealt = rows.join(sizes, ["label", "d"]).withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select("label", "d", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "cls", "copies", "v")
+    return dealt.groupBy("label", "d", "i", "j").applyInArrow(_block_links(least), "cls long, n long, with long")
 
 
 def near(vectors: DataFrame, least: float = 0.93, passes: int = 12, window: int = 128, block: int = 1024, seed: int = 5) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), a row for each of `vectors` (vec_id, embedding, label)."""
+    """(vec_id, n_links, component_id, kept), a row for each of `vectors` (vec_id, embedding, label).
+
+    `passes`, `window` and `seed` are accepted as before, but decide nothing: no pair of a label is left to a search.
+    """
     single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"  # half the bytes; all sums are in double precision
     rows = vectors.select(F.col("vec_id"), F.transform("embedding", lambda x: x.cast("float" if single else "double")).alias("v"), "label")
     sound = F.col("v").isNotNull() & F.col("label").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -189,15 +101,9 @@ def near(vectors: DataFrame, least: float = 0.93, passes: int = 12, window: int
     ids = rows.select("vec_id", "cls")
     reps = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("label").alias("label"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
     reps = staged(reps, "classes")
-    roots = staged(components(_swept(reps, range(seed, seed + passes), window, least)), "roots")
-    held = staged(reps.join(roots, reps["cls"] == roots["node"]).select("cls", "root", "copies", "v"), "held")
-    sizes = held.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    chunks = F.ceil(F.col("m") / F.lit(block)).cast("long")
-    dealt = held.join(sizes, "root").withColumn("chunk", F.pmod(F.xxhash64("cls"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    # each block stands on the left of its pair with any block, and on the right
-    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("chunk").alias("i"), F.col("other").alias("j")), F.struct(F.lit(1).alias("side"), F.col("other").alias("i"), F.col("chunk").alias("j")))
-    dealt = dealt.select("root", "cls", "v", "copies", F.explode(sides).alias("at")).select("root", "at.*", "cls", "v", "copies")
-    counts = dealt.groupBy("root", "i", "j").applyInPandas(_block_counts(least), "cls long, n long").groupBy("cls").agg(F.sum("n").alias("n"))
+    links = staged(_compared(reps, least, block), "links")
+    roots = staged(components(links.select(F.col("cls").alias("a"), F.col("with").alias("b"))), "roots")
+    counts = links.groupBy("cls").agg(F.sum("n").alias("n"))
     full = reps.select("cls", "copies").join(roots, reps["cls"] == roots["node"], "left").join(counts, "cls", "left")
     full = staged(full.select("cls", F.coalesce("root", "cls").alias("root"), (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")), "classes")
     ids = staged(ids, "ids")
