@@ -233,6 +233,43 @@ def test_licenses(spark, docs):
     assert [r.labels for r in licenses.scan(one).collect()] == ["apache,apache-2.0"]
 
 
+def _sample(pattern):
+    """A line that the pattern matches: first alternatives, optional parts left out or in by turns."""
+    import re._constants as c
+    import re._parser as parser
+
+    def made(parsed, most):
+        out = ""
+        for op, arg in parsed:
+            if op is c.LITERAL:
+                out += chr(arg)
+            elif op is c.IN:
+                out += chr(arg[0][1] if arg[0][0] is c.LITERAL else arg[0][1][0])
+            elif op is c.BRANCH:
+                out += made(arg[1][-1 if most else 0], most)
+            elif op is c.SUBPATTERN:
+                out += made(arg[-1], most)
+            else:
+                low, high, body = arg
+                out += made(body, most) * (min(int(high), low + 1) if most else low)
+        return out
+
+    return [made(parser.parse(pattern), most) for most in (False, True)]
+
+
+def test_license_gate_lets_each_rule_run(spark):
+    text = "This work is subject to the terms and conditions of the EPL 1.0"
+    own = licenses.Rule("beer", "buy me a beer", "beer", 50, 0.5)
+    row = lambda t: spark.createDataFrame([(1, t)], "doc_id long, text string")
+    assert [r.labels for r in licenses.scan(row(text)).collect()] == ["epl-1.0"]
+    assert [r.labels for r in licenses.scan(row("You may buy me a beer."), [own]).collect()] == ["beer"]
+    for rule in licenses.rules():
+        for line in _sample(rule.pattern):
+            line = f" {line} "
+            assert rule.keyword in line and any(w in line for w in licenses.gate_words([rule])), (rule, line)
+            assert any(w in line for w in licenses.gate_words(licenses.rules())), (rule, line)
+
+
 def test_search(docs, empty):
     import math
     import re

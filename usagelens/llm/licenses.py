@@ -23,13 +23,17 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 
 @dataclass(frozen=True)
 class Rule:
-    """`pattern` over words joined by spaces; `keyword` must occur first; a larger `priority` wins; `weight` is how sure the rule is."""
+    """`pattern` over words joined by spaces; `keyword` must occur first; a larger `priority` wins; `weight` is how sure the rule is.
+
+    `gate`: rarer words than the keyword, one of which every match holds; without them the keyword is the rule's gate.
+    """
 
     label: str
     pattern: str
     keyword: str
     priority: int
     weight: float
+    gate: tuple[str, ...] = ()
 
 
 #: Names by label: (alternative wordings, keyword that each of them holds).
@@ -73,6 +77,9 @@ NAMES: dict[str, tuple[Sequence[str], str]] = {
     "proprietary": (["proprietary", "commercial"], ""),
 }
 
+#: " of " is in nearly all texts; what stands before it in the form isn't.
+GATES = {" of ": (" terms of ", " conditions of ")}
+
 #: How a text refers to a name: (form, keyword of the form, priority, weight).
 FORMS = [
     (r"spdx license identifier {n}", "spdx", 90, 0.99),
@@ -112,13 +119,14 @@ def rules() -> list[Rule]:
     for label, (wordings, keyword) in NAMES.items():
         for form, form_keyword, priority, weight in FORMS:
             name = "(?:" + "|".join(wordings) + ")"
-            out.append(Rule(label, form.format(n=name), keyword or form_keyword, priority, weight))
+            out.append(Rule(label, form.format(n=name), keyword or form_keyword, priority, weight, GATES.get(form_keyword, (form_keyword,))))
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern))
 
 
 def gate_words(found: Sequence[Rule]) -> list[str]:
-    """Words one of which any rule needs: the prefilter of whole texts."""
-    return ["licen", "spdx", " under ", "permission", "copyright", "rights reserved", "public domain", "redistribution", "terms of", "gnu ", "proprietary", "free software", "provided as is", "neither the name", "in compliance with"]
+    """Words one of which any text holds that one of these rules matches: the prefilter of whole texts."""
+    words = {word for r in found for word in r.gate or (r.keyword,)}
+    return sorted(w for w in words if not any(other != w and other in w for other in words))
 
 
 def _spaces(x: Column) -> Column:
