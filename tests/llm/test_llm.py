@@ -146,6 +146,21 @@ def test_jaccard(docs, empty):
     assert {r.doc_id for r in jaccard.one_of_each(docs).collect()} >= {0, 1, 2, 6}
 
 
+def test_one_row_of_each_component(spark, docs):
+    words = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    a, b, c, d, e = map(words, "abcde")
+    odd = [(5, a), (5, b), (3, b + " more"), (7, c), (7, c), (None, c + " more"), (None, d), (None, d), (None, d + " more"), (8, e), (8, e + " more"), (9, None), (9, None), (10, "")]
+    got = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(odd, "doc_id long, text string")).collect()]
+    free = lambda r: r[0] == 8 or r[0] is None  # noqa: E731  any of these may stay
+    assert collections.Counter(r for r in got if not free(r)) == collections.Counter([(5, a), (3, b + " more"), (7, c), (9, None), (9, None), (10, "")])
+    assert [r[1] in (e, e + " more") for r in got if r[0] == 8] == [True] and [r[1] in (d, d + " more") for r in got if r[0] is None] == [True]
+    out = jaccard.one_of_each(docs)
+    assert out.columns == docs.columns
+    name = {r.doc_id: r.component_id for r in jaccard.join(docs).collect()}
+    want = [r for i, r in enumerate(rows()) if r[0] is not None and name[r[0]] == r[0] and (i == r[0] or not (r[1] or "").strip())]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+
+
 def test_jaccard_of_a_dense_group(spark):
     rng = random.Random(9)
     base = [f"b{i}" for i in range(150)]

@@ -392,8 +392,15 @@ def join(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame:
-    """`docs` with one document of each component: the one whose doc_id names it, once. Empty texts and rows without doc_id stay."""
-    found = join(docs, n, t, **how)
-    ids = staged(found.where("doc_id IS NOT NULL AND doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    left = docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
-    return left
+    """`docs` with one row of each component: of the smallest doc_id (null is the largest), and once if repeated. Texts without words all stay."""
+    # a row is known by its doc_id and text; rows alike in both are one
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = staged(join(docs.select(row.alias("doc_id"), "text"), n, t, **how).where("n_shingles > 0"), "found")
+    gone = staged(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    twice = staged(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "twice")
+    # the caller's columns travel as one, clear of this operator's names
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), row.alias("_key"))
+    left = rows.join(gone, rows["_key"].eqNullSafe(gone["_gone"]), "left_anti")
+    once = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_anti")
+    again = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_semi").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return once.select("_row.*").union(again.select("_row.*"))
