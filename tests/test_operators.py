@@ -33,6 +33,16 @@ def test_text(spark):
     assert one(spark, [("token=abcdefgh rest",)], "n string", text.redact(F.col("n"))) == [("token=[redacted] rest",)]
 
 
+def test_redacted_forms(spark):
+    forms = {
+        "api-key=abc rest": "api-key=[redacted] rest", "API_KEY: abc": "API_KEY: [redacted]", "apikey=abc": "apikey=[redacted]", "access-token=abc": "access-token=[redacted]", "accesstoken=abc": "accesstoken=[redacted]",
+        "auth=abc&x": "auth=[redacted]&x", "authorization: abc": "authorization: [redacted]", "author: abc": "author: abc", "token%3Dabc": "token%3D[redacted]", "api_key%3dabc": "api_key%3d[redacted]", "Bearer abc rest": "Bearer [redacted] rest",
+    }
+    assert one(spark, [(x,) for x in forms], "n string", text.redact(F.col("n"))) == [(x,) for x in forms.values()]
+    own = [("a/b c x",), ("u=a%2Fb%20c x",), ("u=a%2Fb+c x",)]
+    assert one(spark, own, "n string", text.redact(F.col("n"), secrets=["a/b c", ""])) == [("[redacted] x",), ("u=[redacted] x",), ("u=[redacted] x",)]
+
+
 def test_parsers():
     assert parsers.imported_modules("import a, b.c\nfrom .d import e\n__import__('f')") == ["a", "b.c", "f"]
     assert parsers.c_code('s = "// no"; // yes') == 's = "// no";  '
