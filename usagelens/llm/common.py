@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -20,21 +21,46 @@ _CACHE_LIMIT = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); only where it is unset, one made for a local session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder (spark.checkpoint.dir). Only a local session, where all run in one place, may go without: it gets one made."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or _OWN_DIR.get(spark.sparkContext.applicationId)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="usagelens-")
-        spark.conf.set("spark.checkpoint.dir", found) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-        spark.sparkContext.setCheckpointDir(found)
+        _OWN_DIR[spark.sparkContext.applicationId] = found
     return found.rstrip("/")
 
 
+_OWN_DIR: dict[str, str] = {}
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read again: lineage is cut, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/usagelens/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def retire(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more, and lets Spark drop the shuffle files and broadcasts of finished plans.
+
+    Only for tables whose readers have all been written.
+    """
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._staged_at)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        tidy(tables[0].sparkSession)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Shuffle files and broadcasts stay on the disks until the driver's JVM finds their plans unused: asks it to look now."""
+    gc.collect()
+    spark._jvm.System.gc()
+    release()
 
 
 _SPACE = np.zeros(256, bool)
@@ -149,12 +175,14 @@ def gram_hashes(words: np.ndarray, n: int, base: int = 0x9E3779B97F4A7C15) -> np
 
 
 class KeyFilter:
-    """A blocked Bloom filter of a fixed size: no false negatives, so exact steps may use it to leave rows out early.
+    """A blocked Bloom filter: no false negatives, so exact steps may use it to leave rows out early.
 
-    Its size is a parameter and doesn't grow with the data; when it fills up, fewer rows are left out, and results stay the same.
+    It is sized from the number of keys, 16 bits for each, up to `MOST_BLOCKS` blocks of 256 KB. Beyond that it lets more rows
+    through, and results stay the same.
     """
 
     BLOCK_BITS = 21
+    MOST_BLOCKS = 256
 
     def __init__(self, blocks: int = 64) -> None:
         self.blocks = blocks
@@ -181,9 +209,12 @@ class KeyFilter:
         return found
 
     @classmethod
-    def of(cls, keys: DataFrame, column: str, blocks: int = 64) -> KeyFilter:
-        """Built where the keys are, a block in one row; `blocks` rows of 256 KB come to the driver."""
+    def of(cls, keys: DataFrame, column: str, n: int) -> KeyFilter:
+        """For `n` keys. Built where the keys are, a block in one row: at most MOST_BLOCKS rows of 256 KB come to the driver."""
         step = 1 << (cls.BLOCK_BITS - 3)
+        blocks = 1
+        while blocks < cls.MOST_BLOCKS and (blocks << cls.BLOCK_BITS) < 16 * n:
+            blocks *= 2
 
         def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own: KeyFilter | None = None
@@ -199,7 +230,7 @@ class KeyFilter:
         # uint64 modulo a power of two equals the low bits of the signed value
         dealt = keys.select(column).repartition(blocks, F.col(column).bitwiseAND(blocks - 1))
         out = cls(blocks)
-        for row in dealt.mapInArrow(fill, "block int, bits binary").collect():
+        for row in dealt.mapInArrow(fill, "block int, bits binary").toLocalIterator():
             out.bits[row.block * step : (row.block + 1) * step] |= np.frombuffer(row.bits, np.uint8)
         return out
 
@@ -222,23 +253,93 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     )
 
 
+def _forest_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node reached) for the nodes of these edges, without the smallest ones themselves."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while len(x):
+        p, q = root[x], root[y]
+        open_ = p != q
+        x, y, p, q = x[open_], y[open_], p[open_], q[open_]
+        np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
+        while (root[root] != root).any():
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges as the forests of some hundred thousand of them at a time."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        x = np.concatenate(held, axis=1)
+        a, b = _forest_of(x[0], x[1])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        held.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]))
+        size += batch.num_rows
+        if size >= 1 << 19:
+            yield out()
+            held, size = [], 0
+    if size:
+        yield out()
+
+
+def _star(large: bool):
+    """Of edges (u, v) sorted by both, read as they come: each u's first v is its least, and meets u's other neighbours.
+
+    Large: the larger neighbours of u go to the least of u and its neighbours. Small: u and its smaller neighbours go to the least of them.
+    """
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, least, before = None, None, None
+        for batch in batches:
+            u, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(u):
+                continue
+            new = np.r_[last is None or u[0] != last, u[1:] != u[:-1]]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
+            low = np.where(first >= 0, v[np.maximum(first, 0)], least if least is not None else 0)
+            again = ~new & (v == np.r_[before if before is not None else 0, v[:-1]])
+            last, least, before = u[-1], low[-1], v[-1]
+            if large:
+                m, on = np.minimum(low, u), (v > u) & ~again
+                a, b = v[on], m[on]
+            else:
+                on = ~new & (v != low) & ~again
+                a, b = np.r_[u[new], v[on]], np.r_[low[new], low[on]]
+            keep = a != b
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], ["a", "b"])
+
+    return meet
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root): root is the smallest node that can be reached over `edges` (a, b). Nodes without an edge are not in it.
+    """(node, root): root is the smallest node that can be reached over `edges` (a, b), two longs. Nodes without an edge are not in it.
 
-    Large-star and small-star steps by turns, each a join and an aggregate; every round is staged, and only two numbers a round reach the driver.
+    Parts are contracted to forests where they lie; then large-star and small-star steps by turns, each one exchange of two numbers
+    an edge, read in order and not held. Every round is staged, and only two numbers a round reach the driver. Raises if
+    `most_rounds` don't do.
     """
-    now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    two = "a long, b long"
+    now = staged(edges.select("a", "b").where("a <> b").mapInArrow(_contract, two), "edges")
     seen = None
     for _ in range(most_rounds):
-        both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = staged(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        print_ = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(print_) == seen:
+        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = both.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_star(True), two)
+        small = large.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_star(False), two)
+        after = staged(small, "edges")
+        retire(now)
+        now = after
+        print_ = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if print_ == seen or not print_[0]:
             break
-        seen = tuple(print_)
+        seen = print_
+    else:
+        raise RuntimeError(f"components are not complete after {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select("node", F.col("node").alias("root")))

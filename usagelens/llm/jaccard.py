@@ -3,13 +3,15 @@
 A document's set is its distinct runs of `n` words. Equal sets are one class. Under a fixed order of all tokens, two sets with
 Jaccard similarity >= t share a token among the first |s| - ceil(t |s|) + 1 of each. Classes with the same prefix and size are
 collapsed into one group (its members differ only behind the prefix); groups meet by prefix tokens, group pairs are filtered by
-size and by place in the prefix, and only then members are expanded and verified on whole sets.
+size and by place in the prefix, and only then members are verified on whole sets.
 
 The order puts tokens that are common in any part of the corpus last (a list of bounded size; it changes the work, never the
-result). Members are verified in two steps. A list of a token's classes, sorted by size, first links neighbours and all with
-the list's first; most near copies become components there. Only lists that still hold several components are compared in
-full, members in blocks of bounded size, with whole sets at hand; pairs already in one component are left out, as the result
-is components. No list of pairs grows with the square of a group.
+result). That is done in two steps. A list of a token's groups, sorted by size, first pairs neighbours and all with the list's
+first, one member speaking for its group, and so do the members of a group; most near copies become components there. Only
+lists that still hold several components are expanded to all members and compared in full, in blocks of bounded size; pairs
+already in one component are left out, as the result is components. No list of pairs grows with the square of a group.
+
+A class is known by 64 bits of its set's hash: among n different sets two meet by chance with probability n * n / 2 ** 65.
 
 Defined cases: null, empty or blank text has an empty set and is linked with nothing; a text of fewer than n words has its whole
 word sequence as its one shingle; repeated rows are one class; a null doc_id never names a component while another member
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, components, flat_words, gram_hashes, in_chunks, staged
+from .common import KeyFilter, components, flat_words, gram_hashes, in_chunks, retire, staged
 
 
 def shingles(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -272,6 +274,7 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = staged(docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(prefixes, f"doc_id {kind}, n_shingles long, key long, g long, prefix binary, bits binary"), "prefixes")
+    common.destroy()
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,38 +292,50 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["token", "key", "n", "at"])
 
     postings = rows.select("g", "n_shingles", "prefix").mapInArrow(post, "token long, key long, n long, at long")
-    # lists of one group end here
+    # lists of groups; those of one group end here
     dealt = postings.repartition("token").sortWithinPartitions("token", "n", "key")
-    lists = dealt.mapInArrow(_shared_only, "token long, g long, n long, at long")
-    # groups become their members again; members of one group meet under the group's own name
-    members = staged(rows.where("g IS NOT NULL").select("g", "key", F.col("n_shingles").alias("n")).distinct(), "members")
-    several = members.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("g")
-    within = members.join(several, "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"))
-    lists = staged(lists.join(members.select("g", "key"), "g").select("token", "key", "n", "at").union(within), "postings")
-    sorted_ = lists.repartition("token").sortWithinPartitions("token", "n", "key")
+    lists = staged(dealt.mapInArrow(_shared_only, "token long, g long, n long, at long"), "lists")
+    ids = staged(rows.select("doc_id", "n_shingles", "key"), "ids")
+    members = staged(rows.where("g IS NOT NULL").select("g", "key", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["key"]), "members")
+    retire(rows)
+    # groups meet, one member speaking for each; members of one group meet under the group's own name
+    groups = staged(members.groupBy("g").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("m")), "groups")
+    within = members.join(groups.where("m > 1").select("g"), "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"))
+    sorted_ = lists.select("token", F.col("g").alias("key"), "n", "at").repartition("token").sortWithinPartitions("token", "n", "key")
     pairs = sorted_.mapInArrow(_first_pairs(t), "a long, b long").distinct()
+    voice = members.join(groups.select("key"), "key").select("g", "key", "n", "bits")
+    named = lambda by, k: voice.select(F.col("g").alias(f"g{k}"), F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
     # parities leave out what can't link before any set is sent
-    bits = staged(rows.where("g IS NOT NULL").select("key", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["key"]), "bits")
-    named = lambda k: bits.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
-    pairs = staged(pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(_by_parity(t), "a long, b long"), "pairs")
+    met = pairs.select(F.col("a").alias("ga"), F.col("b").alias("gb")).join(named("g", "a"), "ga").join(named("g", "b"), "gb")
+    pairs = staged(met.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(_by_parity(t), "a long, b long"), "pairs")
+    sorted_ = within.repartition("token").sortWithinPartitions("token", "n", "key")
+    same = lambda k: members.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+    met = sorted_.mapInArrow(_first_pairs(t), "a long, b long").distinct().join(same("a"), "a").join(same("b"), "b")
+    inner = staged(met.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(_by_parity(t), "a long, b long"), "pairs")
+    both = pairs.union(inner)
 
     def whole(keys: DataFrame) -> DataFrame:
         """(key, tokens) of these classes, read from the texts again."""
-        active = spark.sparkContext.broadcast(KeyFilter.of(keys, "key"))  # of a fixed size
+        keys = staged(keys, "keys")
+        held = spark.sparkContext.broadcast(KeyFilter.of(keys, "key", keys.count()))  # of a bounded size
+        retire(keys)
 
         def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            active = held.value
             for batch in batches:
                 seen, key, tokens = set(), [], []
                 found = list(all_shingles(batch.column(0), n))
                 own = np.array([set_key(s) for s in found], np.int64)
-                for k, s, wanted in zip(own.tolist(), found, active.value.has(own).tolist(), strict=True):
+                for k, s, wanted in zip(own.tolist(), found, active.has(own).tolist(), strict=True):
                     if wanted and len(s) and k not in seen:
                         seen.add(k)
                         key.append(k)
                         tokens.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(tokens, pa.binary())], ["key", "tokens"])
 
-        return staged(docs.select(F.col("text").cast("binary")).mapInArrow(sets, "key long, tokens binary").dropDuplicates(["key"]), "sets")
+        out = staged(docs.select(F.col("text").cast("binary")).mapInArrow(sets, "key long, tokens binary").dropDuplicates(["key"]), "sets")
+        held.destroy()
+        return out
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,34 +345,42 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
                 ok.append(bool(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), t)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sets = whole(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
-
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         one, other = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
         return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
 
-    links = staged(verified(pairs, sets), "links")
+    sets = whole(both.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    links = staged(verified(both, sets), "links")
+    retire(sets, pairs, inner)
     roots = staged(components(links), "roots")
-    # lists of three classes or more that still hold several components
-    rooted = lists.join(roots, lists["key"] == roots["node"], "left").select("token", "key", "n", "at", F.coalesce("root", "key").alias("root"))
-    rooted = staged(rooted, "rooted")
-    open_ = rooted.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r1"), F.max("root").alias("r2")).where("m > 2 AND r1 <> r2")
+    # lists of three members or more that still hold several components; only their groups are expanded
+    rooted = staged(members.join(roots, members["key"] == roots["node"], "left").select("g", "key", "n", F.coalesce("root", "key").alias("root")), "rooted")
+    retire(roots)
+    spans = rooted.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    open_ = lists.join(spans, "g").groupBy("token").agg(F.sum("m").alias("m"), F.min("r1").alias("r1"), F.max("r2").alias("r2")).where("m > 2 AND r1 <> r2").select("token", "m")
+    open_ = staged(open_, "open")
+    expanded = lists.select("token", "g", "at").join(open_, "token").join(rooted, "g").select("token", "key", "n", "at", "root", "m")
+    alone = spans.where("m > 2 AND r1 <> r2").select("g", "m").join(rooted, "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"), "root", "m")
     chunks = F.ceil(F.col("m") / F.lit(block)).cast("long")
     mine = F.pmod(F.xxhash64("key"), chunks)
-    spread = rooted.join(open_, "token").select("token", "key", "n", "at", "root", mine.alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("d"))
+    spread = expanded.union(alone).select("token", "key", "n", "at", "root", mine.alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("d"))
     spread = spread.withColumn("lo", F.least("c", "d")).withColumn("hi", F.greatest("c", "d"))
     block = ["token", "lo", "hi"]
     met = spread.select(*block, "key", "n", "at", "root").repartition(*block).sortWithinPartitions(*block)
-    spread = staged(met.mapInArrow(_hopeful(t), "token long, lo long, hi long, key long, n long, at long, root long"), "open")
-    met = spread.join(bits.select("key", "bits"), "key").select(*block, "key", "n", "at", "root", "bits").repartition(*block).sortWithinPartitions(*block)
+    hopeful = staged(met.mapInArrow(_hopeful(t), "token long, lo long, hi long, key long, n long, at long, root long"), "open")
+    retire(lists, groups, open_, rooted)
+    met = hopeful.join(members.select("key", "bits"), "key").select(*block, "key", "n", "at", "root", "bits").repartition(*block).sortWithinPartitions(*block)
     spread = staged(met.mapInArrow(_hopeful(t, True), "token long, lo long, hi long, key long, n long, root long, other long"), "open")
+    retire(hopeful, members)
     few = staged(spread.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     dense = spread.where("other IS NULL").select(*block, "key", "n", "root")
-    sets = whole(few.select(F.col("a").alias("key")).union(few.select(F.col("b").alias("key"))).union(dense.select("key")).distinct())
+    sets = whole(few.select(F.explode(F.array("a", "b")).alias("key")).union(dense.select("key")).distinct())
     met = dense.join(sets, "key").select(*block, "key", "n", "root", "tokens").repartition(*block).sortWithinPartitions(*block)
-    more = met.mapInArrow(_block_links(t), "a long, b long").union(verified(few, sets))
-    links = links.union(more)
-    return rows.select("doc_id", "n_shingles", "key"), components(links)
+    more = staged(met.mapInArrow(_block_links(t), "a long, b long").union(verified(few, sets)), "links")
+    retire(sets, spread, few)
+    roots = staged(components(links.union(more)), "roots")
+    retire(links, more)
+    return ids, roots
 
 
 def _shared_only(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
