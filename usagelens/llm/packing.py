@@ -1,8 +1,8 @@
 """Best-fit packing by patterns of lengths fitted with non-negative least squares.
 
 Pieces of at most `size` tokens are counted by length: a histogram of at most `size` numbers, whatever the corpus' size. The
-driver enumerates patterns of few lengths that fill a sequence, fits how often each is used so that the histogram is met,
-rounds down, and packs what is left best-fit, lengths in bulk. Each piece then finds its place from its rank among pieces of
+driver enumerates patterns of few pieces that fill a sequence, fits how often each is used so that the histogram is met,
+rounds, and packs what is left best-fit, lengths in bulk. Each piece then finds its place from its rank among pieces of
 its length. Only the histogram and the plan meet the driver; both are bounded by `size`.
 
 Defined cases: null or empty text is one piece of one token (the separator); texts of any length are cut into pieces; repeated
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -25,15 +26,28 @@ from pyspark.sql import functions as F
 
 from .common import _CACHE_LIMIT, release, staged, words_in_slices
 
-_STEM = re.compile(rb"([a-z]+)([.,!?;:*&%$#|]*)\Z")
+#: Words whose parting into token stretches is known: letters (ASCII and the Latin ones of U+00C0..U+017F but for the capital dotted I, whose small form is two characters), single digits, runs of other ASCII marks but the apostrophe.
+_PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f0-9!-&(-/:-@\\[-`{-~]+")
+_STRETCH = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+|[0-9]|[^a-z0-9\u00c0-\u017f]+")
 _TOKENIZERS: dict[str, WordTokens] = {}
 
 
+def _byte_names() -> dict[int, str]:
+    """Byte-level vocabularies name each byte by a character: printable Latin-1 by itself, all others in a row from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_BYTES = _byte_names()
+_NAMED = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
+
+
 class WordTokens(dict):
-    """Token ids of a word as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space and lower-cases.
+    """Token ids of a word as little-endian unsigned 32-bit bytes, for a byte-level tokenizer that drops white space and lower-cases.
 
-    White space always parts tokens there, so a text's ids are its words' ids in a row. Words of letters a-z are given to the
-    model alone; a run of other ASCII marks after one is a token stretch of its own; all else goes through the whole tokenizer.
+    White space always parts tokens there, so a text's ids are its words' ids in a row. Plain words are parted here, and their
+    stretches given to the model alone; all else goes through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,23 +58,27 @@ class WordTokens(dict):
         self.model = self.whole.model
 
     def __missing__(self, word: bytes) -> bytes:
-        m = _STEM.match(word)
-        if m and not m[2]:
-            out = np.array([t.id for t in self.model.tokenize(m[1].decode())], "<u4").tobytes()
-        elif m:
-            out = self[m[1]] + (self[m[2]] if m[2] in self else self.encode(m[2]))
+        text = word.decode()
+        if _PLAIN.fullmatch(text):
+            low = text.lower()
+            parts = (low,) if low.isalpha() else _STRETCH.findall(low)
+            tokenize = self.model.tokenize
+            if low.isascii():
+                out = array("I", [t.id for p in parts for t in tokenize(p)]).tobytes()
+            else:
+                out = array("I", [t.id for p in parts for t in tokenize(p.translate(_NAMED))]).tobytes()
         else:
-            out = self.encode(word)
+            out = self.encode(text)
         self[word] = out
         return out
 
-    def encode(self, word: bytes) -> bytes:
-        return np.array(self.whole.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    def encode(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: bytes) -> bytes:
         # it may hold a special token's string
         if b"<|" in text:
-            return self.encode(text)
+            return self.encode(text.decode())
         out = []
         for words in words_in_slices(text.lower()):
             out.append(b"".join(map(self.__getitem__, words)))
@@ -75,33 +93,48 @@ def word_tokens(path: str) -> WordTokens:
     return _TOKENIZERS[path]
 
 
-def patterns(hist: np.ndarray, size: int, per_length: int = 12) -> list[tuple[int, ...]]:
-    """Patterns of one to four lengths, of those in the histogram, that leave little room: for each length the best partners in pairs, threes and fours."""
+def patterns(hist: np.ndarray, size: int, per_length: int = 16, most: int = 12) -> list[tuple[int, ...]]:
+    """Patterns of up to `most` pieces, of lengths in the histogram, that leave little room.
+
+    Each starts with a length and some copies of a partner (frequent lengths, and lengths spread over the range); one or two
+    pieces that fit best close it.
+    """
     have = np.flatnonzero(hist)
     have = have[have > 0]
     if not len(have):
         return []
-    fit = lambda room: int(have[i - 1]) if (i := int(np.searchsorted(have, room, "right"))) else 0  # noqa: E731  largest length that fits
+    fits = np.zeros(size + 1, np.int64)  # the largest length that fits a room
+    fits[have] = have
+    fits = np.maximum.accumulate(fits)
     slack = max(1, size // 256)
-    found: set[tuple[int, ...]] = set()
     by_count = have[np.argsort(-hist[have], kind="stable")]
-    partners = np.unique(np.concatenate([by_count[:per_length], have[np.linspace(0, len(have) - 1, per_length).astype(int)]]))
+    spread = have[np.linspace(0, len(have) - 1, per_length).astype(int)]
+    partners = np.unique(np.concatenate([by_count[:per_length], spread]))
+    found: set[tuple[int, ...]] = set()
+
+    def close(head: tuple[int, ...], room: int) -> None:
+        for _ in range(2):
+            if room <= slack:
+                break
+            if len(head) == most or not (x := int(fits[room])):
+                return
+            head, room = (*head, x), room - x
+        if room <= slack:
+            found.add(tuple(sorted(head, reverse=True)))
+
     for a in map(int, have):
-        found.add((a,) * max(1, size // a))
-        if b := fit(size - a):
-            found.add(tuple(sorted((a, b), reverse=True)))
+        for k in range(1, min(most, size // a) + 1):
+            close((a,) * k, size - k * a)
         for b in map(int, partners):
-            if a + b <= size and (c := fit(size - a - b)):
-                found.add(tuple(sorted((a, b, c), reverse=True)))
-                if d := fit(size - a - b - c):
-                    found.add(tuple(sorted((a, b, c, d), reverse=True)))
-    return sorted(p for p in found if len(p) <= 4 and size - sum(p) <= slack)
+            for k in range(1, min(most - 1, (size - a) // b) + 1):
+                close((a,) + (b,) * k, size - a - k * b)
+    return sorted(found)
 
 
 def fit_counts(hist: np.ndarray, found: list[tuple[int, ...]], rounds: int = 400) -> np.ndarray:
-    """How often to use each pattern: non-negative least squares by accelerated projected gradients, then rounded down inside the histogram."""
+    """How often to use each pattern: non-negative least squares by accelerated projected gradients."""
     if not found:
-        return np.zeros(0, np.int64)
+        return np.zeros(0)
     col = np.repeat(np.arange(len(found)), [len(p) for p in found])
     row = np.fromiter((x for p in found for x in p), np.int64)
     goal = hist.astype(float)
@@ -116,18 +149,25 @@ def fit_counts(hist: np.ndarray, found: list[tuple[int, ...]], rounds: int = 400
         new = np.maximum(0, y - step * np.bincount(col, weights=gone[row], minlength=len(found)))
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y, x, t = new + (t - 1) / t2 * (new - x), new, t2
-    used = np.floor(x * scale).astype(np.int64)
+    return x * scale
+
+
+def rounded(hist: np.ndarray, found: list[tuple[int, ...]], used: np.ndarray, least: float) -> np.ndarray:
+    """Whole counts inside the histogram: whole parts first, then one more by falling fraction where it is above `least` and the pieces are still there."""
     left = hist.astype(np.int64).copy()
     out = np.zeros(len(found), np.int64)
-    for j in np.argsort(-used, kind="stable"):
-        if used[j] <= 0:
-            break
-        need = Counter(found[j])
-        n = min(int(used[j]), *(int(left[length]) // k for length, k in need.items()))
-        if n > 0:
-            out[j] = n
-            for length, k in need.items():
-                left[length] -= n * k
+    whole = np.floor(used).astype(np.int64)
+    part = used - whole
+    for wanted in (whole, (part > least).astype(np.int64)):
+        for j in np.lexsort((np.arange(len(found)), -part, -wanted)):
+            if wanted[j] <= 0:
+                break
+            need = Counter(found[j])
+            n = min(int(wanted[j]), *(int(left[length]) // k for length, k in need.items()))
+            if n > 0:
+                out[j] += n
+                for length, k in need.items():
+                    left[length] -= n * k
     return out
 
 
@@ -162,21 +202,23 @@ def best_fit(left: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
 def plan(hist: np.ndarray, size: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By length: (first rank, sequence of that rank, offset) of stretches of ranks; the next ranks of a stretch go to the next sequences.
 
-    The fitted plan is kept if it needs no more sequences than best fit alone.
+    Fitted patterns first; what rounding leaves of each length is packed by best fit. Of some ways of rounding, the one of the
+    fewest sequences; of equal ones, that which leaves the least to best fit.
     """
     found = patterns(hist, size)
-    times = fit_counts(hist, found)
-    left = hist.astype(np.int64).copy()
+    used = fit_counts(hist, found)
     parts: list[tuple[tuple[int, ...], int]] = []
-    for p, n in zip(found, times, strict=True):
-        if n:
-            parts.append((p, int(n)))
-            for x in p:
-                left[x] -= n
-    parts += best_fit(left, size)
-    alone = best_fit(hist.astype(np.int64), size)
-    if sum(n for _, n in alone) < sum(n for _, n in parts):
-        parts = alone
+    for least in (0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0):
+        left = hist.astype(np.int64).copy()
+        now = []
+        for p, n in zip(found, rounded(hist, found, used, least).tolist(), strict=True):
+            if n:
+                now.append((p, n))
+                for x in p:
+                    left[x] -= n
+        now += best_fit(left, size)
+        if not parts or sum(n for _, n in now) < sum(n for _, n in parts):
+            parts = now
     out: dict[int, list[tuple[int, int, int]]] = {}
     seen: Counter = Counter()
     base = 0
