@@ -1,16 +1,18 @@
 """Substring dedup by level-wise doubling.
 
-Windows of `window` words are looked for in two levels. First, runs of half that length: each window names its least-hashed run
-of window/2 words, so equal windows name equal runs, and a text gives few runs. Runs that occur in one document alone end
-there. Second, windows whose run survives are extended to the full length and compared; none longer are asked for, so no
-candidates survive. A window is marked if its words also start a window of a document with a smaller doc_id.
+Windows of `window` words are looked for level by level: 12, 25 and 50 words for windows of 50. At a level each window that is
+still alive names its least-hashed run of that many words, so equal windows name equal runs, and a text gives few runs. Runs that
+occur in one document alone end there, and their windows with them; what is left is extended to twice the length, until the
+window's own length is reached or no candidates survive. A window is marked if its words also start a window of a document with
+a smaller doc_id. Windows are equal if two hashes of 64 bits are, of their run and of all their words, by different bases.
 
 Rows meet by the run's hash. Before that, each task settles what its own batch can settle: of equal stretches of windows only
 the one of the smallest doc_id is sent, so a run that a third of all documents hold gives a row for each batch, not document.
+Survivors are carried by filters of a bounded size that lose none (`KeyFilter`).
 
-Defined cases: null text has no words; a text with fewer words than a window keeps all; a null doc_id is compared with nothing;
-rows with one doc_id don't remove each other's words; texts of any length are read whole; an empty table gives no rows; clashing
-or extra columns are left out (`cleaned` keeps them).
+Defined cases: null text has no words; a text with fewer words than a window keeps all; a null doc_id, or one that is no whole
+number, is compared with nothing; rows with one doc_id don't remove each other's words; texts of any length are read whole; an
+empty table gives no rows; clashing or extra columns are left out (`cleaned` keeps them).
 """
 
 from __future__ import annotations
@@ -20,14 +22,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, flat_words, gram_hashes, in_chunks, smaller, words_in_slices
+from .common import KeyFilter, flat_words, gram_hashes, in_chunks, retire, smaller, staged, words_in_slices
 
 _SECOND = 0xC2B2AE3D27D4EB4F
 
 
+def _whole(doc_id: Column) -> Column:
+    return doc_id.try_cast("long")
+
+
 def _least_of(h: np.ndarray, width: int) -> np.ndarray:
     """A sliding minimum, by doubling."""
     if len(h) < width:
@@ -40,31 +46,49 @@ def _least_of(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - more], h[more:]) if more else h
 
 
-def stretches(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows of the texts, the longest stretches that name one run: (text, first window in the text, [first, end] place among all words, run), and the words."""
+def levels(window: int, least: int) -> list[int]:
+    """Lengths of runs, each twice the one before, below the window's."""
+    out, length = [], window // 2
+    while length >= min(least, window // 2) and length:
+        out.append(length)
+        length //= 2
+    return out[::-1]
+
+
+def stretches(texts: list[bytes], window: int, length: int, filters: list[tuple[int, KeyFilter]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows whose runs survived all levels in `filters`, the longest stretches that name one run of `length`: (text, first window in the text, [first, end] place among all words, run), and the words."""
     words, at = flat_words(texts)
-    half = window // 2
-    names = _least_of(gram_hashes(words, half), window - half + 1)
     count = np.diff(at)
-    owner = np.repeat(np.arange(len(texts)), count)[: len(names)]
-    places = np.flatnonzero(np.arange(len(names)) + window <= at[1:][owner])
-    names, owner = names[places], owner[places]
+    owner = np.repeat(np.arange(len(texts)), count)[: max(0, len(words) - window + 1)]
+    alive = np.arange(len(owner)) + window <= at[1:][owner]
+    names = None
+    for level, survivors in filters:
+        names = _least_of(gram_hashes(words, level), window - level + 1)
+        known = survivors.has(names[alive])
+        alive[np.flatnonzero(alive)[~known]] = False
+    if not filters or filters[-1][0] != length:
+        names = _least_of(gram_hashes(words, length), window - length + 1)
+    places = np.flatnonzero(alive)
     if not len(places):
         none = np.empty(0, np.int64)
         return none, none, np.empty((2, 0), np.int64), np.empty(0, np.uint64), words
-    first = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]) | (owner[1:] != owner[:-1])])
+    names, owner = names[places], owner[places]
+    first = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]) | (owner[1:] != owner[:-1]) | (places[1:] != places[:-1] + 1)])
     size = np.diff(np.r_[first, len(names)])
     begin = places[first]
     return owner[first], begin - at[owner[first]], np.stack([begin, begin + size]), names[first], words
 
 
-def _runs(docs: DataFrame, window: int) -> DataFrame:
+def _runs(docs: DataFrame, window: int, length: int, filters: list[tuple[int, KeyFilter]]) -> DataFrame:
+    held = docs.sparkSession.sparkContext.broadcast(filters)  # of a bounded size
+
     def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        earlier = held.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             keys, owners = [], []
             for base, texts in in_chunks(batch.column(1)):
-                owner, _, _, names, _ = stretches(texts, window)
+                owner, _, _, names, _ = stretches(texts, window, length, earlier)
                 keys.append(names)
                 owners.append(ids[base + owner])
             k, d = np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate([np.empty(0, np.int64), *owners])
@@ -77,12 +101,13 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
             last = np.r_[first[1:], len(k)] - 1
             yield pa.RecordBatch.from_arrays([pa.array(k[first].view(np.int64)), pa.array(d[first]), pa.array(d[last])], ["run", "low", "high"])
 
-    return docs.mapInArrow(name, "run long, low long, high long")
+    return docs.select("doc_id", "text").mapInArrow(name, "run long, low long, high long")
 
 
-def _stretches(docs: DataFrame, window: int, shared: KeyFilter) -> DataFrame:
+def _stretches(docs: DataFrame, window: int, filters: list[tuple[int, KeyFilter]]) -> DataFrame:
     """Stretches of `n` windows whose run is shared: either with their hashes, dealt by run, or (run null) settled here: all marked."""
-    held = docs.sparkSession.sparkContext.broadcast(shared)  # of a fixed size
+    held = docs.sparkSession.sparkContext.broadcast(filters)  # of a bounded size
+    length = filters[-1][0]
 
     def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"hashes": pa.binary()}
@@ -97,13 +122,12 @@ def _stretches(docs: DataFrame, window: int, shared: KeyFilter) -> DataFrame:
                         out[k].append(v)
 
             for base, texts in in_chunks(batch.column(1)):
-                owners, starts, places_, names, words = stretches(texts, window)
-                alive = held.value.has(names)
-                if not alive.any():
+                owners, starts, places_, names, words = stretches(texts, window, length, held.value)
+                if not len(owners):
                     continue
                 full = gram_hashes(words, window, _SECOND)
-                who = base + owners[alive]
-                for doc, version, s, a, e, run in zip(ids[who].tolist(), versions[who].tolist(), starts[alive].tolist(), places_[0, alive].tolist(), places_[1, alive].tolist(), names[alive].view(np.int64).tolist(), strict=True):
+                who = base + owners
+                for doc, version, s, a, e, run in zip(ids[who].tolist(), versions[who].tolist(), starts.tolist(), places_[0].tolist(), places_[1].tolist(), names.view(np.int64).tolist(), strict=True):
                     key = (run, full[a:e].tobytes())
                     owner, places = least.get(key, (None, None))
                     if owner is None or doc < owner:
@@ -147,12 +171,18 @@ def _compare(dealt: DataFrame) -> DataFrame:
     return dealt.repartition("deal").sortWithinPartitions("run", "doc_id").mapInArrow(flag, "doc_id long, version long, start long, flags binary")
 
 
-def marked(docs: DataFrame, window: int = 50) -> DataFrame:
+def marked(docs: DataFrame, window: int = 50, least: int = 12) -> DataFrame:
     """(doc_id, version, marks): for a document's text (named by its hash, `version`) all marked stretches; documents without any are absent."""
-    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("version"))
-    runs = _runs(own, window).groupBy("run").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    shared = KeyFilter.of(runs, "run")
-    marks = _compare(_stretches(own, window, shared))
+    own = docs.select(_whole(F.col("doc_id")).alias("doc_id"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("version")).where("doc_id IS NOT NULL")
+    filters: list[tuple[int, KeyFilter]] = []
+    for length in levels(window, least):
+        runs = staged(_runs(own, window, length, filters).groupBy("run").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("run"), "runs")
+        n = runs.count()
+        filters.append((length, KeyFilter.of(runs, "run", n)))
+        retire(runs)
+        if not n:  # no candidates survive
+            break
+    marks = _compare(_stretches(own, window, filters))
     return marks.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "flags")).alias("marks"))
 
 
@@ -172,7 +202,7 @@ def _kept(text: bytes, marks: list | None, window: int) -> tuple[int, int, bytes
 
 def _joined(docs: DataFrame, window: int) -> DataFrame:
     found = marked(docs, window)
-    key = [F.col("_id").eqNullSafe(F.col("d.doc_id").cast("long")), F.col("_version") == F.xxhash64(F.col("d.text"))]
+    key = [F.col("_id").eqNullSafe(_whole(F.col("d.doc_id"))), F.col("_version") == F.xxhash64(F.col("d.text"))]
     return docs.alias("d").join(found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("marks").alias("_marks")), key[0] & key[1], "left").drop("_id", "_version")
 
 
@@ -189,7 +219,7 @@ def digest(docs: DataFrame, window: int = 50) -> DataFrame:
                 sha.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    slim = docs.select(_whole(F.col("doc_id")).alias("doc_id"), "text")
     joined = _joined(slim, window).select("doc_id", F.col("text").cast("binary"), "_marks")
     return joined.mapInArrow(sums, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
