@@ -41,7 +41,7 @@ def clamp_to_release(d: Column, released: Column) -> Column:
 
 
 def percent_change(now: Column, before: Column) -> Column:
-    """'new' from nothing, '±0%' for nothing both times, else a rounded signed percentage; halves go up."""
+    """'new' from nothing, '±0%' for no change after rounding, else a signed percentage; halves go up."""
     p = F.floor((now - before) * 100.0 / before + 0.5).cast("long")
     text = F.concat(F.when(p > 0, F.lit("+")).otherwise(F.lit("")), p.cast("string"), F.lit("%"))
-    return F.when((before == 0) & (now == 0), F.lit("±0%")).when(before == 0, F.lit("new")).otherwise(text)
+    return F.when((before == 0) & (now == 0), F.lit("±0%")).when(before == 0, F.lit("new")).when(p == 0, F.lit("±0%")).otherwise(text)

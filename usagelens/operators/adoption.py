@@ -7,22 +7,47 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import windows as D
+from ..session import settled
 
 
 def first_use(facts: DataFrame, by: list[str], date: Column, *ties: Column) -> DataFrame:
     """Earliest date for each key; ties are settled by the given columns."""
+    kinds = dict(facts.select(*[t.alias(f"t{i}") for i, t in enumerate(ties)]).dtypes) if ties else {}
+    if kinds == {"t0": "bigint"}:
+        # day and tie as one number: a type that a hash aggregate can hold, so facts aren't sorted
+        shift, low = F.lit(str(10**20)).cast("decimal(38,0)"), F.lit(str(2**63)).cast("decimal(38,0)")
+        pair = (F.unix_date(date) + 10_000_000).cast("decimal(10,0)") * shift.cast("decimal(21,0)") + (ties[0].cast("decimal(20,0)") + low.cast("decimal(20,0)"))
+        one = facts.where(date.isNotNull() & ties[0].isNotNull()).groupBy(*by).agg(F.min(pair.cast("decimal(38,0)")).alias("_b"))
+        day = F.date_from_unix_date((F.floor(F.col("_b") / shift) - 10_000_000).cast("int"))
+        tie = (F.col("_b") % shift - low).cast("long")
+        return one.select(*by, day.alias("first_date"), tie.alias("first_tie_0"))
     best = F.min(F.struct(date.alias("d"), *[t.alias(f"t{i}") for i, t in enumerate(ties)]))
     return facts.where(date.isNotNull()).groupBy(*by).agg(best.alias("_b")).select(*by, F.col("_b.d").alias("first_date"), *[F.col(f"_b.t{i}").alias(f"first_tie_{i}") for i in range(len(ties))])
 
 
-def cumulative(dated: DataFrame, by: str, date: str, step: str = "month") -> DataFrame:
-    """(by, period, new, total): a calendar without gaps over all keys, and running totals.
+def cumulative(dated: DataFrame, by: str, date: str, step: str = "month", released: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
+    """(by, period, new, total): a calendar without gaps, and running totals.
 
-    Dates are counted by period before the calendar is laid, so the running window sees one row for each key and period.
+    It begins with the earliest of the dates and, with `released` (by, released date), of the key's release; it ends with as_of's
+    period, without one with the last date's. Without `released` all keys share one calendar. Dates are counted by period once, in
+    a staged table, so the facts are read once and the running window sees one row for each key and period.
     """
     counts = dated.where(F.col(date).isNotNull()).groupBy(by, F.trunc(date, step).alias("period") if step != "day" else F.col(date).alias("period")).agg(F.count(F.lit(1)).alias("new"))
+    counts = settled(counts)
+    if released is not None:
+        cut = lambda c: F.trunc(c, step) if step != "day" else c
+        span = counts.groupBy(by).agg(F.min("period").alias("a"), F.max("period").alias("b"))
+        span = released.select(by, cut(F.col("released")).alias("_r")).join(span, by, "full_outer")
+        ends = F.col("b") if as_of is None else cut(as_of)
+        calendar = span.withColumn("a", F.least("a", "_r")).withColumn("b", F.greatest(ends, F.col("a"))).where("a IS NOT NULL AND b IS NOT NULL")
+        calendar = calendar.select(by, F.explode(F.sequence("a", "b", F.expr(f"interval 1 {step}"))).alias("period"))
+        return _running(calendar, counts, by)
     span = counts.agg(F.min("period").alias("a"), F.max("period").alias("b"))
     calendar = counts.select(by).distinct().crossJoin(F.broadcast(span)).select(by, F.explode(F.sequence("a", "b", F.expr(f"interval 1 {step}"))).alias("period"))  # span: one row
+    return _running(calendar, counts, by)
+
+
+def _running(calendar: DataFrame, counts: DataFrame, by: str) -> DataFrame:
     running = W.partitionBy(by).orderBy("period").rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = calendar.join(counts, [by, "period"], "left").withColumn("new", F.coalesce("new", F.lit(0)))
     return filled.select(by, "period", "new", F.sum("new").over(running).alias("total"))

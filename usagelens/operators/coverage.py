@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsers import casefold
 from .graph import roots
 
 
@@ -16,12 +17,27 @@ def stats(certificates: DataFrame) -> DataFrame:
     )
 
 
-def epochs(certificates: DataFrame, as_of: Column, fresh_days: int = 28) -> DataFrame:
-    """The latest certificate of each source, and whether it is complete and neither older than `fresh_days` nor from the future."""
+def epochs(certificates: DataFrame, rules: DataFrame, libraries: DataFrame, now: Column) -> DataFrame:
+    """(library, source, state, completed_at) for every library and rule: missing, incomplete, stale or fresh.
+
+    certificates: (library, source, complete, terminal, started_at, completed_at); the one that counts is the latest by completion,
+    else by start. rules: (source, max_age_seconds, require_terminal). A completion in the future is stale, one older than the
+    rule's age to the second too; a certificate without completion is incomplete.
+    """
     at = F.coalesce("completed_at", "started_at")
-    one = certificates.groupBy("source").agg(F.max_by(F.struct("complete", at.alias("at")), at).alias("c")).select("source", "c.*")
-    age = F.datediff(as_of, F.col("at"))
-    return one.withColumn("fresh", F.col("complete") & (age >= 0) & (age <= fresh_days))
+    one = certificates.groupBy("library", "source").agg(F.max_by(F.struct("complete", "terminal", "completed_at"), at).alias("c")).select("library", "source", "c.*")
+    wanted = libraries.select("library").distinct().join(F.broadcast(rules))  # a rule for each source
+    both = wanted.join(one.withColumn("_there", F.lit(True)), ["library", "source"], "left")
+    whole = F.coalesce(F.col("complete") & (~F.col("require_terminal") | F.col("terminal")), F.lit(False)) & F.col("completed_at").isNotNull()
+    exact = (F.col("completed_at") <= now) & (F.col("completed_at") >= now - F.make_dt_interval(secs=F.col("max_age_seconds")))
+    state = F.when(F.col("_there").isNull(), "missing").when(~whole, "incomplete").when(exact, "fresh").otherwise("stale")
+    return both.select("library", "source", state.alias("state"), F.when(whole, F.col("completed_at")).alias("completed_at"))
+
+
+def assessed(states: DataFrame) -> DataFrame:
+    """(library, complete, missing, stale, incomplete): an epoch is complete if every rule's source is fresh."""
+    named = lambda s: F.array_sort(F.collect_list(F.when(F.col("state") == s, F.col("source")))).alias(s)
+    return states.groupBy("library").agg(F.every(F.col("state") == "fresh").alias("complete"), named("missing"), named("stale"), named("incomplete"))
 
 
 def due(expected: DataFrame, complete: DataFrame, as_of: Column, days: int = 21) -> DataFrame:
@@ -37,21 +53,22 @@ def quarantine(observations: DataFrame, lanes: DataFrame) -> DataFrame:
 
 
 def retire(df: DataFrame) -> DataFrame:
+    """Candidates that may go: absence alone isn't enough, it takes coverage and a verified tree."""
     return df.where("epoch_complete AND metadata_resolved AND tree_resolved AND NOT has_evidence")
 
 
 def durable_union(previous: DataFrame, current: DataFrame, lane: list[str], fields: list[str]) -> DataFrame:
-    """Additive merge by (lane, node) or (lane, name without case): rows joined by either are one thing, also over a rename.
+    """Additive merge by (lane, node) or (lane, casefolded name): rows joined by either are one thing, also over a rename.
 
     Each field takes its newest value that isn't NULL; on a tie the current row's. All names stay as aliases.
     """
     rows = previous.withColumn("_v", F.lit(0)).unionByName(current.withColumn("_v", F.lit(1)))
     at = F.concat_ws("\x00", *lane)
     by_node = F.when(F.col("node_id").isNotNull(), F.concat(F.lit("i\x00"), at, F.lit("\x00"), F.col("node_id")))
-    by_name = F.concat(F.lit("n\x00"), at, F.lit("\x00"), F.lower("name"))
-    rows = rows.withColumn("_node", by_node).withColumn("_name", by_name)
+    rows = rows.withColumn("_folded", casefold(F.col("name")))
+    rows = rows.withColumn("_node", by_node).withColumn("_name", F.concat(F.lit("n\x00"), at, F.lit("\x00"), F.col("_folded")))
     linked = roots(rows.where("_node IS NOT NULL").select(F.col("_node").alias("a"), F.col("_name").alias("b")))
     rows = rows.join(linked, rows["_name"] == linked["node"], "left").withColumn("_key", F.coalesce("root", "_name"))
     order = F.struct("observed_at", "_v")
     newest = [F.max_by(f, F.when(F.col(f).isNotNull(), order)).alias(f) for f in ("node_id", "name", *fields)]
-    return rows.groupBy(*lane, "_key").agg(*newest, F.max("observed_at").alias("observed_at"), F.array_sort(F.collect_set(F.lower("name"))).alias("aliases")).drop("_key")
+    return rows.groupBy(*lane, "_key").agg(*newest, F.max("observed_at").alias("observed_at"), F.array_sort(F.collect_set("_folded")).alias("aliases")).drop("_key")

@@ -5,30 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
+
 
 def roots(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, root) with the smallest node that can be reached.
 
-    Each round a node takes its neighbours' least label, and then its label's label, so long chains close in few rounds. A round
-    is checkpointed in the shared folder where the session has one; the driver sees one number a round.
+    Each round a node takes its neighbours' least label, and then its label's label, so long chains close in few rounds. The least
+    label comes by an aggregate that combines before the shuffle, so a node with many neighbours isn't one task's work. A round is
+    checkpointed; the driver sees one number a round. Raises if `most_rounds` don't do.
     """
-    sc = edges.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(edges.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")).checkpoint()
+    both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
     for _ in range(most_rounds):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("_m"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.least("root", "_m").alias("root"), F.col("root").alias("_old"))
         up = step.select(F.col("node").alias("_n"), F.col("root").alias("_up"))
-        new = step.join(up, step["root"] == up["_n"], "left").select("node", F.least("root", F.coalesce("_up", "root")).alias("root"), "_old").checkpoint()
+        new = settled(step.join(up, step["root"] == up["_n"], "left").select("node", F.least("root", F.coalesce("_up", "root")).alias("root"), "_old"))
         changed = new.where("root <> _old").limit(1).count()
         labels = new.drop("_old")
         if not changed:
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components are not complete after {most_rounds} rounds")
 
 
 def mirror_groups(repositories: DataFrame) -> DataFrame:
@@ -48,3 +46,19 @@ def evidence_signature(entries: DataFrame, by: str) -> DataFrame:
     """SHA-256 over a repository's sorted entries, their files and operators sorted as well."""
     one = F.struct("library", "band", "commit", F.array_sort("files").alias("files"), F.array_sort("operators").alias("operators"))
     return entries.groupBy(by).agg(F.sha2(F.to_json(F.array_sort(F.collect_list(one))), 256).alias("signature"))
+
+
+def renamed(changes: DataFrame, paths: DataFrame, most_steps: int = 64) -> DataFrame:
+    """(path, first_path, steps): each path followed back over renames. changes: (new_path, old_path, at, similarity); of several
+    that made a path, an exact one (100) counts before one of 50 or more, the earlier before the later. A ring ends where it began."""
+    best = changes.where("similarity >= 50").groupBy("new_path").agg(F.min_by("old_path", F.struct((F.col("similarity") < 100).alias("partial"), "at", "old_path")).alias("old_path"))
+    best = settled(best)
+    now = paths.select("path", F.col("path").alias("first_path"), F.lit(0).alias("steps"), F.array("path").alias("_seen"), F.lit(True).alias("_on"))
+    for _ in range(most_steps):
+        on = now.join(best, F.col("_on") & (now["first_path"] == best["new_path"]), "left")
+        more = F.col("_on") & F.col("old_path").isNotNull() & ~F.array_contains("_seen", F.col("old_path"))
+        more = F.coalesce(more, F.lit(False))
+        now = settled(on.select("path", F.when(more, F.col("old_path")).otherwise(F.col("first_path")).alias("first_path"), (F.col("steps") + more.cast("int")).alias("steps"), F.when(more, F.concat("_seen", F.array("old_path"))).otherwise(F.col("_seen")).alias("_seen"), more.alias("_on")))
+        if not now.where("_on").limit(1).count():
+            return now.select("path", "first_path", "steps")
+    raise RuntimeError(f"renames go back more than {most_steps} steps")

@@ -10,7 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsers import casefold
 from ..functions.text import csv_cell
+from .relational import ranks
 
 
 def json_line(*cols: str) -> Column:
@@ -27,12 +29,16 @@ def csv_line(*cols: Column) -> Column:
     return F.concat_ws(",", *cells)
 
 
-def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: int, base: int = 0) -> DataFrame:
+def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: int, header: str = "", groups: DataFrame | None = None) -> DataFrame:
     """(group, shard, first, rows, bytes, sha256): one greedy pass over a group's lines in order; a shard stays strictly under `target` bytes.
 
-    The pass is sequential inside a group, streamed a batch at a time: a group's rows needn't fit in memory. One line that is too
-    large is an error.
+    The pass is sequential inside a group, streamed a batch at a time: a group's rows needn't fit in memory. `header` opens every
+    shard and counts. One line that is too large is an error. `groups` (group): those without a row give one empty shard.
     """
+    head = header.encode()
+    base = len(head)
+    if base >= target:
+        raise ValueError(f"a header of {base} bytes doesn't fit in a shard of {target}")
 
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now = None
@@ -43,7 +49,7 @@ def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: in
                 if base + size >= target:
                     raise ValueError(f"a row of {size} bytes doesn't fit in a shard of {target}")
                 if now is None or g != now["g"] or now["bytes"] + size >= target:
-                    fresh = {"g": g, "shard": now["shard"] + 1 if now and g == now["g"] else 0, "first": now["first"] + now["rows"] if now and g == now["g"] else 0, "rows": 0, "bytes": base, "sha": hashlib.sha256()}
+                    fresh = {"g": g, "shard": now["shard"] + 1 if now and g == now["g"] else 0, "first": now["first"] + now["rows"] if now and g == now["g"] else 0, "rows": 0, "bytes": base, "sha": hashlib.sha256(head)}
                     if now:
                         done.append(now)
                     now = fresh
@@ -56,7 +62,12 @@ def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: in
 
     kind = df.schema[group].dataType.simpleString()
     sorted_ = df.withColumn("_line", F.col(line)).repartition(group).sortWithinPartitions(group, *order).select(group, "_line")
-    return sorted_.mapInPandas(cut, f"`{group}` {kind}, shard long, first long, rows long, bytes long, sha256 string")
+    out = sorted_.mapInPandas(cut, f"`{group}` {kind}, shard long, first long, rows long, bytes long, sha256 string")
+    if groups is None:
+        return out
+    zero = F.lit(0).cast("long")
+    none = groups.select(group).distinct().join(df.select(group).distinct(), group, "left_anti")
+    return out.unionByName(none.select(group, zero.alias("shard"), zero.alias("first"), zero.alias("rows"), F.lit(base).cast("long").alias("bytes"), F.lit(hashlib.sha256(head).hexdigest()).alias("sha256")))
 
 
 def _shards(done: list[dict], group: str) -> pd.DataFrame:
@@ -69,8 +80,16 @@ def release_identity(manifest: dict) -> str:
     return hashlib.sha256(json.dumps(body, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()[:20]
 
 
+def closure(listed: DataFrame, found: DataFrame) -> DataFrame:
+    """(rule, key, detail): artifacts (path, bytes, sha256) that a manifest lists and the tree lacks, the other way round, or that differ."""
+    a = listed.select("path", F.struct("bytes", "sha256").alias("_a"))
+    both = a.join(found.select("path", F.struct("bytes", "sha256").alias("_b")), "path", "full_outer")
+    detail = F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "unlisted").when(F.col("_a") != F.col("_b"), "differs")
+    return both.select(F.lit("closure").alias("rule"), F.col("path").alias("key"), detail.alias("detail")).where("detail IS NOT NULL")
+
+
 def install(df: DataFrame, path: str, checks: list[DataFrame] = ()) -> None:
-    """Writes beside `path`, checks, and swaps by renames; rows in any of `checks` keep the old tree."""
+    """Writes beside `path`, checks, and swaps by renames; rows in any of `checks` keep the old tree. E.g. `closure` as a check."""
     spark = df.sparkSession
     bad = [r for c in checks for r in c.limit(5).collect()]
     if bad:
@@ -98,3 +117,66 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 def duplicates(df: DataFrame, by: list[str]) -> DataFrame:
     bad = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return bad.select(F.lit("unique").alias("rule"), F.concat_ws("|", *[F.col(c).cast("string") for c in by]).alias("key"), F.col("n").cast("string").alias("detail"))
+
+
+#: Fields that say how a row is seen; they never leave.
+VISIBILITY = ("private", "is_private", "visibility", "visibility_excluded", "is_public")
+
+
+def public_columns(df: DataFrame) -> DataFrame:
+    """Without private fields: names that begin with _ and fields of visibility; visibility is PUBLIC then."""
+    return df.drop(*[c for c in df.columns if c.startswith("_") or c in VISIBILITY]).withColumn("visibility", F.lit("PUBLIC"))
+
+
+def explicit_public(private: Column, visibility: Column) -> Column:
+    """Public only if the flag says so and the visibility, where given, too; a missing or malformed flag rejects."""
+    low = F.lower(visibility.cast("string"))
+    flag = F.lower(private.cast("string"))
+    return F.coalesce(flag == "false", F.lit(False)) & F.coalesce(low == "public", F.lit(True))
+
+
+def export_lines(df: DataFrame, columns: list[str], nested: str, name: str = "full_name") -> DataFrame:
+    """(key, json, csv) of each row: canonical JSON, and a CSV line of `columns` with the nested list as JSON at its end; key is the casefolded name that exports are sorted by."""
+    key = casefold(F.col(name)).alias("key")
+    return df.select(key, json_line(*df.columns).alias("json"), csv_line(*[F.col(c) for c in columns], F.to_json(F.coalesce(F.col(nested), F.array()))).alias("csv"))
+
+
+def descriptors(shards: DataFrame, group: str, prefix: str, ending: str, media: str) -> DataFrame:
+    """Of packed shards: path (by content), bytes, sha256, rows and media type."""
+    path = F.concat(F.lit(prefix + "/"), F.col(group).cast("string"), F.lit("/"), F.lpad(F.col("shard").cast("string"), 4, "0"), F.lit("-"), F.substring("sha256", 1, 16), F.lit("." + ending))
+    return shards.select(group, "shard", path.alias("path"), "bytes", "sha256", "rows", F.lit(media).alias("media_type"))
+
+
+def library_index(described: DataFrame, group: str) -> DataFrame:
+    """One row for each group: its parts in order, their rows and bytes."""
+    parts = F.array_sort(F.collect_list(F.struct("shard", "path", "bytes", "sha256", "rows")))
+    return described.groupBy(group).agg(parts.alias("parts"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n_parts"))
+
+
+def write_checkpoint(df: DataFrame, path: str, order: list[str], rows_per_shard: int = 1000) -> DataFrame:
+    """`df` in deterministic shards of ordered rows under path/rows, and (shard, rows, sha256) last, as path/manifest: without it there is no checkpoint.
+
+    Shards follow from the rows' rank alone, whatever the partitions.
+    """
+    ranked = ranks(df, order)
+    shard = F.floor(F.col("_rank") / F.lit(rows_per_shard)).cast("long")
+    lined = ranked.select(shard.alias("shard"), "_rank", json_line(*df.columns).alias("line"))
+    lined.write.mode("overwrite").partitionBy("shard").json(f"{path}/rows")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "line"))), lambda x: x["line"]), "\n")
+    manifest = lined.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sha2(body, 256).alias("sha256"))
+    manifest.write.mode("overwrite").json(f"{path}/manifest")
+    return manifest
+
+
+def read_checkpoint(spark, path: str, schema: str, target: DataFrame | None = None, replace: bool = False) -> DataFrame:
+    """Rows of a checkpoint, each shard checked against the manifest; only into an empty table unless `replace`."""
+    if target is not None and not replace and target.limit(1).count():
+        raise ValueError("the table is not empty")
+    manifest = spark.read.schema("shard long, rows long, sha256 string").json(f"{path}/manifest")
+    lined = spark.read.schema("_rank long, line string, shard long").json(f"{path}/rows")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "line"))), lambda x: x["line"]), "\n")
+    found = lined.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sha2(body, 256).alias("s"))
+    bad = manifest.join(found, "shard", "full_outer").where(~F.col("rows").eqNullSafe(F.col("n")) | ~F.col("sha256").eqNullSafe(F.col("s"))).limit(5).collect()
+    if bad:
+        raise ValueError(f"shards differ from the manifest: {bad}")
+    return lined.select(F.from_json("line", schema).alias("r")).select("r.*")

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.parsers import casefold
+from ..session import settled
+
 
 def latest(df: DataFrame, by: list[str], order: list[Column], k: int = 1) -> DataFrame:
     """The first k rows of each key; Spark cuts each partition to k rows of a key before the shuffle."""
@@ -23,6 +26,17 @@ def materialize(repositories: DataFrame, results: DataFrame, libraries: DataFram
     return rows.join(analysis, ["node_id", "head"], "left")
 
 
+def with_active(repositories: DataFrame, candidates: DataFrame, on: list[str]) -> DataFrame:
+    """Repositories with their active candidates; one that has only others stays, with NULLs: the test belongs to the join."""
+    return repositories.join(candidates.where("state = 'active'"), on, "left")
+
+
+def missing_dating(repositories: DataFrame, results: DataFrame, libraries: DataFrame) -> DataFrame:
+    """Positive results of a repository's present head whose dating fingerprint isn't their library's present one. libraries: (library, fingerprint)."""
+    rows = repositories.join(results, ["node_id", "head"]).join(libraries, "library")
+    return rows.where(F.col("band").isin("confirmed", "bundled", "targeted") & ~F.col("dating_fingerprint").eqNullSafe(F.col("fingerprint")))
+
+
 def without(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     return df.join(other.select(*on), on, "left_anti")
 
@@ -38,12 +52,16 @@ def analysis_only(repositories: DataFrame, candidates: DataFrame, results: DataF
 
 
 def resolve_identity(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """rows (node_id?, name) to known (node_id, name): by id, else by name without case; a name of several ids resolves nothing."""
-    by_name = known.groupBy(F.lower("name").alias("_name")).agg(F.min("node_id").alias("_by_name"), F.countDistinct("node_id").alias("_k")).where("_k = 1").drop("_k")
+    """rows (node_id?, name) to known (node_id, name): by id, else by casefolded name; a name of several ids resolves nothing.
+
+    `how`: id, name, none, or conflict where id and name are different repositories' (nothing is resolved then).
+    """
+    by_name = known.groupBy(casefold(F.col("name")).alias("_name")).agg(F.min("node_id").alias("_by_name"), F.countDistinct("node_id").alias("_k")).where("_k = 1").drop("_k")
     by_id = known.select(F.col("node_id").alias("_by_id")).distinct()
-    joined = rows.join(by_id, rows["node_id"] == by_id["_by_id"], "left").withColumn("_name", F.lower("name")).join(by_name, "_name", "left")
-    how = F.when(F.col("_by_id").isNotNull(), "id").when(F.col("_by_name").isNotNull(), "name").otherwise("none")
-    return joined.select(*rows.columns, F.coalesce("_by_id", "_by_name").alias("resolved"), how.alias("how"))
+    joined = rows.join(by_id, rows["node_id"] == by_id["_by_id"], "left").withColumn("_name", casefold(F.col("name"))).join(by_name, "_name", "left")
+    conflict = F.col("_by_id").isNotNull() & F.col("_by_name").isNotNull() & (F.col("_by_id") != F.col("_by_name"))
+    how = F.when(conflict, "conflict").when(F.col("_by_id").isNotNull(), "id").when(F.col("_by_name").isNotNull(), "name").otherwise("none")
+    return joined.select(*rows.columns, F.when(~F.coalesce(conflict, F.lit(False)), F.coalesce("_by_id", "_by_name")).alias("resolved"), how.alias("how"))
 
 
 def carry_forward(old: DataFrame, new: DataFrame, on: list[str]) -> DataFrame:
@@ -51,6 +69,56 @@ def carry_forward(old: DataFrame, new: DataFrame, on: list[str]) -> DataFrame:
     return new.withColumn("stale", F.lit(False)).unionByName(without(old, new, on).withColumn("stale", F.lit(True)))
 
 
+def carried_certificates(stored: DataFrame, current: DataFrame, expected: DataFrame, now: Column, days: int = 28) -> DataFrame:
+    """Current certificates, and of each expected lane without one the latest stored one that is complete, not capped and of a complete run: carried_forward, with its as_of, stale from `days` whole days on. Keys: library, source, query."""
+    keys = ["library", "source", "query"]
+    sound = stored.where("run_status = 'complete' AND complete AND NOT capped")
+    last = latest_one(sound, keys, F.struct("observed_at", "run"), ["observed_at", "run"])
+    old = without(within(last, expected, ["library", "query"]), current, keys)
+    whole = F.floor((F.unix_micros(now) - F.unix_micros("observed_at")) / 86_400_000_000)
+    carried = old.select(*keys, F.lit(True).alias("carried_forward"), F.col("observed_at").alias("as_of"), (whole >= days).alias("stale"))
+    return current.select(*keys, F.lit(False).alias("carried_forward"), F.lit(None).cast("timestamp").alias("as_of"), F.lit(False).alias("stale")).unionByName(carried)
+
+
+def observations_sorted(observations: DataFrame, keys: list[str]) -> DataFrame:
+    """By casefolded keys; a missing one sorts as empty."""
+    return observations.orderBy(*[casefold(F.coalesce(F.col(k), F.lit(""))) for k in keys])
+
+
+def exists_any(*tables: DataFrame) -> bool:
+    """Is there a row in any of them: one row of each at most is looked at."""
+    some = None
+    for t in tables:
+        one = t.select(F.lit(1).alias("one")).limit(1)
+        some = one if some is None else some.union(one)
+    return bool(some.limit(1).count())
+
+
+def replaced_by_certificate(stored: DataFrame, new: DataFrame, certified: list[str], by: list[str]) -> DataFrame:
+    """Stored rows after new ones: all that another certificate of the same key (`certified`) wrote go, then rows are put in or replaced by `by`."""
+    prints = new.select(*certified, F.col("certificate").alias("_new")).distinct()
+    kept = stored.join(prints, certified, "left").where(F.col("_new").isNull() | (F.col("_new") == F.col("certificate"))).select(*stored.columns)
+    return upsert(kept, new.select(*stored.columns), by)
+
+
+def prior_boundary(results: DataFrame, heads: DataFrame, libraries: DataFrame) -> DataFrame:
+    """Of each (repository, library) the newest clean, positive result of another head than the present one, by the library's present detector, that has a boundary: ties by id."""
+    rows = results.join(heads.select("repository", F.col("head").alias("_now")), "repository").where("head <> _now AND status = 'clean' AND classification <> 'rejected' AND boundary IS NOT NULL")
+    rows = rows.join(libraries.select("library", F.col("detector")), ["library", "detector"])
+    return latest_one(rows, ["repository", "library"], F.struct("scanned_at", "id"), ["id", "boundary"])
+
+
+def latest_snapshot(cache: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Of each library the newest snapshot of another query than the one named (library, query); ties by query."""
+    rows = cache.join(excluded.select("library", F.col("query").alias("_q")), "library", "left").where("_q IS NULL OR query <> _q")
+    return rows.groupBy("library").agg(F.min_by(F.struct("query", "fetched_at"), F.struct((-F.unix_micros("fetched_at")).alias("t"), "query")).alias("_r")).select("library", "_r.*")
+
+
+def inherited(lineage: DataFrame, tasks: DataFrame, results: DataFrame) -> DataFrame:
+    """What a successor's tasks inherit: (successor_task, source, result) over lineage (successor_task, task), tasks (task, source) and results (task, result)."""
+    return lineage.join(tasks, "task").join(results, "task").select("successor_task", "source", "result")
+
+
 def upsert(old: DataFrame, new: DataFrame, by: list[str]) -> DataFrame:
     """Every key's newest row; a row of `new` wins."""
     cols = [c for c in old.columns if c not in by]
@@ -65,11 +133,16 @@ def delta(now: DataFrame, before: DataFrame, by: str) -> DataFrame:
 
 
 def anomalies(old: DataFrame, new: DataFrame, by: str, floor: int = 10, share: float = 0.15) -> DataFrame:
-    """(key, old_n, new_n, allowed, failed): a change of max(floor, ceil(share * max(old, 1))) or more fails."""
-    a, b = old.select(by, F.col("n").alias("old_n")), new.select(by, F.col("n").alias("new_n"))
-    both = a.join(b, by, "full_outer").withColumns({"old_n": F.coalesce("old_n", F.lit(0)), "new_n": F.coalesce("new_n", F.lit(0))})
+    """(key, old_n, new_n, allowed, problem): a change of max(floor, ceil(share * max(old, 1))) or more is one, and so is a key that
+    was added or removed, and a count beside a NULL. NULL on both sides is none. problem is NULL where all is well."""
+    a, b = old.select(by, F.col("n").alias("old_n"), F.lit(True).alias("_old")), new.select(by, F.col("n").alias("new_n"), F.lit(True).alias("_new"))
+    both = a.join(b, by, "full_outer")
     allowed = F.greatest(F.lit(floor), F.ceil(F.greatest("old_n", F.lit(1)) * F.lit(share))).cast("long")
-    return both.withColumn("allowed", allowed).withColumn("failed", F.abs(F.col("new_n") - F.col("old_n")) >= F.col("allowed"))
+    problem = (
+        F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(F.col("old_n").isNull() != F.col("new_n").isNull(), "not-a-count")
+        .when(F.abs(F.col("new_n") - F.col("old_n")) >= allowed, "anomaly")
+    )
+    return both.select(by, "old_n", "new_n", F.when(F.col("old_n").isNotNull(), allowed).alias("allowed"), problem.alias("problem"))
 
 
 def invalidation(old: DataFrame, new: DataFrame, by: str, domains: list[str]) -> DataFrame:
@@ -81,15 +154,36 @@ def invalidation(old: DataFrame, new: DataFrame, by: str, domains: list[str]) ->
     return both.select(by, state.alias("state"), F.array_join(changed, ",").alias("changed"))
 
 
-def ledger_decision(private: Column, gone: Column, fork: Column, cached_head: Column, head: Column, rejected: Column) -> Column:
-    """The first that holds: drop-private, drop-gone, drop-fork, rescan (no or another head), skip-reject, reuse."""
+def ledger_decision(private: Column, gone: Column, fork: Column, tracked: Column, accessible: Column, recorded: Column, head: Column, changed: Column | None = None) -> Column:
+    """The first that holds: drop-private, drop-gone, drop-fork; a tracked repository is reused if it can't be reached, or if its
+    head is the recorded one (without a record: if `changed` doesn't hold), else scanned again; one that isn't tracked is skipped if
+    it can be reached and its head is the recorded one, else scanned.
+
+    Missing flags say nothing: not private, not gone, no fork, not tracked, but accessible. A missing head is never the same.
+    """
+    is_ = lambda c, missing=False: F.coalesce(c, F.lit(missing))
+    reach, same = is_(accessible, True), is_((head != "") & (head == recorded))
+    known = is_(recorded != "")
+    moved = is_(changed, True) if changed is not None else F.lit(True)
+    kept = F.when(~reach, "reuse").when(known, F.when(same, "reuse").otherwise("rescan")).when(~moved, "reuse").otherwise("rescan")
     return (
-        F.when(F.coalesce(private, F.lit(True)), "drop-private").when(gone, "drop-gone").when(fork, "drop-fork")
-        .when(cached_head.isNull() | ~cached_head.eqNullSafe(head), "rescan").when(rejected, "skip-reject").otherwise("reuse")
+        F.when(is_(private), "drop-private").when(is_(gone), "drop-gone").when(is_(fork), "drop-fork")
+        .when(is_(tracked), kept).when(reach & same, "skip-reject").otherwise("rescan")
     )
 
 
+def ledger_rebuild(tracked: DataFrame, rejected: DataFrame, skipped: DataFrame, recorded: DataFrame) -> DataFrame:
+    """(name, head): what the next run compares with. tracked (name, head, failed): its new head, or the recorded one where it is
+    missing or the scan failed; then rejected (name, head); then skipped (name) with the recorded head. Later ones win; no head, no row."""
+    old = recorded.select("name", F.col("head").alias("_old"))
+    one = tracked.join(old, "name", "left").select("name", F.when(~F.coalesce("failed", F.lit(False)) & (F.coalesce("head", F.lit("")) != ""), F.col("head")).otherwise(F.col("_old")).alias("head"), F.lit(0).alias("_v"))
+    two = rejected.select("name", "head", F.lit(1).alias("_v"))
+    three = skipped.join(old, "name", "left").select("name", F.col("_old").alias("head"), F.lit(2).alias("_v"))
+    return latest_one(one.unionByName(two).unionByName(three), ["name"], F.col("_v"), ["head"]).where("head <> ''")
+
+
 def drop_reasons(df: DataFrame, private: Column, gone: Column, fork: Column) -> DataFrame:
+    """Dropped rows by their one reason, in the order private (also when unknown), gone, fork."""
     reason = F.when(F.coalesce(private, F.lit(True)), "private").when(gone, "gone").when(fork, "fork")
     return df.withColumn("reason", reason).where("reason IS NOT NULL").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -99,14 +193,17 @@ def publishable(status: Column, private: Column, fork: Column, archived: Column)
     return F.coalesce(status.isin("ok", "empty"), F.lit(False)) & ~F.coalesce(private, F.lit(True)) & ~F.coalesce(fork, F.lit(True)) & ~F.coalesce(archived, F.lit(True))
 
 
-def band(own: Column, declared: Column, targeted: Column) -> Column:
-    """confirmed > bundled > targeted > rejected."""
-    return F.when(own, "confirmed").when(declared, "bundled").when(targeted, "targeted").otherwise("rejected")
+def band(own: Column, bundled: Column, targeted: Column, evaluated: Column | None = None) -> Column:
+    """confirmed > bundled > targeted, each only where it is among the `evaluated` bands (all, without them); NULL: no row at all."""
+    on = (lambda b: F.lit(True)) if evaluated is None else (lambda b: F.coalesce(F.array_contains(evaluated, b), F.lit(True)))
+    is_ = lambda c, b: F.coalesce(c, F.lit(False)) & on(b)
+    return F.when(is_(own, "confirmed"), "confirmed").when(is_(bundled, "bundled"), "bundled").when(is_(targeted, "targeted"), "targeted")
 
 
-def peel(df: DataFrame, by: str) -> DataFrame:
-    """The value that repeats most, ties by name."""
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), by).limit(1)
+def peel(df: DataFrame, by: str, witness: Column | None = None) -> DataFrame:
+    """The value that repeats most, ties by name; `witness`: the least of it as proof."""
+    seen = [] if witness is None else [F.min(witness).alias("witness")]
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *seen).where("n > 1").orderBy(F.desc("n"), by).limit(1)
 
 
 def split_token(tokens: DataFrame, item: str, token: str) -> DataFrame:
@@ -121,3 +218,28 @@ def evict(df: DataFrame, order: list[Column], size: str, target: int, groups: Co
     before = F.sum(size).over(W.partitionBy(groups).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
     total = F.sum(size).over(W.partitionBy(groups))
     return df.withColumn("_left", total - F.coalesce(before, F.lit(0))).where(F.col("_left") > target).drop("_left")
+
+
+def ranks(df: DataFrame, order: list[str], name: str = "_rank") -> DataFrame:
+    """A 0-based rank over all rows without one task for all: range partitions, their counts (a row each) as offsets."""
+    spark = df.sparkSession
+    sorted_ = settled(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    counts = sorted_.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    base, offsets = 0, []
+    for row in sorted(counts, key=lambda r: r["_part"]):
+        offsets.append((row["_part"], base))
+        base += row["n"]
+    table = spark.createDataFrame(offsets, "_part long, _base long")
+    placed = sorted_.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(table), "_part")  # a row for each partition
+    return placed.withColumn(name, F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_base", "_at")
+
+
+def median_and_largest(df: DataFrame, size: str, k: int) -> DataFrame:
+    """(median_size, largest, n, estimate): the exact median, the sum of the k largest, and largest + (n - k) medians. Nothing is sorted in one task."""
+    known = df.where(F.col(size).isNotNull()).select(F.col(size).alias("s"))
+    placed = ranks(known, ["s"])
+    n = known.count()
+    middle = [max(0, (n - 1) // 2), max(0, n // 2)]
+    top = F.sum(F.when(F.col("_rank") >= n - k, F.col("s")))
+    one = placed.agg(F.avg(F.when(F.col("_rank").isin(middle), F.col("s"))).alias("median_size"), top.alias("largest"), F.count(F.lit(1)).alias("n"))
+    return one.select("median_size", "largest", "n", (F.col("largest") + F.greatest(F.col("n") - k, F.lit(0)) * F.col("median_size")).alias("estimate"))

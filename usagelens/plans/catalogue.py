@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import parsers, text
+from ..functions import text
 from ..functions import windows as D
-from ..operators import adoption, citations, coverage, graph, publish, relational, serve
+from ..operators import adoption, citations, coverage, families, graph, publish, relational, runs, serve, validate
 from ..sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +33,15 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    from . import evidence
+
+    return {**_QUERIES, **evidence.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    from . import evidence
+
+    return {**_SQL, **evidence.SQL}
 
 
 def _day(c: str):
@@ -99,8 +102,9 @@ def growth_windows(spark, sf):
 
 
 @_query(f"""WITH o AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, DATE '{AS_OF}' AS t FROM orders),
-n AS (SELECT p, count(*) FILTER (d > t - 90 AND d <= t) AS c, count(*) FILTER (d > t - 180 AND d <= t - 90) AS b FROM o GROUP BY p)
-SELECT p, CASE WHEN b = 0 AND c = 0 THEN '±0%' WHEN b = 0 THEN 'new' ELSE (CASE WHEN floor((c - b) * 100.0 / b + 0.5) > 0 THEN '+' ELSE '' END) || CAST(CAST(floor((c - b) * 100.0 / b + 0.5) AS BIGINT) AS VARCHAR) || '%' END AS change FROM n""")
+n AS (SELECT p, count(*) FILTER (d > t - 90 AND d <= t) AS c, count(*) FILTER (d > t - 180 AND d <= t - 90) AS b FROM o GROUP BY p),
+r AS (SELECT p, c, b, CAST(floor((c - b) * 100.0 / nullif(b, 0) + 0.5) AS BIGINT) AS g FROM n)
+SELECT p, CASE WHEN b = 0 AND c = 0 THEN '±0%' WHEN b = 0 THEN 'new' WHEN g = 0 THEN '±0%' WHEN g > 0 THEN '+' || CAST(g AS VARCHAR) || '%' ELSE CAST(g AS VARCHAR) || '%' END AS change FROM r""")
 def growth_labels(spark, sf):
     return growth_windows(spark, sf).select("p", D.percent_change(F.col("now_90"), F.col("before_90")).alias("change"))
 
@@ -136,10 +140,12 @@ def cards(spark, sf):
     return out.join(registry.select("library", "n_name"), "library").drop("library").withColumnRenamed("n_name", "library")
 
 
-@_query("SELECT count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, count(*) AS n, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_suppkey END) AS returned FROM lineitem")
+@_query("""WITH e AS (SELECT o_custkey AS repository, o_orderpriority AS library, o_orderstatus = 'F' AS own, o_totalprice > 200000 AS ai FROM orders), r AS (SELECT repository, bool_or(own) AS c, bool_or(own AND ai) AS a FROM e GROUP BY 1)
+SELECT count(*) FILTER (c) AS confirmed_repositories, count(*) FILTER (a) AS ai_repositories, (SELECT count(DISTINCT o_orderpriority) FROM orders) AS tracked_libraries FROM r""")
 def portfolio_totals(spark, sf):
-    rows = table(spark, sf, "lineitem")
-    return rows.agg(F.countDistinct("l_suppkey").alias("suppliers"), F.countDistinct("l_partkey").alias("parts"), F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("l_returnflag") == "R", F.col("l_suppkey"))).alias("returned"))
+    o = table(spark, sf, "orders")
+    entries = o.select(F.col("o_custkey").alias("repository"), F.col("o_orderpriority").alias("library"), F.when(F.col("o_orderstatus") == "F", "confirmed").otherwise("targeted").alias("band"), (F.col("o_totalprice") > 200000).alias("ai_assisted"))
+    return families.portfolio_totals(entries, entries.select("library"))
 
 
 @_query("""WITH e AS (SELECT l_suppkey AS repository, p_brand AS library, substr(p_brand, 1, length(p_brand) - 1) || '1' AS parent, min(CAST(l_shipdate AS DATE)) AS d FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)
@@ -177,14 +183,32 @@ def component_projection(spark, sf):
     return adoption.component_children(entries, registry)
 
 
-@_query("""SELECT c_name, n_name, o_orderkey, sum(l_quantity) AS quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey < 3
-WHERE o_orderstatus = 'F' GROUP BY 1, 2, 3""")
+@_query("""WITH r AS (SELECT c_custkey AS node_id, c_nationkey AS head, c_name FROM customer), s AS (SELECT o_custkey AS node_id, o_custkey % 25 AS head, o_orderpriority AS library, CASE WHEN o_orderkey % 2 = 0 THEN 'd1' ELSE 'd2' END AS detector, o_orderkey FROM orders),
+l AS (SELECT DISTINCT o_orderpriority AS library, CASE WHEN o_orderpriority < '3' THEN 'd1' ELSE 'd2' END AS detector FROM orders), a AS (SELECT c_custkey AS node_id, c_nationkey AS head, c_mktsegment FROM customer WHERE c_acctbal > 0)
+SELECT node_id, head, library, detector, c_name, o_orderkey, c_mktsegment FROM r JOIN s USING (node_id, head) JOIN l USING (library, detector) LEFT JOIN a USING (node_id, head)""")
 def materialize_join(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
-    rows = o.join(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey", "o_custkey").agg(F.sum("l_quantity").alias("quantity"))
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = table(spark, sf, "nation").where("n_regionkey < 3")
-    return rows.join(c, F.col("c_custkey") == F.col("o_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("c_name", "n_name", "o_orderkey", "quantity")
+    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
+    repositories = c.select(F.col("c_custkey").alias("node_id"), F.col("c_nationkey").cast("long").alias("head"), "c_name")
+    results = o.select(F.col("o_custkey").alias("node_id"), (F.col("o_custkey") % 25).alias("head"), F.col("o_orderpriority").alias("library"), F.when(F.col("o_orderkey") % 2 == 0, "d1").otherwise("d2").alias("detector"), "o_orderkey")
+    libraries = o.select(F.col("o_orderpriority").alias("library")).distinct().withColumn("detector", F.when(F.col("library") < "3", "d1").otherwise("d2"))
+    analysis = c.where("c_acctbal > 0").select(F.col("c_custkey").alias("node_id"), F.col("c_nationkey").cast("long").alias("head"), "c_mktsegment")
+    return relational.materialize(repositories, results, libraries, analysis)
+
+
+@_query("""SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P'""")
+def active_candidates(spark, sf):
+    candidates = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.when(F.col("o_orderstatus") == "P", "active").otherwise("stale").alias("state"))
+    return relational.with_active(table(spark, sf, "customer").select("c_custkey"), candidates, ["c_custkey"]).select("c_custkey", "o_orderkey")
+
+
+@_query("""WITH r AS (SELECT o_custkey AS node_id, o_custkey % 7 AS head, o_orderpriority AS library, CASE o_orderstatus WHEN 'F' THEN 'confirmed' WHEN 'O' THEN 'bundled' ELSE 'rejected' END AS band, CASE WHEN o_orderkey % 3 = 0 THEN 'dating' END AS fingerprint, o_orderkey FROM orders)
+SELECT o_orderkey FROM r JOIN customer ON c_custkey = node_id AND c_nationkey % 7 = head WHERE band IN ('confirmed', 'bundled', 'targeted') AND fingerprint IS DISTINCT FROM 'dating'""")
+def missing_dating(spark, sf):
+    o = table(spark, sf, "orders")
+    results = o.select(F.col("o_custkey").alias("node_id"), (F.col("o_custkey") % 7).alias("head"), F.col("o_orderpriority").alias("library"), F.when(F.col("o_orderstatus") == "F", "confirmed").when(F.col("o_orderstatus") == "O", "bundled").otherwise("rejected").alias("band"), F.when(F.col("o_orderkey") % 3 == 0, "dating").alias("dating_fingerprint"), "o_orderkey")
+    repositories = table(spark, sf, "customer").select(F.col("c_custkey").alias("node_id"), (F.col("c_nationkey") % 7).cast("long").alias("head"))
+    libraries = o.select(F.col("o_orderpriority").alias("library")).distinct().withColumn("fingerprint", F.lit("dating"))
+    return relational.missing_dating(repositories, results, libraries).select("o_orderkey")
 
 
 @_query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O')")
@@ -218,12 +242,12 @@ def keep_top_k(spark, sf):
     return relational.latest(table(spark, sf, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")], 3).select("user_id", "event_id")
 
 
-@_query("""WITH r AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS node_id, upper(c_name) AS name FROM customer), k AS (SELECT c_custkey AS node_id, c_name AS name FROM customer WHERE c_custkey % 3 <> 0)
-SELECT r.node_id, r.name, coalesce(a.node_id, b.node_id) AS resolved, CASE WHEN a.node_id IS NOT NULL THEN 'id' WHEN b.node_id IS NOT NULL THEN 'name' ELSE 'none' END AS how
-FROM r LEFT JOIN k a ON a.node_id = r.node_id LEFT JOIN (SELECT lower(name) AS name, min(node_id) AS node_id FROM k GROUP BY 1 HAVING count(DISTINCT node_id) = 1) b ON b.name = lower(r.name)""")
+@_query("""WITH r AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey + CASE WHEN c_custkey % 14 = 0 THEN 1 ELSE 0 END END AS node_id, upper(c_name) AS name FROM customer), k AS (SELECT c_custkey AS node_id, c_name AS name FROM customer WHERE c_custkey % 3 <> 0),
+j AS (SELECT r.node_id, r.name, a.node_id AS x, b.node_id AS y FROM r LEFT JOIN k a ON a.node_id = r.node_id LEFT JOIN (SELECT lower(name) AS name, min(node_id) AS node_id FROM k GROUP BY 1 HAVING count(DISTINCT node_id) = 1) b ON b.name = lower(r.name))
+SELECT node_id, name, CASE WHEN x <> y THEN NULL ELSE coalesce(x, y) END AS resolved, CASE WHEN x <> y THEN 'conflict' WHEN x IS NOT NULL THEN 'id' WHEN y IS NOT NULL THEN 'name' ELSE 'none' END AS how FROM j""")
 def identity_coalesce(spark, sf):
-    c = table(spark, sf, "customer")
-    rows = c.select(F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).alias("node_id"), F.upper("c_name").alias("name"))
+    c, k = table(spark, sf, "customer"), F.col("c_custkey")
+    rows = c.select(F.when(k % 2 == 0, k + F.when(k % 14 == 0, 1).otherwise(0)).alias("node_id"), F.upper("c_name").alias("name"))
     return relational.resolve_identity(rows, c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("node_id"), F.col("c_name").alias("name")))
 
 
@@ -245,16 +269,19 @@ def release_delta(spark, sf):
     return relational.delta(_cut(spark, sf, "true"), _cut(spark, sf, "o_orderdate < TIMESTAMP_NTZ '1999-01-01' AND o_orderpriority <> '1-URGENT'"), "p")
 
 
-@_query("SELECT o_orderpriority AS p, count(*) FILTER (CAST(o_orderdate AS DATE) > DATE '2000-06-01') AS delta FROM orders GROUP BY 1")
+@_query("SELECT o_orderpriority AS library, count(*) FILTER (CAST(o_orderdate AS DATE) > DATE '2000-06-01') AS new FROM orders GROUP BY 1")
 def snapshot_delta(spark, sf):
-    return table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("p")).agg(F.count_if(_day("o_orderdate") > F.lit("2000-06-01").cast("date")).alias("delta"))
+    entries = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("library"), _day("o_orderdate").alias("first_date"))
+    return families.snapshot_delta(entries, F.lit("2000-06-01").cast("date"))
 
 
-@_query("""WITH m AS (SELECT strftime(o_orderdate, '%m') AS m, year(o_orderdate) AS y FROM orders), a AS (SELECT m, count(*) AS n FROM m WHERE y = 1999 GROUP BY 1), b AS (SELECT m, count(*) AS n FROM m WHERE y = 2001 GROUP BY 1),
-f AS (SELECT m, coalesce(a.n, 0) AS old_n, coalesce(b.n, 0) AS new_n FROM a FULL JOIN b USING (m)), g AS (SELECT *, CAST(greatest(10, ceil(greatest(old_n, 1) * 0.15)) AS BIGINT) AS allowed FROM f) SELECT *, abs(new_n - old_n) >= allowed AS failed FROM g""")
+@_query("""WITH m AS (SELECT strftime(o_orderdate, '%m') AS m, year(o_orderdate) AS y, o_orderstatus FROM orders), a AS (SELECT m, CASE WHEN m <> '03' THEN count(*) END AS n FROM m WHERE y = 1999 AND m <> '01' GROUP BY 1), b AS (SELECT m, count(*) AS n FROM m WHERE y = 2001 GROUP BY 1),
+f AS (SELECT m, a.n AS old_n, b.n AS new_n, a.m IS NULL AS added, b.m IS NULL AS removed FROM a FULL JOIN b USING (m)), g AS (SELECT *, CASE WHEN old_n IS NOT NULL THEN CAST(greatest(10, ceil(greatest(old_n, 1) * 0.15)) AS BIGINT) END AS allowed FROM f)
+SELECT m, old_n, new_n, allowed, CASE WHEN added THEN 'added' WHEN removed THEN 'removed' WHEN (old_n IS NULL) <> (new_n IS NULL) THEN 'not-a-count' WHEN abs(new_n - old_n) >= allowed THEN 'anomaly' END AS problem FROM g""")
 def anomaly_gate(spark, sf):
     o = table(spark, sf, "orders").select(F.date_format("o_orderdate", "MM").alias("m"), F.year("o_orderdate").alias("y"))
     old, new = (o.where(f"y = {y}").groupBy("m").agg(F.count(F.lit(1)).alias("n")) for y in (1999, 2001))
+    old = old.where("m <> '01'").withColumn("n", F.when(F.col("m") != "03", F.col("n")))
     return relational.anomalies(old, new, "m")
 
 
@@ -275,21 +302,37 @@ def upsert_latest(spark, sf):
     return relational.upsert(old, new, ["user_id"])
 
 
-@_query("""WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
-SELECT CASE WHEN k IS NULL OR k % 10 = 0 THEN 'drop-private' WHEN k % 10 = 1 THEN 'drop-gone' WHEN k % 10 = 2 THEN 'drop-fork' WHEN k % 10 = 3 OR k <> k // 2 * 2 THEN 'rescan' WHEN k % 10 = 4 THEN 'skip-reject' ELSE 'reuse' END AS decision, count(*) AS n FROM e GROUP BY 1""")
+@_query("""WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), f AS (SELECT event_id, k % 11 = 0 AS private, CASE WHEN k % 13 <> 1 THEN k % 7 = 1 END AS gone, k % 5 = 2 AS fork, event_id % 2 = 0 AS tracked, CASE WHEN event_id % 3 <> 0 THEN k % 4 <> 0 END AS accessible,
+CASE WHEN k % 6 <> 0 THEN CAST(k % 3 AS VARCHAR) END AS recorded, CASE WHEN k % 9 <> 0 THEN CAST(event_id % 3 AS VARCHAR) END AS head, k > 50 AS changed FROM e)
+SELECT event_id, CASE WHEN private THEN 'drop-private' WHEN gone THEN 'drop-gone' WHEN fork THEN 'drop-fork'
+WHEN tracked AND NOT coalesce(accessible, true) THEN 'reuse' WHEN tracked AND recorded IS NOT NULL THEN CASE WHEN head = recorded THEN 'reuse' ELSE 'rescan' END
+WHEN tracked THEN CASE WHEN coalesce(changed, true) THEN 'rescan' ELSE 'reuse' END WHEN recorded IS NOT NULL AND coalesce(accessible, true) AND head = recorded THEN 'skip-reject' ELSE 'rescan' END AS decision FROM f""")
 def ledger_decision(spark, sf):
-    k = F.get_json_object("props", "$.k").cast("long")
-    e = table(spark, sf, "events").withColumn("k", k)
-    m = F.col("k") % 10
-    cached = F.when(m != 3, F.floor(F.col("k") / 2) * 2)
-    decision = relational.ledger_decision(m == 0, m == 1, m == 2, cached, F.col("k"), m == 4)
-    return e.select(decision.alias("decision")).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
+    e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    k, i = F.col("k"), F.col("event_id")
+    text_ = lambda c: c.cast("string")
+    decision = relational.ledger_decision(
+        k % 11 == 0, F.when(k % 13 != 1, k % 7 == 1), k % 5 == 2, i % 2 == 0, F.when(i % 3 != 0, k % 4 != 0), F.when(k % 6 != 0, text_(k % 3)), F.when(k % 9 != 0, text_(i % 3)), k > 50
+    )
+    return e.select("event_id", decision.alias("decision"))
+
+
+@_query("""WITH t AS (SELECT c_custkey AS n, CASE WHEN c_custkey % 4 <> 0 THEN 'h' || c_nationkey END AS h, c_custkey % 5 = 0 AS failed FROM customer WHERE c_custkey % 2 = 0), r AS (SELECT c_custkey AS n, CASE WHEN c_custkey % 7 <> 0 THEN 'o' || c_nationkey END AS h FROM customer),
+x AS (SELECT c_custkey AS n, 'r' AS h FROM customer WHERE c_custkey % 10 = 1), k AS (SELECT c_custkey AS n FROM customer WHERE c_custkey % 10 = 3 OR c_custkey % 10 = 1),
+u AS (SELECT t.n, CASE WHEN NOT failed AND t.h IS NOT NULL THEN t.h ELSE r.h END AS h, 0 AS v FROM t JOIN r USING (n) UNION ALL SELECT n, h, 1 FROM x UNION ALL SELECT n, r.h, 2 FROM k JOIN r USING (n))
+SELECT n AS name, h AS head FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY v DESC) AS i FROM u) WHERE i = 1 AND h IS NOT NULL""")
+def ledger_rebuild(spark, sf):
+    c = table(spark, sf, "customer").withColumn("name", F.col("c_custkey"))
+    k, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    tracked = c.where(k % 2 == 0).select("name", F.when(k % 4 != 0, F.concat(F.lit("h"), nation)).alias("head"), (k % 5 == 0).alias("failed"))
+    recorded = c.select("name", F.when(k % 7 != 0, F.concat(F.lit("o"), nation)).alias("head"))
+    return relational.ledger_rebuild(tracked, c.where(k % 10 == 1).select("name", F.lit("r").alias("head")), c.where((k % 10).isin(1, 3)).select("name"), recorded)
 
 
 @_query("""WITH e AS (SELECT event_type, event_id % 7 AS node, CASE WHEN event_id % 5 <> 0 THEN value END AS v, event_id, CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 END AS cur, ts FROM events)
 SELECT event_type AS lane, CAST(node AS VARCHAR) AS node_id, arg_max(v, (ts, cur, event_id)) FILTER (v IS NOT NULL) AS value, max(ts) AS observed_at, CAST(count(DISTINCT event_id % 2) AS BIGINT) AS n_aliases FROM e GROUP BY 1, 2""")
 def durable_union(spark, sf):
-    e = table(spark, sf, "events").where("ts IS NOT NULL")
+    e = table(spark, sf, "events")
     one = e.select(F.col("event_type").alias("lane"), (F.col("event_id") % 7).cast("string").alias("node_id"), F.concat(F.lit("Name-"), (F.col("event_id") % 7).cast("string"), F.lit("-"), (F.col("event_id") % 2).cast("string")).alias("name"), F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"), F.col("ts").alias("observed_at"), "event_id")
     old, new = (one.where(f"event_id % 2 = {k}").drop("event_id") for k in (0, 1))
     out = coverage.durable_union(old, new, ["lane"], ["value"])
@@ -302,11 +345,26 @@ def coverage_stats(spark, sf):
     return coverage.stats(e.select(F.col("event_type").alias("library"), F.when(F.col("user_id") % 2 == 0, "a").otherwise("b").alias("source"), (F.col("value") > 1).alias("complete"), F.col("user_id").alias("observations"), F.col("value").alias("lag"), F.col("ts").alias("started_at"), F.col("ts").alias("completed_at"), (F.col("value") > 99).alias("stale")))
 
 
-@_query("""WITH l AS (SELECT event_type AS source, arg_max(user_id % 2 = 0, (ts, event_id)) AS complete, max(ts) AS "at" FROM events GROUP BY 1) SELECT source, complete, "at", complete AND date_diff('day', CAST("at" AS DATE), DATE '2024-02-10') BETWEEN 0 AND 28 AS fresh FROM l""")
+@_query("""WITH c AS (SELECT event_type AS library, 's' || CAST(user_id % 3 AS VARCHAR) AS source, value > 5 AS complete, value > 2 AS terminal, ts AS started_at, CASE WHEN event_id % 3 <> 0 THEN ts + INTERVAL 1 HOUR END AS completed_at FROM events WHERE NOT (event_type = 'click' AND user_id % 3 = 1)),
+l AS (SELECT library, source, arg_max({'c': complete, 't': terminal, 'd': completed_at}, coalesce(completed_at, started_at)) AS r FROM c GROUP BY 1, 2),
+u AS (SELECT source, age, term FROM (VALUES ('s0', 86400, true), ('s1', 3600, false), ('s2', 864000, true)) v(source, age, term)), w AS (SELECT DISTINCT event_type AS library FROM events), s AS (SELECT w.library, u.source, age, term, r FROM w CROSS JOIN u LEFT JOIN l USING (library, source)),
+q AS (SELECT *, r IS NOT NULL AND coalesce(r.c AND (NOT term OR r.t), false) AND r.d IS NOT NULL AS whole FROM s)
+SELECT library, source, CASE WHEN r IS NULL THEN 'missing' WHEN NOT whole THEN 'incomplete' WHEN r.d <= TIMESTAMP '2024-01-30 12:00:00' AND r.d >= TIMESTAMP '2024-01-30 12:00:00' - to_seconds(age) THEN 'fresh' ELSE 'stale' END AS state FROM q""")
 def epoch_check(spark, sf):
-    e = table(spark, sf, "events")
-    last = relational.latest_one(e.withColumn("complete", F.col("user_id") % 2 == 0).withColumn("source", F.col("event_type")), ["source"], F.struct("ts", "event_id"), ["complete", "ts"])
-    return coverage.epochs(last.select("source", "complete", F.col("ts").alias("completed_at"), F.col("ts").alias("started_at")), F.lit("2024-02-10").cast("date"))
+    return _epochs(spark, sf).select("library", "source", "state")
+
+
+def _epochs(spark, sf):
+    e = table(spark, sf, "events").withColumn("source", F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string")))
+    at = F.col("ts").cast("timestamp_ntz")
+    c = e.where("NOT (event_type = 'click' AND user_id % 3 = 1)").select(F.col("event_type").alias("library"), "source", (F.col("value") > 5).alias("complete"), (F.col("value") > 2).alias("terminal"), at.alias("started_at"), F.when(F.col("event_id") % 3 != 0, at + F.expr("INTERVAL 1 HOUR")).alias("completed_at"))
+    rules = spark.createDataFrame([("s0", 86400, True), ("s1", 3600, False), ("s2", 864000, True)], "source string, max_age_seconds int, require_terminal boolean")
+    return coverage.epochs(c, rules, e.select(F.col("event_type").alias("library")), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
+
+
+@_query(f"""WITH s AS (EPOCHS) SELECT library, bool_and(state = 'fresh') AS complete, coalesce(list_sort(list(source) FILTER (state = 'missing')), []) AS missing, coalesce(list_sort(list(source) FILTER (state = 'stale')), []) AS stale, coalesce(list_sort(list(source) FILTER (state = 'incomplete')), []) AS incomplete FROM s GROUP BY 1""".replace("EPOCHS", _SQL["epoch_check"]))
+def epoch_assessment(spark, sf):
+    return coverage.assessed(_epochs(spark, sf))
 
 
 @_query("""SELECT p_brand AS lane, d AS last FROM (SELECT DISTINCT p_brand FROM part) LEFT JOIN (SELECT 'Brand#' || CAST(11 + user_id % 40 AS VARCHAR) AS p_brand, max(CAST(ts AS DATE)) AS d FROM events WHERE value > 95 GROUP BY 1) USING (p_brand) WHERE d IS NULL OR date_diff('day', d, DATE '2024-02-15') >= 21""")
@@ -316,51 +374,83 @@ def due_lanes(spark, sf):
     return coverage.due(expected, done, F.lit("2024-02-15").cast("date"))
 
 
-@_query("SELECT event_id FROM events WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1) WHERE n < 10)")
+@_query("SELECT event_id, 'open' AS gate FROM events WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1) WHERE n < 10) UNION ALL SELECT event_id, 'closed' FROM events WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1) WHERE n < 1000000000 AND event_type <> 'view')")
 def quarantine_gate(spark, sf):
     e = table(spark, sf, "events")
-    lanes = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("event_type").alias("lane"), F.lit(True).alias("required"), (F.col("n") >= 10).alias("complete"))
-    return coverage.quarantine(e.select("event_id"), lanes)
+    lanes = lambda least, free: e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("event_type").alias("lane"), (F.col("event_type") != free).alias("required"), (F.col("n") >= least).alias("complete"))
+    one = coverage.quarantine(e.select("event_id"), lanes(10, "")).withColumn("gate", F.lit("open"))
+    return one.union(coverage.quarantine(e.select("event_id"), lanes(1_000_000_000, "view")).withColumn("gate", F.lit("closed")))
 
 
-@_query("""SELECT doc_id, CASE WHEN contains(lower(text), 'license') THEN 'confirmed' WHEN contains(text, '|') THEN 'bundled' WHEN regexp_matches(text, '[0-9]') THEN 'targeted' ELSE 'rejected' END AS band FROM documents""")
+@_query("""SELECT doc_id, CASE WHEN contains(lower(text), 'license') AND doc_id % 3 <> 0 THEN 'confirmed' WHEN contains(text, '|') AND doc_id % 5 <> 0 THEN 'bundled' WHEN regexp_matches(text, '[0-9]') THEN 'targeted' END AS band FROM documents""")
 def band_precedence(spark, sf):
-    t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", relational.band(F.lower(t).contains("license"), t.contains("|"), t.rlike("[0-9]")).alias("band"))
+    t, i = F.col("text"), F.col("doc_id")
+    evaluated = F.array_compact(F.array(F.when(i % 3 != 0, "confirmed"), F.when(i % 5 != 0, "bundled"), F.lit("targeted")))
+    return table(spark, sf, "documents").select("doc_id", relational.band(F.lower(t).contains("license"), t.contains("|"), t.rlike("[0-9]"), evaluated).alias("band"))
 
 
-@_query("""SELECT conv_id, role, count(*) AS n FROM conversations WHERE regexp_matches(text, '(?i)the') GROUP BY 1, 2""")
+@_query(r"""WITH c AS (SELECT conv_id, role || CASE turn % 4 WHEN 0 THEN ' (aider)' WHEN 1 THEN ' devin-ai-integration[bot]' ELSE '' END AS name, CASE turn % 3 WHEN 0 THEN '<a@openai.com>' ELSE 'openhands@x.org' END AS email,
+CASE turn % 5 WHEN 0 THEN 'Co-Authored-By: Claude' WHEN 1 THEN 'co-authored-by:  aider' ELSE text END AS body FROM conversations),
+l AS (SELECT conv_id, unnest(list_distinct(list_filter([CASE WHEN regexp_matches(body, '(?i)co-authored-by:\s*claude') OR regexp_matches(body, '(?i)generated with \[?claude code\]?') THEN 'Claude Code' END, CASE WHEN regexp_matches(email, '(?i)<[^>]*@openai\.com>') THEN 'OpenAI Codex' END,
+CASE WHEN regexp_matches(body, '(?i)co-authored-by:\s*aider') OR regexp_matches(name || ' ' || email, '(?i)\(aider\)') THEN 'Aider' END, CASE WHEN regexp_matches(name || ' ' || email, '(?i)devin-ai-integration\[bot\]') THEN 'Devin' END, CASE WHEN regexp_matches(name || ' ' || email, '(?i)openhands') THEN 'OpenHands' END], lambda x: x IS NOT NULL))) AS label FROM c)
+SELECT conv_id, label, count(*) AS commits FROM l GROUP BY 1, 2""")
 def agent_counts(spark, sf):
-    turns = table(spark, sf, "conversations").where(F.col("text").rlike("(?i)the"))
-    return turns.groupBy("conv_id", "role").agg(F.count(F.lit(1)).alias("n"))
+    turn = F.col("turn")
+    name = F.concat("role", F.when(turn % 4 == 0, " (aider)").when(turn % 4 == 1, " devin-ai-integration[bot]").otherwise(""))
+    email = F.when(turn % 3 == 0, "<a@openai.com>").otherwise("openhands@x.org")
+    body = F.when(turn % 5 == 0, "Co-Authored-By: Claude").when(turn % 5 == 1, "co-authored-by:  aider").otherwise(F.col("text"))
+    labels = table(spark, sf, "conversations").select("conv_id", F.explode(text.agent_labels(name, email, body)).alias("label"))
+    return labels.groupBy("conv_id", "label").agg(F.count(F.lit(1)).alias("commits"))
 
 
-@_query("""SELECT page_id, list_sort(list_distinct(list_transform(regexp_extract_all(lower(html), 'https?://([a-z0-9.-]+)', 1), lambda x: x))) AS hosts FROM pages""")
+@_query(r"""SELECT page_id, list_sort(list_distinct(list_transform(regexp_extract_all(lower(html || ' see https://github.com/Org-' || page_id || '/Repo.git, and http://www.github.com/org/b' || page_id % 7 || '.'), 'https?://(?:www\.)?github[.]com/([a-z0-9_.-]+/[a-z0-9_.-]+)', 1),
+lambda x: regexp_replace(regexp_replace(x, '[.,;:]+$', ''), '\.git$', '')))) AS links FROM pages""")
 def url_links(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("html"), F.lit("https?://([a-z0-9.-]+)"), F.lit(1)))).alias("hosts"))
+    told = F.concat(F.col("html"), F.lit(" see https://github.com/Org-"), F.col("page_id"), F.lit("/Repo.git, and http://www.github.com/org/b"), F.col("page_id") % 7, F.lit("."))
+    return table(spark, sf, "pages").select("page_id", text.repository_links(told).alias("links"))
+
 
+_QUERY_URL, _FIELD = r"""(?i)https?://[^\s"''<>]*\?[^\s"''<>]*""", r"""(?i)\b(api[_-]?key|access[_-]?token|auth(?:orization)?|token)(\s*(?:=|:|%3d)\s*)([^&\s,;"''<>]+)"""
 
-@_query(r"""SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?i)(bearer|token|basic)\s+[A-Za-z0-9._~+/=-]{8,}', '\1 [redacted]', 'g'), '(?i)(token|secret|password|passwd|api_key|apikey|access_key)(\s*[=:]\s*)[^\s&,;]+', '\1\2[redacted]', 'g'), '(https?://)[^\s/@:]+:[^\s/@]+@', '\1[redacted]@', 'g'), '(https?://[^\s?]+)\?[^\s]*', '\1?[redacted]', 'g'), 1, 500) AS text FROM documents""")
+
+@_query(rf"""WITH t AS (SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN '' ELSE '' END AS t FROM documents UNION ALL SELECT -1 - page_id, 'api-key=' || page_id || ' see ' || url || '?q=' || page_id || '&token=x Bearer ab' || page_id || ' auth%3Dz' || page_id FROM pages)
+SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(t, '{_QUERY_URL}', '[redacted url]', 'g'), '{_FIELD}', '\1\2[redacted]', 'g'), '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]+', 'Bearer [redacted]', 'g'), 1, 500) AS text FROM t""")
 def redact(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.redact(F.col("text")).alias("text"))
+    """Whole documents, and a line of each form for every page."""
+    n = F.col("page_id").cast("string")
+    lines = table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.concat(F.lit("api-key="), n, F.lit(" see "), F.col("url"), F.lit("?q="), n, F.lit("&token=x Bearer ab"), n, F.lit(" auth%3Dz"), n).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", "text").union(lines).select("doc_id", text.redact(F.col("text")).alias("text"))
 
 
-@_query("""WITH p AS (SELECT item_id, trim(regexp_replace(regexp_replace(lower(substr(text, 1, 40)), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS key FROM benchmark) SELECT key, min(item_id) AS item_id, count(*) AS n FROM p GROUP BY key""")
+@_query("""WITH p AS (SELECT item_id, trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS key FROM benchmark) SELECT key, min(item_id) AS item_id, count(*) AS n FROM p GROUP BY key""")
 def title_key_dedup(spark, sf):
-    b = table(spark, sf, "benchmark").select("item_id", text.title_key(F.substring("text", 1, 40)).alias("key"))
+    b = table(spark, sf, "benchmark").select("item_id", text.title_key(F.col("text")).alias("key"))
     return b.groupBy("key").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n"))
 
 
-@_query("""SELECT doc_id AS name, doc_id = max(doc_id) OVER (PARTITION BY text) AS kept FROM documents WHERE text IS NOT NULL""")
+@_query("""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents) SELECT doc_id AS name, doc_id = max(doc_id) OVER (PARTITION BY text) AS kept FROM d""")
 def mirror_groups(spark, sf):
-    d = table(spark, sf, "documents").where("text IS NOT NULL")
+    d = table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     rows = d.select(F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("name"), F.array(F.sha2("text", 256)).alias("commits"), F.sha2("text", 256).alias("signature"), F.lit(0).alias("stars"), F.lit(0).alias("n_commits"))
     return graph.mirror_groups(rows).select(F.col("name").cast("long").alias("name"), "kept")
 
 
-@_query("""SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '([A-Za-z]{9,})', 1)))[1:25] AS operators FROM documents""")
+@_query("""WITH c AS (SELECT c_custkey AS k, c_custkey // 10 AS g, c_nationkey % 2 AS s, c_nationkey AS stars FROM customer), r AS (SELECT k, row_number() OVER (PARTITION BY g, s ORDER BY stars DESC, lpad(CAST(k AS VARCHAR), 12, '0') DESC) = 1 AS kept FROM c) SELECT k AS name, kept FROM r""")
+def mirror_chains(spark, sf):
+    """Ten customers in a chain: each shares a commit with the next."""
+    k = F.col("c_custkey")
+    own = F.when(k % 10 != 9, F.concat(F.lit("c"), k.cast("string")))
+    before = F.when(k % 10 != 0, F.concat(F.lit("c"), (k - 1).cast("string")))
+    rows = table(spark, sf, "customer").select(F.lpad(k.cast("string"), 12, "0").alias("name"), F.array_compact(F.array(own, before)).alias("commits"), (F.col("c_nationkey") % 2).cast("string").alias("signature"), F.col("c_nationkey").alias("stars"), F.lit(0).alias("n_commits"))
+    return graph.mirror_groups(rows).select(F.col("name").cast("long").alias("name"), "kept")
+
+
+@_query(r"""WITH t AS (SELECT doc_id, coalesce(text, '') || ' fn.decoders.image(x) ops.resize. fn.a' || doc_id % 50 || ' Size< 32, ' || doc_id % 9 || ' > SM<> Function<  f >' AS t FROM documents)
+SELECT doc_id, list_sort(list_distinct(list_transform(regexp_extract_all(t, '\b((?:fn|ops)\.[A-Za-z_][A-Za-z0-9_.]*)', 1), lambda x: regexp_replace(x, '[.]+$', ''))))[1:40] AS operators,
+list_sort(list_distinct(list_transform(regexp_extract_all(t, '\b((?:Function|Size|SM)\s*<[^<>;{}()\n]{0,48})', 1), lambda x: CASE WHEN regexp_matches(x, '<\s*$') THEN regexp_replace(x, '\s*<\s*$', '') ELSE regexp_replace(x, '\s', '', 'g') || '>' END)))[1:40] AS descriptors FROM t""".replace("\\\\", "\\"))
 def operators_topk(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Za-z]{9,})"), F.lit(1)))), 1, 25).alias("operators"))
+    told = F.concat(F.coalesce("text", F.lit("")), F.lit(" fn.decoders.image(x) ops.resize. fn.a"), F.col("doc_id") % 50, F.lit(" Size< 32, "), F.col("doc_id") % 9, F.lit(" > SM<> Function<  f >"))
+    return table(spark, sf, "documents").select("doc_id", text.namespace_tails(told).alias("operators"), text.descriptors(told, ["Function", "Size", "SM"]).alias("descriptors"))
 
 
 @_query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE contains(lower(p_name), 'a') ORDER BY p_retailprice DESC NULLS LAST, p_partkey LIMIT 200 OFFSET 200")
@@ -369,24 +459,26 @@ def search_page(spark, sf):
     return serve.page(found.select("p_partkey", "p_name", "p_retailprice"), [serve.by_value("p_retailprice", True), F.col("p_partkey")], 200, 1)
 
 
-@_query("""SELECT event_type AS stage, CASE WHEN user_id % 3 = 0 THEN '_shared' ELSE CAST(user_id % 3 AS VARCHAR) END AS library, count(*) AS attempts, count(*) FILTER (value > 50) AS exact_attempts, CASE WHEN bool_and(value > 50) THEN sum(value) END AS usage FROM events GROUP BY 1, 2""")
+@_query("""SELECT event_type AS stage, CASE WHEN user_id % 3 = 0 THEN '_shared' ELSE CAST(user_id % 3 AS VARCHAR) END AS library, count(*) AS attempts, count(*) FILTER (value > 0.5) AS exact_attempts, count(*) FILTER (NOT value > 0.5) AS unknown_attempts, CASE WHEN bool_and(value > 0.5) THEN CAST(sum(user_id) AS BIGINT) END AS requests FROM events GROUP BY 1, 2""")
 def runtime_inventory(spark, sf):
-    e = table(spark, sf, "events").withColumn("library", F.coalesce(F.when(F.col("user_id") % 3 != 0, (F.col("user_id") % 3).cast("string")), F.lit("_shared")))
-    known = F.col("value") > 50
-    return e.groupBy(F.col("event_type").alias("stage"), "library").agg(F.count(F.lit(1)).alias("attempts"), F.count_if(known).alias("exact_attempts"), F.when(F.every(known), F.sum("value")).alias("usage"))
+    e = table(spark, sf, "events").select(F.col("event_type").alias("stage"), F.when(F.col("user_id") % 3 == 0, "_shared").otherwise((F.col("user_id") % 3).cast("string")).alias("library"), (F.col("value") > 0.5).alias("usage_complete"), F.col("user_id").alias("requests"))
+    return runs.attempt_usage(e, ["stage", "library"], ["requests"])
 
 
-@_query("""WITH o AS (SELECT l_orderkey, sum(l_quantity) AS s FROM lineitem GROUP BY 1), t AS (SELECT s FROM o ORDER BY s DESC LIMIT 10) SELECT (SELECT quantile_cont(s, 0.5) FROM o) AS median_size, (SELECT sum(s) FROM t) AS largest, (SELECT sum(s) FROM t) + ((SELECT count(*) FROM o) - 10) * (SELECT quantile_cont(s, 0.5) FROM o) AS estimate""")
+@_query("""SELECT event_type AS stage, CASE WHEN user_id % 3 = 0 THEN '_shared' ELSE CAST(user_id % 3 AS VARCHAR) END AS library, CASE WHEN value > 50 THEN 'complete' ELSE 'failed' END AS status, count(*) AS n FROM events GROUP BY 1, 2, 3""")
+def task_inventory(spark, sf):
+    e = table(spark, sf, "events").select(F.col("event_type").alias("stage"), F.when(F.col("user_id") % 3 != 0, (F.col("user_id") % 3).cast("string")).alias("library"), F.when(F.col("value") > 50, "complete").otherwise("failed").alias("status"))
+    return runs.task_inventory(e)
+
+
+@_query("""WITH o AS (SELECT l_orderkey, sum(l_quantity) AS s FROM lineitem GROUP BY 1), t AS (SELECT s FROM o ORDER BY s DESC LIMIT 10) SELECT (SELECT quantile_cont(s, 0.5) FROM o) AS median_size, (SELECT sum(s) FROM t) AS largest, (SELECT count(*) FROM o) AS n, (SELECT sum(s) FROM t) + ((SELECT count(*) FROM o) - 10) * (SELECT quantile_cont(s, 0.5) FROM o) AS estimate""")
 def plan_estimate(spark, sf):
-    o = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("s"))
-    top = o.orderBy(F.desc("s")).limit(10).agg(F.sum("s").alias("largest"))
-    one = o.agg(F.percentile("s", 0.5).alias("median_size"), F.count(F.lit(1)).alias("n"))
-    return one.crossJoin(F.broadcast(top)).select("median_size", "largest", (F.col("largest") + (F.col("n") - 10) * F.col("median_size")).alias("estimate"))  # one row each
+    return relational.median_and_largest(table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("s")), "s", 10)
 
 
-@_query("SELECT source, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 1")
+@_query("SELECT source, count(*) AS n, min(doc_id) AS witness FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 1")
 def repo_peel(spark, sf):
-    return relational.peel(table(spark, sf, "documents"), "source")
+    return relational.peel(table(spark, sf, "documents"), "source", F.col("doc_id"))
 
 
 @_query("""WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS token FROM part), c AS (SELECT token, count(DISTINCT p_partkey) AS n FROM t GROUP BY 1), k AS (SELECT count(DISTINCT p_partkey) AS total FROM t)
@@ -410,7 +502,8 @@ def export_rows(spark, sf):
 @_query()
 def shard_packing(spark, sf):
     rows = table(spark, sf, "customer").select("c_nationkey", F.lower("c_name").alias("k"), publish.json_line("c_custkey", "c_name").alias("line"))
-    return publish.pack_rows(rows, "c_nationkey", ["k"], "line", 2000)
+    every = table(spark, sf, "nation").select((F.col("n_nationkey") * 2).alias("c_nationkey"))
+    return publish.pack_rows(rows, "c_nationkey", ["k"], "line", 2000, "c_custkey,c_name\n", every)
 
 
 @_query("SELECT 'unique' AS rule, event_type || '|' || CAST(user_id AS VARCHAR) AS key, CAST(count(*) AS VARCHAR) AS detail FROM events GROUP BY event_type, user_id HAVING count(*) > 1")
@@ -418,10 +511,9 @@ def validate_unique(spark, sf):
     return publish.duplicates(table(spark, sf, "events"), ["event_type", "user_id"])
 
 
-@_query("SELECT event_id FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before > ts")
+@_query("SELECT 'order' AS rule, CAST(event_id AS VARCHAR) AS key, 'out of order' AS detail FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before > ts")
 def validate_order(spark, sf):
-    w = W.partitionBy("user_id").orderBy("event_id")
-    return table(spark, sf, "events").withColumn("_b", F.lag("ts").over(w)).where("_b > ts").select("event_id")
+    return validate.out_of_order(table(spark, sf, "events"), ["user_id"], ["event_id"], "ts", F.col("event_id"))
 
 
 @_query("""WITH s AS (SELECT l_orderkey AS o, count(*) AS s FROM lineitem GROUP BY 1), t AS (SELECT o_orderkey AS o, 4 AS t FROM orders)
@@ -437,10 +529,14 @@ def validate_membership(spark, sf):
     return publish.same_rows(s, s.where("s_suppkey % 10 <> 0")).withColumn("key", F.get_json_object("key", "$.s_suppkey"))
 
 
-@_query("""WITH p AS (SELECT page_id, trim(regexp_replace(regexp_replace(lower(url), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS key, length(html) AS cited FROM pages) SELECT key, arg_min(CAST(page_id AS VARCHAR), (-cited, CAST(page_id AS VARCHAR))) AS work_id, CAST(max(cited) AS BIGINT) AS cited_by, count(*) AS n FROM p GROUP BY key""")
+@_query("""WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '10.5555/' || CAST(page_id % 20 AS VARCHAR) END AS doi, trim(regexp_replace(regexp_replace(lower(url), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS title, length(html) AS cited FROM pages), k AS (SELECT *, coalesce(doi, title) AS key FROM p)
+SELECT key, arg_min(CAST(page_id AS VARCHAR), (-cited, CAST(page_id AS VARCHAR))) AS work_id, CAST(max(cited) AS BIGINT) AS cited_by, count(*) AS n, list_sort(list(DISTINCT 'r' || CAST(page_id % 5 AS VARCHAR))) AS repos FROM k GROUP BY key""")
 def paper_merge(spark, sf):
-    p = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("work_id"), F.lit(None).cast("string").alias("doi"), F.col("url").alias("title"), F.length("html").cast("long").alias("cited_by"), F.array("url").alias("repos"))
-    return citations.merge_papers(p).select(text.title_key(F.col("title")).alias("key"), "work_id", "cited_by", "n")
+    i = F.col("page_id")
+    doi = F.when(i % 3 == 0, F.concat(F.when(i % 2 == 0, "https://doi.org/10.5555/").otherwise("10.5555/"), (i % 20).cast("string")))
+    p = table(spark, sf, "pages").select(i.cast("string").alias("work_id"), doi.alias("doi"), F.col("url").alias("title"), F.length("html").cast("long").alias("cited_by"), F.array(F.concat(F.lit("r"), (i % 5).cast("string"))).alias("repos"))
+    out = citations.merge_papers(p)
+    return out.select(citations.paper_key(F.col("doi"), F.col("title")).alias("key"), "work_id", "cited_by", "n", "repos")
 
 
 @_query("""SELECT l_suppkey AS g, sum(l_quantity) AS kept, count(*) AS n FROM (SELECT *, sum(l_quantity) OVER (PARTITION BY l_suppkey) - coalesce(sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM lineitem) WHERE rest > 5000 GROUP BY 1""")
@@ -448,33 +544,3 @@ def cache_eviction(spark, sf):
     order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber")]
     gone = relational.evict(table(spark, sf, "lineitem"), order, "l_quantity", 5000, F.col("l_suppkey"))
     return gone.groupBy(F.col("l_suppkey").alias("g")).agg(F.sum("l_quantity").alias("kept"), F.count(F.lit(1)).alias("n"))
-
-
-@_query()
-def path_classes(spark, sf):
-    fixed = spark.createDataFrame([("src/a.py",), ("vendor/x/a.c",), ("build/a.js",), ("docs/a.md",), ("a_pb2.py",)], "path string")
-    return fixed.select("path", text.path_class(F.col("path")).alias("kind"), text.own_source(F.col("path")).alias("own"))
-
-
-@_query()
-def imports(spark, sf):
-    fixed = spark.createDataFrame([("import a.b\nfrom c import d\n__import__('e')",), ("from x.y import z\nprint 'old'",), (None,)], "code string")
-    return fixed.select(parsers.python_imports(F.col("code")).alias("modules"))
-
-
-@_query()
-def manifest_names(spark, sf):
-    fixed = spark.createDataFrame([("requirements.txt", "Foo_Bar>=1\n# no\nbaz[x]==2"), ("pyproject.toml", '[project]\ndependencies = ["a.b>1"]'), ("setup.py", "setup(install_requires=['q>1'])"), ("pyproject.toml", "[broken")], "path string, text string")
-    return fixed.select("path", parsers.manifest_distributions(F.col("path"), F.col("text")).alias("names"))
-
-
-@_query()
-def strip_comments(spark, sf):
-    fixed = spark.createDataFrame([('int a; // b\nchar *s = "/* no */"; /* x\ny */ int c;',)], "code string")
-    return fixed.select(parsers.strip_comments(F.col("code")).alias("code"))
-
-
-@_query()
-def notebook_text(spark, sf):
-    fixed = spark.createDataFrame([('{"cells": [{"cell_type": "code", "source": ["a\\n", "b"]}, {"cell_type": "markdown", "source": "no"},]}',), ("{",)], "raw string")
-    return fixed.select(parsers.notebook_code(F.col("raw")).alias("code"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, **conf: str) -> SparkSession:
@@ -13,3 +15,14 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     for k, v in {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", **conf}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` written once where all executors can read it, its lineage cut: in the folder of spark.checkpoint.dir. Only a local session may go without."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="usagelens-"))
+    return df.checkpoint()
