@@ -2,16 +2,19 @@
 
 A source's documents, in a hashed order, form one stream of words, cut into blocks of `block_words`. Its quota of blocks is
 split among output shards by a binary tree whose nodes hold one count for each source; a shard then draws its blocks, disjoint
-from all others', from a permutation of the source's blocks. Stream places come from two running sums (over buckets of
-documents, then inside a bucket), so no source is ever in one task.
+from all others', from a keyed permutation of the source's blocks: the stretch of places that its quota gives it. What no shard
+draws isn't taken. Stream places come from two running sums (over buckets of documents, then inside a bucket), so no source is
+ever in one task. `mixed_documents` deals the rows to their shards and shuffles them there.
 
 Defined cases: a null or blank text has size 0 and is never taken; a null source is a source of its own, last in order;
-repeated rows are rows of their own; an empty table gives an empty mix; other columns are left alone.
+repeated rows are rows of their own; texts of any length are counted and cut whole; equal weights and sizes are split by source order; an
+empty table gives an empty mix; other columns are left alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import ranked, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
+SHARDS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -51,36 +55,86 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     return order.select("source", "source_size", "place", target.alias("target"))
 
 
-def _split(counts: Column, part: Column, node: Column, seed: int) -> Column:
-    """How many of each source's blocks go left when `part` of all blocks do: draws from conditional hypergeometric laws, one source after another.
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, x worked out once."""
+    return F.element_at(F.transform(F.array(x), f), 1)
 
-    Counts up to 48 are drawn block by block, larger ones by the normal law, held inside what is possible.
-    """
+
+def _log_factorial(n: Column) -> Column:
+    """Stirling's series at n + 9, less the factors in between (error below 1e-10)."""
+    x = n.cast("double") + 9
+    factors = n.cast("double") + 1
+    for i in range(2, 9):
+        factors = factors * (n + i)
+    return (x - 0.5) * F.ln(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) - F.ln(factors)
+
+
+def _hypergeometric(q: Column, t: Column, n: Column, *keys) -> Column:
+    """How many of q marked among t lie in a random n of them. Few are drawn one by one; many by the ratio of uniforms (rejection, so the law is exact)."""
+    one = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), F.greatest(F.least(q, F.lit(48)), F.lit(1))),
+        F.lit(0).cast("long"),
+        lambda got, k: got + F.when(_uniform(*keys, k, F.lit(3)) * (t - k + 1) < n - got, 1).otherwise(0).cast("long"),
+    )
+    # the rarer kind and the smaller part; a the former's number, b the latter's
+    small = F.struct(F.least(q, t - q).alias("a"), F.greatest(q, t - q).alias("rest"), F.least(n, t - n).alias("b"), t.alias("t"))
+
+    def shaped(v: Column) -> Column:
+        share = v["a"] / F.greatest(v["t"], F.lit(1))
+        var = (v["t"] - v["b"]).cast("double") * v["b"] * share * (1 - share) / F.greatest(v["t"] - 1, F.lit(1))
+        mode = F.floor((v["b"] + 1).cast("double") * (v["a"] + 1) / (v["t"] + 2)).cast("long")
+        return F.struct(*[v[c].alias(c) for c in ("a", "rest", "b")], (v["b"] * share + 0.5).alias("centre"), F.sqrt(F.greatest(var, F.lit(0.0)) + 0.5).alias("spread"), mode.alias("mode"))
+
+    def terms(v: Column, k: Column) -> Column:
+        return _log_factorial(k) + _log_factorial(v["a"] - k) + _log_factorial(v["b"] - k) + _log_factorial(v["rest"] - v["b"] + k)
+
+    def drawn(v: Column) -> Column:
+        width = v["spread"] * (2 * math.sqrt(2 / math.e)) + (3 - 2 * math.sqrt(3 / math.e))
+        end = F.least(F.least(v["a"], v["b"]) + 1, F.floor(v["centre"] + 16 * v["spread"]).cast("long"))
+
+        def tried(acc: Column, i: Column) -> Column:
+            u = _uniform(*keys, i, F.lit(4))
+            return _let(
+                F.struct(u.alias("u"), F.floor(v["centre"] + width * (_uniform(*keys, i, F.lit(5)) - 0.5) / u).cast("long").alias("k")),
+                lambda y: F.when((y["k"] >= 0) & (y["k"] < end), F.when(2 * F.ln(y["u"]) <= acc["peak"] - terms(v, y["k"]), y["k"]).otherwise(F.lit(-1).cast("long"))).otherwise(F.lit(-1).cast("long")),
+            )
+
+        start = F.struct(F.lit(-1).cast("long").alias("k"), terms(v, v["mode"]).alias("peak"))
+        step = lambda acc, i: F.when(acc["k"] >= 0, acc).otherwise(F.struct(tried(acc, i).alias("k"), acc["peak"].alias("peak")))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, step, lambda acc: F.when(acc["k"] >= 0, acc["k"]).otherwise(v["mode"]))
+
+    many = _let(_let(small, shaped), drawn)
+    # back from the rarer kind and the smaller part to what was asked
+    back = _let(many, lambda k: _let(F.when(q <= t - q, k).otherwise(F.least(n, t - n) - k), lambda x: F.when(n > t - n, q - x).otherwise(x)))
+    return F.when(q == 0, F.lit(0).cast("long")).when(q <= 48, one).otherwise(back)
+
+
+def _split(counts: Column, part: Column, node: Column, seed: int) -> Column:
+    """How many of each source's blocks go left when `part` of all blocks do: draws from conditional hypergeometric laws, one source after another."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
 
     def draw(acc: Column, x: Column) -> Column:
-        q, i = x["q"], x["i"]
-        n, t = acc["n"], acc["t"]
+        q, n, t = x["q"], acc["n"], acc["t"]
         low, high = F.greatest(F.lit(0).cast("long"), n - (t - q)), F.least(n, q)
-        p = n.cast("double") / F.greatest(t, F.lit(1))
-        mean = q * p
-        var = q * p * (1 - p) * (t - q) / F.greatest(t - 1, F.lit(1))
-        z = F.sqrt(-2 * F.ln(_uniform(F.lit(seed), node, i, F.lit(1)))) * F.cos(2 * 3.141592653589793 * _uniform(F.lit(seed), node, i, F.lit(2)))
-        by_law = F.round(mean + F.sqrt(F.greatest(var, F.lit(0.0))) * z).cast("long")
-        one = F.aggregate(
-            F.sequence(F.lit(1).cast("long"), F.greatest(F.least(q, F.lit(48)), F.lit(1))),
-            F.lit(0).cast("long"),
-            lambda got, k: got + F.when(_uniform(F.lit(seed), node, i, k, F.lit(3)) * (t - k + 1) < n - got, 1).otherwise(0).cast("long"),
-        )
-        drawn = F.when(q == 0, F.lit(0).cast("long")).when(q <= 48, one).otherwise(by_law)
-        left = F.greatest(low, F.least(high, drawn))
-        return F.struct((n - left).alias("n"), (t - q).alias("t"), F.concat(acc["out"], F.array(left)).alias("out"))
+        left = F.greatest(low, F.least(high, _hypergeometric(q, t, n, F.lit(seed), node, x["i"])))
+        return _let(left, lambda k: F.struct((n - k).alias("n"), (t - q).alias("t"), F.concat(acc["out"], F.array(k)).alias("out")))
 
     start = F.struct(part.alias("n"), total.alias("t"), F.array().cast("array<long>").alias("out"))
     items = F.transform(counts, lambda q, i: F.struct(q.alias("q"), i.alias("i")))
     return F.aggregate(items, start, draw, lambda acc: acc["out"])
 
 
+def permuted(x: Column, n: Column, *keys, rounds: int = 40) -> Column:
+    """x's place in a keyed pseudo-random permutation of 0..n-1, for any n: swap or not, round by round. Each round pairs x with
+    key - x modulo n, and a hash of the pair says whether they change places, so every round undoes itself."""
+
+    def swap(at: Column, i: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(*keys, i, F.lit(1)), n) - at, n)
+        return F.when(F.xxhash64(*keys, i, F.greatest(at, other), F.lit(2)).bitwiseAND(1) == 1, other).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x.cast("long"), swap)
+
+
 def shard_quotas(sources: DataFrame, shards: int, seed: int) -> DataFrame:
     """(place, ends): for each source the running ends of the shards' quotas of blocks. `sources`: (place, quota). `shards`: a power of two.
 
@@ -109,7 +163,7 @@ def mix(
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
     most: float = 2.0,
-    shards: int = 16,
+    shards: int = SHARDS,
     block_words: int = 1024,
     bucket_words: int = 1 << 19,
     seed: int = 17,
@@ -131,8 +185,7 @@ def mix(
     blocks = F.when(rest > 0, a_pass + F.ceil(rest / F.lit(block_words))).otherwise(F.ceil(F.col("words") / F.lit(block_words))).cast("long")
     sources = staged(sources.withColumn("a_pass", a_pass.cast("long")).withColumn("quota", blocks), "quotas")
     ends = shard_quotas(sources.select("place", "quota"), shards, seed)
-    prime = F.when(F.col("n_full") % 1_000_003 != 0, 1_000_003).otherwise(998_244_353).cast("long")
-    sources = staged(sources.join(ends, "place", "left").withColumn("prime", prime).withColumn("turn", F.pmod(F.xxhash64(F.lit(seed), "source"), F.greatest("n_full", F.lit(1)))), "quotas")
+    sources = staged(sources.join(ends, "place", "left"), "quotas")
     # places in the stream: the bucket's, then the document's inside it
     bucketed = lambda df: (
         df.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
@@ -148,26 +201,37 @@ def mix(
     at = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     placed = bucketed(rows if keep else slim).join(offsets, ["place", "bucket"]).withColumn("at", at)
 
-    def piece(turn: Column, b: Column) -> Column:
+    def place(turn: int, b: Column) -> Column:
+        """The block's place in its source's permutation for this pass; a last block that isn't full comes last."""
+        return F.when(b < F.col("n_full"), permuted(b, F.greatest("n_full", F.lit(1)), F.lit(seed), F.col("place"), F.lit(turn))).otherwise(F.col("n_full"))
+
+    def piece(turn: int, b: Column, rank: Column) -> Column:
         start = F.greatest(F.col("at"), b * block_words)
         end = F.least(F.col("at") + F.col("size"), (b + 1) * block_words)
-        full = b < F.col("n_full")
-        rank = F.when(full, F.pmod(b * F.pmod(F.col("prime"), F.greatest("n_full", F.lit(1))) + F.col("turn") + turn * 7919, F.greatest("n_full", F.lit(1)))).otherwise(F.col("n_full"))
-        drawn = turn * F.col("source_size") + rank * block_words + (start - b * block_words)
-        n = F.greatest(F.lit(0).cast("long"), F.least(end - start, F.col("words") - drawn))
+        # the shard whose stretch of places this is; none (past the last end) draws the rest
         no = turn * F.col("a_pass") + rank
-        return F.struct(turn.alias("pass"), (start - F.col("at")).alias("start"), n.alias("n"), F.size(F.filter("ends", lambda e: e <= no)).alias("shard"))
+        shard = F.size(F.filter("ends", lambda e: e <= no))
+        # the last block drawn is cut where the target is met
+        before = turn * F.col("source_size") + rank * block_words + (start - b * block_words)
+        n = F.when(shard < F.size("ends"), F.greatest(F.lit(0).cast("long"), F.least(end - start, F.col("words") - before))).otherwise(F.lit(0).cast("long"))
+        return F.struct(F.lit(turn).cast("long").alias("pass"), (start - F.col("at")).alias("start"), n.alias("n"), shard.alias("shard"))
 
     first, last = F.floor(F.col("at") / F.lit(block_words)), F.floor((F.col("at") + F.col("size") - 1) / F.lit(block_words))
-    cut = lambda turn: F.transform(F.sequence(first, F.greatest(last, first)), lambda b: piece(F.lit(turn).cast("long"), b))
+
+    def cut(turn: int) -> Column:
+        ranked_ = F.transform(F.sequence(first, F.greatest(last, first)), lambda b: F.struct(b.alias("b"), place(turn, b).alias("r")))
+        return F.transform(ranked_, lambda x: piece(turn, x["b"], x["r"]))
+
     pieces = F.filter(F.concat(cut(0), cut(1)), lambda x: x["n"] > 0)
-    placed = placed.withColumn("pieces", F.when(F.col("size") > 0, pieces).otherwise(F.filter(F.concat(cut(0)), lambda x: F.lit(False))))
+    none = F.array().cast("array<struct<pass:bigint,start:bigint,n:bigint,shard:int>>")
+    placed = placed.withColumn("pieces", F.when(F.col("size") > 0, pieces).otherwise(none))
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, x: a + x["n"])
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.array_sort(F.array_distinct(F.transform("pieces", lambda x: x["shard"]))).alias("shards"), "pieces", *[k for k in keep if k not in ("doc_id", "source")])
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
-    """The mix as rows of `docs`' own columns: one row for each pass over a document, its text cut to the words taken where that pass takes a part; rows are shuffled inside their partition."""
+    """The mix as rows of `docs`' own columns: one row for each pass over a document, its text cut to the words taken where that
+    pass takes a part. A row goes to the shard of its first words, and shards are shuffled, each in a partition of its own."""
     cols = docs.columns
     # the caller's columns travel as one, clear of this plan's names
     whole = docs.select("doc_id", "source", "text", F.struct(*cols).alias("_row"))
@@ -178,6 +242,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     part = F.array_join(F.flatten(F.transform("_own", lambda x: F.slice(words, (x["start"] + 1).cast("int"), x["n"].cast("int")))), " ")
     one = one.withColumn("text", F.when(F.col("_n") == F.col("size"), F.col("text")).otherwise(part))
-    one = one.sortWithinPartitions(F.element_at("_own", 1)["shard"], F.xxhash64(F.lit(seed), "doc_id", "_pass"))
+    shards = how.get("shards", SHARDS)
+    one = one.withColumn("_shard", F.element_at("_own", 1)["shard"])
+    one = one.repartition(shards, "_shard").sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "doc_id", "_pass"))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return one.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in cols])
