@@ -71,20 +71,23 @@ def growth(dated: DataFrame, by: str, date: Column, as_of: Column, spans: list[i
 def cards(entries: DataFrame, registry: DataFrame, as_of: Column, bands: tuple[str, ...] = ("confirmed", "bundled", "targeted")) -> DataFrame:
     """A card for each library of the registry (library, counts_build boolean, coverage map<band, state>), also those without entries.
 
-    A band that isn't evaluated counts NULL, never 0; the headline is NULL when a band it needs is.
+    A band that isn't evaluated counts NULL, never 0; the headline is NULL when a band it needs is. With columns ai_on_first_use and
+    ai_assisted the card also counts confirmed entries whose first use an assistant wrote, and repositories with any such commit.
     """
     band = F.col("band")
+    assisted = [c for c in ("ai_on_first_use", "ai_assisted") if c in entries.columns]
     counted = entries.groupBy("library").agg(
         *[F.count_if(band == b).alias(b) for b in bands],
         F.min(F.when(band == "confirmed", F.col("first_date"))).alias("first_seen"),
         F.count_if((band == "confirmed") & D.within_days(F.col("first_date"), as_of, 30)).alias("trending_30"),
         F.count_if((band == "confirmed") & D.growth_current(F.col("first_date"), as_of, 7)).alias("new_7"),
+        *[F.count_if((band == "confirmed") & F.coalesce(F.col(c), F.lit(False))).alias(c) for c in assisted],
     )
     full = registry.join(counted, "library", "left")
     state = lambda b: F.coalesce(F.element_at("coverage", F.lit(b)), F.lit("evaluated")) == "evaluated"
     n = {b: F.when(state(b), F.coalesce(b, F.lit(0))) for b in bands}
     headline = n["confirmed"] + F.when(F.col("counts_build"), n["bundled"]).otherwise(0)
-    return full.select("library", *[n[b].alias(b) for b in bands], headline.alias("headline"), "first_seen", F.coalesce("trending_30", F.lit(0)).alias("trending_30"), F.coalesce("new_7", F.lit(0)).alias("new_7"))
+    return full.select("library", *[n[b].alias(b) for b in bands], headline.alias("headline"), "first_seen", F.coalesce("trending_30", F.lit(0)).alias("trending_30"), F.coalesce("new_7", F.lit(0)).alias("new_7"), *[F.coalesce(c, F.lit(0)).alias(c) for c in assisted])
 
 
 def family_rollup(entries: DataFrame, parents: DataFrame) -> DataFrame:

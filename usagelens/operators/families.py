@@ -181,3 +181,26 @@ def portfolio_totals(entries: DataFrame, registry: DataFrame) -> DataFrame:
 def snapshot_delta(entries: DataFrame, prior: Column, by: str = "library") -> DataFrame:
     """(library, new, is_new rows counted): entries of any band dated after the prior snapshot; without a prior none is new."""
     return entries.groupBy(by).agg(F.count_if(F.coalesce(F.col("first_date") > prior, F.lit(False))).alias("new"))
+
+
+def portfolio_cards(registry: DataFrame, existing: DataFrame, measured: DataFrame) -> DataFrame:
+    """A card for each registry entry (library, trackability): its status, and counts from measured rows (library, confirmed, bundled, targeted), NULL for a band that isn't evaluated.
+
+    An entry without a metric contract is not applicable and may have no rows; one without an existing card (library, collection_status,
+    coverage map<band, string>) isn't collected: unknown, never 0. Rows in a band that isn't evaluated are an error.
+    """
+    old = existing.select("library", "collection_status", "coverage").withColumn("_there", F.lit(True))
+    both = registry.join(old, "library", "left").join(measured, "library", "left")
+    pending = F.col("trackability").isin("needs_metric_contract", "research_only", "retired")
+    there = F.coalesce("_there", F.lit(False))
+    out = both.select(
+        "library", F.when(F.col("trackability") == "retired", "retired").when(pending, "pending").otherwise("defined").alias("metric_contract_status"),
+        F.when(pending, "not_applicable").when(~there, "not_collected").otherwise(F.coalesce("collection_status", F.lit("collected"))).alias("collection_status"),
+        *[(~pending & there & (c == "evaluated")).alias(f"_{b}") for b, c in zip(BANDS, coverage_states(F.col("coverage")), strict=True)], *BANDS,
+    )
+
+    def count(b: str) -> Column:
+        n = F.coalesce(b, F.lit(0)).cast("long")
+        return F.when(F.col(f"_{b}"), n).when(n > 0, F.raise_error(F.lit(f"{b} rows in a band that is not evaluated")).cast("long"))
+
+    return out.select("library", "metric_contract_status", "collection_status", *[count(b).alias(b) for b in BANDS])

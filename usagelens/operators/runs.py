@@ -204,3 +204,21 @@ def artifact_inventory(spark: SparkSession, root: str, prefix: str) -> DataFrame
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     inner = F.element_at(F.split("path", re.escape(root.rstrip("/").split(":", 1)[-1].lstrip("/")) + "/", 2), -1)
     return files.select(F.concat(F.lit(prefix.rstrip("/") + "/"), inner).alias("path"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def local_counts(repositories: DataFrame, candidates: DataFrame, results: DataFrame) -> DataFrame:
+    """One row of what is stored: repositories, active candidates and the distinct repositories and libraries among them, clean results.
+
+    Distinct values are grouped before they are counted, so no task holds them all.
+    """
+    active = candidates.where("state = 'active'")
+    pairs = active.groupBy("repository", "library").agg(F.count(F.lit(1)).alias("n"))
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    parts = [
+        n(repositories, "repositories"), pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("candidates"), F.count(F.lit(1)).alias("pairs")), n(active.select("repository").distinct(), "candidate_repositories"),
+        n(active.select("library").distinct(), "candidate_libraries"), n(results.where("status = 'clean'"), "clean_results"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(F.broadcast(p))  # one row each
+    return out

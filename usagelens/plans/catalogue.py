@@ -185,7 +185,7 @@ def component_projection(spark, sf):
 
 @_query("""WITH r AS (SELECT c_custkey AS node_id, c_nationkey AS head, c_name FROM customer), s AS (SELECT o_custkey AS node_id, o_custkey % 25 AS head, o_orderpriority AS library, CASE WHEN o_orderkey % 2 = 0 THEN 'd1' ELSE 'd2' END AS detector, o_orderkey FROM orders),
 l AS (SELECT DISTINCT o_orderpriority AS library, CASE WHEN o_orderpriority < '3' THEN 'd1' ELSE 'd2' END AS detector FROM orders), a AS (SELECT c_custkey AS node_id, c_nationkey AS head, c_mktsegment FROM customer WHERE c_acctbal > 0)
-SELECT node_id, head, library, detector, c_name, o_orderkey, c_mktsegment FROM r JOIN s USING (node_id, head) JOIN l USING (library, detector) LEFT JOIN a USING (node_id, head)""")
+SELECT node_id, CAST(head AS BIGINT) AS head, library, detector, c_name, o_orderkey, c_mktsegment FROM r JOIN s USING (node_id, head) JOIN l USING (library, detector) LEFT JOIN a USING (node_id, head)""")
 def materialize_join(spark, sf):
     c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
     repositories = c.select(F.col("c_custkey").alias("node_id"), F.col("c_nationkey").cast("long").alias("head"), "c_name")
@@ -511,9 +511,9 @@ def validate_unique(spark, sf):
     return publish.duplicates(table(spark, sf, "events"), ["event_type", "user_id"])
 
 
-@_query("SELECT 'order' AS rule, CAST(event_id AS VARCHAR) AS key, 'out of order' AS detail FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before > ts")
+@_query("SELECT 'order' AS rule, CAST(event_id AS VARCHAR) AS key, 'out of order' AS detail FROM (SELECT event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before > value")
 def validate_order(spark, sf):
-    return validate.out_of_order(table(spark, sf, "events"), ["user_id"], ["event_id"], "ts", F.col("event_id"))
+    return validate.out_of_order(table(spark, sf, "events"), ["user_id"], ["event_id"], "value", F.col("event_id"))
 
 
 @_query("""WITH s AS (SELECT l_orderkey AS o, count(*) AS s FROM lineitem GROUP BY 1), t AS (SELECT o_orderkey AS o, 4 AS t FROM orders)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import parsers, text
@@ -842,9 +843,7 @@ def home_cards(spark, sf):
     out = None
     for mode in ("adopters_desc", "adopters_asc", "delta_desc", "trending_desc"):
         found = dashboard.home(cards, "add", " A ", True) if mode == "delta_desc" else dashboard.home(cards, "add")
-        from pyspark.sql import Window as W
-
-        one = found.select(F.lit(mode).alias("mode"), "id", F.row_number().over(W.partitionBy(F.lit(mode)).orderBy(*dashboard.home_order(mode))).alias("place"))  # a card for each library
+        one = found.select(F.lit(mode).alias("mode"), "id", F.row_number().over(W.partitionBy(F.lit(mode)).orderBy(*dashboard.home_order(mode))).cast("long").alias("place"))  # a card for each library
         out = one if out is None else out.union(one)
     return out
 
@@ -1009,3 +1008,34 @@ def library_queries(spark, sf):
 def library_candidates(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("library"), F.when(F.col("o_custkey") % 4 == 0, F.concat(F.lit("corp-x/r"), "o_custkey")).otherwise(F.concat(F.lit("u/r"), "o_custkey")).alias("repository"))
     return discovery.candidates(o, detect.owner_excluded(F.col("repository"), prefixes=["corp-"]))
+
+
+@_query("""SELECT (SELECT count(*) FROM customer) AS repositories, count(*) AS candidates, count(DISTINCT o_custkey || '|' || o_orderpriority) AS pairs, count(DISTINCT o_custkey) AS candidate_repositories, count(DISTINCT o_orderpriority) AS candidate_libraries, (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0) AS clean_results FROM orders WHERE o_orderstatus = 'F'""")
+def local_counts(spark, sf):
+    o = table(spark, sf, "orders")
+    candidates = o.select(F.col("o_custkey").alias("repository"), F.col("o_orderpriority").alias("library"), F.when(F.col("o_orderstatus") == "F", "active").otherwise("stale").alias("state"))
+    return runs.local_counts(table(spark, sf, "customer"), candidates, o.select(F.when(F.col("o_orderkey") % 3 == 0, "clean").otherwise("error").alias("status")))
+
+
+@_query("""WITH m AS (SELECT c_nationkey AS k, count(*) FILTER (c_custkey % 2 = 0) AS c, count(*) FILTER (c_custkey % 2 = 1) AS t FROM customer WHERE c_nationkey % 4 = 0 AND c_nationkey % 5 <> 0 GROUP BY 1)
+SELECT n_name AS library, CASE n_nationkey % 5 WHEN 0 THEN CASE WHEN n_nationkey % 10 = 0 THEN 'retired' ELSE 'pending' END ELSE 'defined' END AS metric_contract_status, CASE WHEN n_nationkey % 5 = 0 THEN 'not_applicable' WHEN n_nationkey % 4 <> 0 THEN 'not_collected' ELSE 'collected' END AS collection_status,
+CASE WHEN n_nationkey % 5 <> 0 AND n_nationkey % 4 = 0 THEN coalesce(c, 0) END AS confirmed, CASE WHEN false THEN coalesce(c, 0) END AS bundled, CASE WHEN n_nationkey % 5 <> 0 AND n_nationkey % 4 = 0 THEN coalesce(t, 0) END AS targeted FROM nation LEFT JOIN m ON k = n_nationkey""")
+def portfolio_cards(spark, sf):
+    k = F.col("n_nationkey")
+    n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("library"))
+    registry = n.select("library", F.when(k % 10 == 0, "retired").when(k % 5 == 0, "research_only").otherwise("trackable").alias("trackability"))
+    existing = n.where("n_nationkey % 4 = 0").select("library", F.lit(None).cast("string").alias("collection_status"), F.create_map(F.lit("bundled"), F.lit("false")).alias("coverage"))
+    c = table(spark, sf, "customer").where("c_nationkey % 4 = 0 AND c_nationkey % 5 <> 0").join(n, F.col("c_nationkey") == k)
+    measured = c.groupBy("library").agg(F.count_if(F.col("c_custkey") % 2 == 0).alias("confirmed"), F.lit(0).alias("bundled"), F.count_if(F.col("c_custkey") % 2 == 1).alias("targeted"))
+    return families.portfolio_cards(registry, existing, measured)
+
+
+@_query("""WITH e AS (SELECT c_nationkey AS k, c_custkey % 3 = 0 AS own, c_custkey % 2 = 0 AS first_use, c_custkey % 5 = 0 AS any_use FROM customer)
+SELECT n_name AS library, count(*) FILTER (own) AS confirmed, count(*) FILTER (own AND first_use) AS ai_on_first_use, count(*) FILTER (own AND any_use) AS ai_assisted FROM nation LEFT JOIN e ON k = n_nationkey GROUP BY 1""")
+def assisted_cards(spark, sf):
+    c, k = table(spark, sf, "customer"), F.col("c_custkey")
+    n = table(spark, sf, "nation")
+    named = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("library"))
+    entries = c.join(F.broadcast(named), "c_nationkey").select("library", F.when(k % 3 == 0, "confirmed").otherwise("targeted").alias("band"), F.lit(None).cast("date").alias("first_date"), (k % 2 == 0).alias("ai_on_first_use"), (k % 5 == 0).alias("ai_assisted"))
+    registry = named.select("library", F.lit(False).alias("counts_build"), F.lit(None).cast("map<string,string>").alias("coverage"))
+    return adoption.cards(entries, registry, _day()).select("library", "confirmed", "ai_on_first_use", "ai_assisted")
