@@ -5,7 +5,7 @@ of each is a completion with a mask: spans of characters that are trained on (as
 
 Defined cases: turns are ordered by (turn, role, text), repeated rows stay; null role reads as `user`, null text as empty; a
 null conv_id is in no pair; conversations that are equal, or of which one begins the other, give an empty completion; an empty
-table gives no rows; clashing or extra columns are left out.
+table gives no rows; texts of any length are rendered whole; clashing or extra columns are left out.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 TRAINED = "assistant"
 
 
@@ -62,33 +64,40 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
+def opened(turns: DataFrame) -> DataFrame:
+    """(conv_id, turns, opening, chosen_id): `opening` names the first role and text, chosen_id is the smallest conv_id that opens so. Staged: built once."""
+    all_ = conversations(turns)
+    all_ = staged(all_.withColumn("opening", F.sha2(F.concat_ws("\x00", F.element_at("turns", 1)["role"], F.element_at("turns", 1)["text"]), 256)), "conversations")
+    first = staged(all_.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "openings")
+    return all_.join(first, "opening", "left")
+
+
 def by_first_turn(turns: DataFrame, salts: int = 32) -> DataFrame:
     """Pairs from conversations that open alike (same first role and text): the one of the smallest conv_id is the chosen of each other.
 
     n conversations give n - 1 pairs. The chosen of every opening is dealt to all salts, so the others of one opening are spread.
     """
-    all_ = conversations(turns)
-    opening = F.sha2(F.concat_ws("\x00", F.element_at("turns", 1)["role"], F.element_at("turns", 1)["text"]), 256)
-    all_ = all_.withColumn("opening", opening)
-    # the smallest conv_id with its turns: an aggregate that combines before the shuffle
-    first = all_.groupBy("opening").agg(F.min_by("turns", "conv_id").alias("chosen"), F.min("conv_id").alias("chosen_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    other = all_.select("opening", F.pmod(F.xxhash64("conv_id"), F.lit(salts)).alias("salt"), F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
-    return other.join(first, ["opening", "salt"]).where("rejected_id > chosen_id").select("chosen_id", "chosen", "rejected_id", "rejected")
+    return _paired(opened(turns), salts)
+
 
+def _paired(all_: DataFrame, salts: int) -> DataFrame:
+    first = all_.where("conv_id = chosen_id").select("chosen_id", F.col("turns").alias("chosen"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    other = all_.where("conv_id > chosen_id").select("chosen_id", F.pmod(F.xxhash64("conv_id"), F.lit(salts)).alias("salt"), F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
+    return other.join(first, ["chosen_id", "salt"]).select("chosen_id", "chosen", "rejected_id", "rejected")
 
-def format_chat(turns: DataFrame) -> DataFrame:
+
+def format_chat(turns: DataFrame, salts: int = 32) -> DataFrame:
     """Every conversation's row: (conv_id, chosen_id or null, prompt, chosen, rejected, masks, counts).
 
     A conversation that opens like an earlier one is the rejected of its pair. All others are rendered alone: the prompt is
     what comes before the last assistant turn, the completion the rest.
     """
-    pairs = format_pairs(by_first_turn(turns))
-    all_ = conversations(turns)
+    all_ = opened(turns)
+    pairs = format_pairs(_paired(all_, salts))
     last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda x: x["role"])), F.lit(TRAINED)).cast("int")
     has = F.array_contains(F.transform("turns", lambda x: x["role"]), TRAINED)
     cut = F.when(has, last).otherwise(F.size("turns"))
-    alone = all_.join(pairs.select(F.col("rejected_id").alias("conv_id")), "conv_id", "left_anti").withColumn("_cut", cut)
+    alone = all_.where("chosen_id IS NULL OR conv_id = chosen_id").withColumn("_cut", cut)
     rest = F.slice("turns", F.col("_cut") + 1, F.greatest(F.size("turns") - F.col("_cut"), F.lit(0)))
     none = F.array().cast("array<struct<start:int,length:int,trained:boolean>>")
     alone = alone.select(
