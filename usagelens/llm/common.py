@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _SLICE = 1 << 18
@@ -45,15 +46,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def retire(*tables: DataFrame) -> None:
-    """Deletes staged tables that nothing reads any more, and lets Spark drop the shuffle files and broadcasts of finished plans.
-
-    Only for tables whose readers have all been written.
-    """
+    """Deletes staged tables that nothing reads any more: only those whose readers have all been written."""
     for t in tables:
         path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._staged_at)
         path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    if tables:
-        tidy(tables[0].sparkSession)
 
 
 def tidy(spark: SparkSession) -> None:
@@ -228,7 +224,8 @@ class KeyFilter:
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([own.bits[b * step : (b + 1) * step].tobytes()], pa.binary())], ["block", "bits"])
 
         # uint64 modulo a power of two equals the low bits of the signed value
-        dealt = keys.select(column).repartition(blocks, F.col(column).bitwiseAND(blocks - 1))
+        dealt = keys.select(column)
+        dealt = dealt.coalesce(1) if blocks == 1 else dealt.repartition(blocks, F.col(column).bitwiseAND(blocks - 1))
         out = cls(blocks)
         for row in dealt.mapInArrow(fill, "block int, bits binary").toLocalIterator():
             out.bits[row.block * step : (row.block + 1) * step] |= np.frombuffer(row.bits, np.uint8)
@@ -269,8 +266,12 @@ def _forest_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
+#: Edges that one task holds at a time.
+ALONE = 1 << 19
+
+
 def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges as the forests of some hundred thousand of them at a time."""
+    """Edges as the forests of ALONE of them at a time, or a batch more."""
     held: list[np.ndarray] = []
     size = 0
 
@@ -282,56 +283,35 @@ def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]))
         size += batch.num_rows
-        if size >= 1 << 19:
+        if size > ALONE:
             yield out()
             held, size = [], 0
     if size:
         yield out()
 
 
-def _star(large: bool):
-    """Of edges (u, v) sorted by both, read as they come: each u's first v is its least, and meets u's other neighbours.
-
-    Large: the larger neighbours of u go to the least of u and its neighbours. Small: u and its smaller neighbours go to the least of them.
-    """
-
-    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, least, before = None, None, None
-        for batch in batches:
-            u, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(u):
-                continue
-            new = np.r_[last is None or u[0] != last, u[1:] != u[:-1]]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
-            low = np.where(first >= 0, v[np.maximum(first, 0)], least if least is not None else 0)
-            again = ~new & (v == np.r_[before if before is not None else 0, v[:-1]])
-            last, least, before = u[-1], low[-1], v[-1]
-            if large:
-                m, on = np.minimum(low, u), (v > u) & ~again
-                a, b = v[on], m[on]
-            else:
-                on = ~new & (v != low) & ~again
-                a, b = np.r_[u[new], v[on]], np.r_[low[new], low[on]]
-            keep = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], ["a", "b"])
-
-    return meet
-
-
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, alone: int = ALONE) -> DataFrame:
     """(node, root): root is the smallest node that can be reached over `edges` (a, b), two longs. Nodes without an edge are not in it.
 
     Parts are contracted to forests where they lie; then large-star and small-star steps by turns, each one exchange of two numbers
-    an edge, read in order and not held. Every round is staged, and only two numbers a round reach the driver. Raises if
-    `most_rounds` don't do.
+    an edge, sorted, with a window's minimum. Every round is staged, and only two numbers a round reach the driver. What is left
+    of at most `alone` edges (a fixed number, some megabytes) is finished by one task. Raises if `most_rounds` don't do.
     """
-    two = "a long, b long"
-    now = staged(edges.select("a", "b").where("a <> b").mapInArrow(_contract, two), "edges")
+    now = staged(edges.select("a", "b").where("a <> b").mapInArrow(_contract, "a long, b long"), "edges")
+    least = F.min("b").over(W.partitionBy("a"))
     seen = None
     for _ in range(most_rounds):
+        if now.count() <= min(alone, ALONE):
+            last = staged(now.coalesce(1).mapInArrow(_contract, "a long, b long"), "edges")
+            retire(now)
+            now = last
+            break
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_star(True), two)
-        small = large.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_star(False), two)
+        # dealt by node first, so that neither the distinct rows nor the window need an exchange of their own
+        met = both.repartition("a").distinct().withColumn("m", F.least(least, "a"))
+        large = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        met = large.repartition("a").distinct().withColumn("m", least)
+        small = met.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         after = staged(small, "edges")
         retire(now)
         now = after

@@ -8,8 +8,10 @@ size and by place in the prefix, and only then members are verified on whole set
 The order puts tokens that are common in any part of the corpus last (a list of bounded size; it changes the work, never the
 result). That is done in two steps. A list of a token's groups, sorted by size, first pairs neighbours and all with the list's
 first, one member speaking for its group, and so do the members of a group; most near copies become components there. Only
-lists that still hold several components are expanded to all members and compared in full, in blocks of bounded size; pairs
-already in one component are left out, as the result is components. No list of pairs grows with the square of a group.
+lists that still hold several components are expanded to all members and compared, in blocks of bounded size: the members of a
+list's largest component with all others, these with each other; pairs already in one component are left out, as the result is
+components. So a large group of near copies, once it holds together, isn't compared with itself, and no list of pairs grows with
+the square of a group.
 
 A class is known by 64 bits of its set's hash: among n different sets two meet by chance with probability n * n / 2 ** 65.
 
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, components, flat_words, gram_hashes, in_chunks, retire, staged
+from .common import KeyFilter, components, flat_words, gram_hashes, in_chunks, retire, staged, tidy
 
 
 def shingles(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -291,13 +293,26 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
             cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in (token, key, size, at)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["token", "key", "n", "at"])
 
-    postings = rows.select("g", "n_shingles", "prefix").mapInArrow(post, "token long, key long, n long, at long")
+    # tokens that prefixes hold once overall meet nothing: counted first, so that their postings are never sent
+    twice = rows.select("g", "n_shingles", "prefix").mapInArrow(_tokens, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
+    twice = staged(twice, "tokens")
+    met = spark.sparkContext.broadcast(KeyFilter.of(twice, "token", twice.count()))  # of a bounded size
+    retire(twice)
+
+    def hopeful(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = met.value
+        for batch in post(batches):
+            yield batch.filter(pa.array(known.has(batch.column(0).to_numpy())))
+
+    postings = rows.select("g", "n_shingles", "prefix").mapInArrow(hopeful, "token long, key long, n long, at long")
     # lists of groups; those of one group end here
     dealt = postings.repartition("token").sortWithinPartitions("token", "n", "key")
     lists = staged(dealt.mapInArrow(_shared_only, "token long, g long, n long, at long"), "lists")
+    met.destroy()
     ids = staged(rows.select("doc_id", "n_shingles", "key"), "ids")
     members = staged(rows.where("g IS NOT NULL").select("g", "key", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["key"]), "members")
     retire(rows)
+    tidy(spark)
     # groups meet, one member speaking for each; members of one group meet under the group's own name
     groups = staged(members.groupBy("g").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("m")), "groups")
     within = members.join(groups.where("m > 1").select("g"), "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"))
@@ -352,26 +367,38 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
     sets = whole(both.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     links = staged(verified(both, sets), "links")
     retire(sets, pairs, inner)
+    tidy(spark)
     roots = staged(components(links), "roots")
     # lists of three members or more that still hold several components; only their groups are expanded
     rooted = staged(members.join(roots, members["key"] == roots["node"], "left").select("g", "key", "n", F.coalesce("root", "key").alias("root")), "rooted")
     retire(roots)
     spans = rooted.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-    open_ = lists.join(spans, "g").groupBy("token").agg(F.sum("m").alias("m"), F.min("r1").alias("r1"), F.max("r2").alias("r2")).where("m > 2 AND r1 <> r2").select("token", "m")
+    open_ = lists.join(spans, "g").groupBy("token").agg(F.sum("m").alias("m"), F.min("r1").alias("r1"), F.max("r2").alias("r2")).where("m > 2 AND r1 <> r2").select("token")
     open_ = staged(open_, "open")
-    expanded = lists.select("token", "g", "at").join(open_, "token").join(rooted, "g").select("token", "key", "n", "at", "root", "m")
-    alone = spans.where("m > 2 AND r1 <> r2").select("g", "m").join(rooted, "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"), "root", "m")
-    chunks = F.ceil(F.col("m") / F.lit(block)).cast("long")
-    mine = F.pmod(F.xxhash64("key"), chunks)
-    spread = expanded.union(alone).select("token", "key", "n", "at", "root", mine.alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("d"))
+    alone = spans.where("m > 2 AND r1 <> r2").select("g")
+    # a list's largest component is known to hold together: its members are compared with the others alone, not with each other
+    parts = rooted.groupBy("g", "root").agg(F.count(F.lit(1)).alias("k"))
+    shares = lists.select("token", "g").join(open_, "token").join(parts, "g").groupBy("token", "root").agg(F.sum("k").alias("k"))
+    shares = shares.union(alone.join(parts, "g").select(F.col("g").alias("token"), "root", "k"))
+    sizes = shares.groupBy("token").agg(F.max(F.struct("k", "root")).alias("most"), F.sum("k").alias("m"))
+    sizes = staged(sizes.select("token", F.col("most.root").alias("main"), F.col("most.k").alias("big"), (F.col("m") - F.col("most.k")).alias("rest")), "sizes")
+    expanded = lists.select("token", "g", "at").join(open_, "token").join(rooted, "g").select("token", "key", "n", "at", "root")
+    within = alone.join(rooted, "g").select(F.col("g").alias("token"), "key", "n", F.lit(0).cast("long").alias("at"), "root")
+    # blocks 0..x-1 of the largest component, x..x+y-1 of the others
+    x, y = F.ceil(F.col("big") / F.lit(block)).cast("long"), F.ceil(F.col("rest") / F.lit(block)).cast("long")
+    main = F.col("root") == F.col("main")
+    mine = F.when(main, F.pmod(F.xxhash64("key"), x)).otherwise(x + F.pmod(F.xxhash64("key"), y))
+    others = F.sequence(F.when(main, x).otherwise(F.lit(0).cast("long")), x + y - 1)
+    spread = expanded.union(within).join(sizes, "token").select("token", "key", "n", "at", "root", mine.alias("c"), F.explode(others).alias("d"))
     spread = spread.withColumn("lo", F.least("c", "d")).withColumn("hi", F.greatest("c", "d"))
     block = ["token", "lo", "hi"]
     met = spread.select(*block, "key", "n", "at", "root").repartition(*block).sortWithinPartitions(*block)
     hopeful = staged(met.mapInArrow(_hopeful(t), "token long, lo long, hi long, key long, n long, at long, root long"), "open")
-    retire(lists, groups, open_, rooted)
+    retire(lists, groups, open_, rooted, sizes)
     met = hopeful.join(members.select("key", "bits"), "key").select(*block, "key", "n", "at", "root", "bits").repartition(*block).sortWithinPartitions(*block)
     spread = staged(met.mapInArrow(_hopeful(t, True), "token long, lo long, hi long, key long, n long, root long, other long"), "open")
     retire(hopeful, members)
+    tidy(spark)
     few = staged(spread.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     dense = spread.where("other IS NULL").select(*block, "key", "n", "root")
     sets = whole(few.select(F.explode(F.array("a", "b")).alias("key")).union(dense.select("key")).distinct())
@@ -383,6 +410,14 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
     return ids, roots
 
 
+def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefix tokens of a batch's groups (g, n, prefix), each group once."""
+    for batch in batches:
+        found = dict(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
+        flat = [np.frombuffer(p, np.int64) for g, p in found.items() if g is not None and p]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64))], ["token"])
+
+
 def _shared_only(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (token, n, key) without repeats and without lists of one key."""
     held, open_token = None, None
