@@ -8,7 +8,8 @@ are of its whole text.
 
 Defined cases: null text counts as empty; empty texts get a score like any other; without labels of both kinds the score is the
 share of good labels (0.5 without labels); labels that are null or not 0 or 1 are left out, several labels of one document are
-each a row; an empty table gives no rows; clashing or extra columns are left out.
+each a row; texts of any length are read whole; equal gains go to the first statistic and threshold; repeated rows are scored
+alike; an empty table gives no rows; clashing or extra columns are left out.
 """
 
 from __future__ import annotations
