@@ -234,7 +234,7 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
     pass takes a part. A row goes to the shard of its first words, and shards are shuffled, each in a partition of its own."""
     cols = docs.columns
     # the caller's columns travel as one, clear of this plan's names
-    whole = docs.select("doc_id", "source", "text", F.struct(*cols).alias("_row"))
+    whole = docs.select("doc_id", "source", "text", F.struct(*[c for c in cols if c != "text"]).alias("_row"))
     mixed = mix(whole, seed=seed, keep=["text", "_row"], **how)
     one = mixed.withColumn("_pass", F.explode(F.array_distinct(F.transform("pieces", lambda x: x["pass"]))))
     own = F.filter("pieces", lambda x: x["pass"] == F.col("_pass"))
@@ -243,7 +243,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
     part = F.array_join(F.flatten(F.transform("_own", lambda x: F.slice(words, (x["start"] + 1).cast("int"), x["n"].cast("int")))), " ")
     one = one.withColumn("text", F.when(F.col("_n") == F.col("size"), F.col("text")).otherwise(part))
     shards = how.get("shards", SHARDS)
-    one = one.withColumn("_shard", F.element_at("_own", 1)["shard"])
-    one = one.repartition(shards, "_shard").sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "doc_id", "_pass"))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return one.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in cols])
+    out = F.struct(*[new.get(c, F.col("_row")[c]).alias(c) for c in cols])
+    # no more than the rows themselves travel to their shards
+    one = one.select(out.alias("_out"), F.element_at("_own", 1)["shard"].alias("_shard"), F.xxhash64(F.lit(seed), "doc_id", "_pass").alias("_order"))
+    return one.repartition(shards, "_shard").sortWithinPartitions("_shard", "_order").select("_out.*")
