@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, licenses, mixing, nearest, packing, quality, search, substrings
+from . import audit, chat, codes, jaccard, language, licenses, mixing, nearest, packing, quality, search, substrings, wrappers
 
 #: The folder of public tokenizers' files; a path of the machines, not of the data.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -60,11 +60,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(_read(spark, sf_dir, "documents"))
 
 
+def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(_read(spark, sf_dir, "pages"))
+
+
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_best_fit_packing, op2_embedding_near_dedup, op3_quality_classifier, op4_language_id, op5_exact_top_k_search, op6_license_scans, op7_mixing_sources, op8_ngram_jaccard_join, op9_chat_formatting, op10_substring_dedup]
+    own = [op1_best_fit_packing, op2_embedding_near_dedup, op3_quality_classifier, op4_language_id, op5_exact_top_k_search, op6_license_scans, op7_mixing_sources, op8_ngram_jaccard_join, op9_chat_formatting, op10_substring_dedup, op11_vector_code_compression, op12_html_extraction, op13_filter_interaction_audit]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL that DuckDB finishes on whole tables; the others are tested against brute force."""
-    return {"op9_chat_formatting": chat.ORACLE}
+    return {"op9_chat_formatting": chat.ORACLE, "op11_vector_code_compression": codes.ORACLE, "op12_html_extraction": wrappers.ORACLE, "op13_filter_interaction_audit": audit.ORACLE}
