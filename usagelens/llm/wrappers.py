@@ -24,7 +24,8 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from operator import add
 
 import pyarrow as pa
 import xxhash
@@ -234,12 +235,12 @@ def _items(e: Element) -> list[Item]:
 
 def _again(x: Item, y: Item) -> Item:
     """One repeated item of two that follow each other."""
-    return Item(x.key, x.optional and y.optional, True, max(x.n, y.n), x.chars + y.chars, x.links + y.links, x.same if x.same == y.same else None, _aligned(x.kids, y.kids))
+    return Item(x.key, x.optional and y.optional, True, max(x.n, y.n), x.chars + y.chars, x.links + y.links, x.same if x.same == y.same else None, _aligned(x.kids, y.kids, max))
 
 
-def _both(x: Item, y: Item) -> Item:
-    """One item of two that stand in the same place of two expressions."""
-    return Item(x.key, x.optional or y.optional, x.repeated or y.repeated, x.n + y.n, x.chars + y.chars, x.links + y.links, x.same if x.same == y.same else None, _aligned(x.kids, y.kids))
+def _both(x: Item, y: Item, pages: Callable = add) -> Item:
+    """One item of two that stand in the same place of two expressions, or (pages is max) of one page."""
+    return Item(x.key, x.optional or y.optional, x.repeated or y.repeated, pages(x.n, y.n), x.chars + y.chars, x.links + y.links, x.same if x.same == y.same else None, _aligned(x.kids, y.kids, pages))
 
 
 def _keys(items: list[Item]) -> list[str]:
@@ -272,20 +273,20 @@ def _optional(items: list[Item]) -> list[Item]:
     return [Item(x.key, True, x.repeated, x.n, x.chars, x.links, x.same, x.kids) for x in items]
 
 
-def _aligned(a: list[Item], b: list[Item]) -> list[Item]:
+def _aligned(a: list[Item], b: list[Item], pages: Callable = add) -> list[Item]:
     """One sequence for two."""
     out: list[Item] = []
     i = j = 0
     while i < len(a) and j < len(b):
         x, y = a[i], b[j]
         if x.key == y.key and (x.key != "()" or _keys(x.kids) == _keys(y.kids)):
-            out.append(_both(x, y))
+            out.append(_both(x, y, pages))
             i, j = i + 1, j + 1
         elif x.key == "()" and _keys(x.kids) == _keys(b[j : j + len(x.kids)]):
-            out.append(_both(x, _group(b[j : j + len(x.kids)], False)))
+            out.append(_both(x, _group(b[j : j + len(x.kids)], False), pages))
             i, j = i + 1, j + len(x.kids)
         elif y.key == "()" and _keys(y.kids) == _keys(a[i : i + len(y.kids)]):
-            out.append(_both(_group(a[i : i + len(y.kids)], False), y))
+            out.append(_both(_group(a[i : i + len(y.kids)], False), y, pages))
             i, j = i + len(y.kids), j + 1
         else:
             in_a = next((d for d in range(1, len(a) - i) if a[i + d].key == y.key), None)
@@ -353,14 +354,15 @@ class Wrapper:
             best, items = most, most.kids
 
     def shared(self, main: Item | None) -> set[int]:
-        """Slots (by identity) of the main part that show one text on all of many different pages, unless such texts are most of it."""
+        """Slots (by identity) of the main part, outside of repeats, that show one text on all of many different pages, unless such texts are most of it."""
         slots: list[Item] = []
 
         def look(items: list[Item]) -> None:
             for x in items:
                 if x.key == "#" and x.same is not None and x.n >= max(SEEN, 0.9 * self.pages):
                     slots.append(x)
-                look(x.kids)
+                if not x.repeated:
+                    look(x.kids)
 
         own = main.kids if main else self.items
         look(own)
