@@ -25,8 +25,8 @@ from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of texts that a table holds before it is sent on.
-HELD = 32 << 20
+#: Bytes of texts that a table holds before it is sent on, and that a partition gets.
+HELD, DEALT = 32 << 20, 32 << 20
 LETTERS = "ABCDE"
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _SIGNS = re.compile(rb"[#$%&*|]")
@@ -106,8 +106,9 @@ def _all_copies(pairs: Iterable[tuple]) -> Iterator[tuple]:
 def masked(docs: DataFrame) -> DataFrame:
     """(doc_id, part, mask, n): of each document a bit for each filter that it fails, A the lowest; n rows are alike."""
     spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit(""))).rdd
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.getNumPartitions())
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // DEALT + 1)
     routed: RDD = rows.mapPartitions(_own_copies).partitionBy(n, lambda fingerprint: fingerprint)
     return spark.createDataFrame(routed.mapPartitions(_all_copies), f"doc_id {dict(docs.dtypes)['doc_id']}, part string, mask int, n long", verifySchema=False)
 
