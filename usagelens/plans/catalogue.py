@@ -33,13 +33,13 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from . import evidence
+    from . import evidence, scans  # noqa: F401  scans adds to evidence
 
     return {**_QUERIES, **evidence.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import evidence
+    from . import evidence, scans  # noqa: F401  scans adds to evidence
 
     return {**_SQL, **evidence.SQL}
 
