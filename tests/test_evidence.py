@@ -58,11 +58,26 @@ def test_event_streams(spark):
 
 
 def test_search_plan(spark):
-    rows = [("py", s, f"r{s % 3}", f"d{i}/x.py") for s in range(8) for i in range(3)] + [("py", 5, "big", f"a/b{i}.py") for i in range(9)] + [("c", 1, "r", f"q{i % 2}/z{i}.c") for i in range(6)]
-    hits = spark.createDataFrame(rows, "extension string, size int, repository string, path string")
-    plan = discovery.search_plan(hits, ["py", "c", "none"], 4, 7)
-    assert all(p["n"] <= 4 or p["gap"] for p in plan) and {p["repository"] for p in plan if p["repository"]} == {"big", "r"}
-    assert sum(p["n"] for p in plan if not p["repository"]) == 24 + 0
+    rows = [("q", "py", s, f"r{s % 3}", f"d{i}/x.py") for s in range(8) for i in range(3)] + [("q", "py", 5, "big", f"a/b{i}.py") for i in range(9)] + [("q", "c", 1, "r", f"q{i % 2}/z{i}.c") for i in range(6)] + [("q", "txt", 1, "r", "x")]
+    hits = spark.createDataFrame(rows, "query string, extension string, size int, repository string, path string")
+    plan = discovery.search_plan(hits, ["py", "c", "none"], 4, 7).collect()
+    assert all(p.n <= 4 or p.gap for p in plan) and {p.repository for p in plan if p.repository} == {"big", "r"}
+    assert sum(p.n for p in plan if not p.repository) == 24
+    assert len(plan) == len({tuple(map(str, (p[:5], p.repository, p.path_in, p.path_out))) for p in plan})
+    assert {(p.extension, p.sizes, p.size_min, p.size_max, p.n, tuple(p.repos_out)) for p in plan if p.extension == "c" and p.size_max == 1} == {("c", "range", 1, 1, 1, ()), ("c", "range", 1, 1, 0, ("r",))}
+    assert [(p.sizes, p.n) for p in plan if p.extension == "none"] == [("any", 0)]
+
+
+def test_search_plan_of_unknown_and_huge_sizes(spark):
+    rows = [("q", "py", None, f"u{i}", f"d{i % 2}/e{i % 3}/f{i}.py") for i in range(9)] + [("q", "py", 10**7 + 1000 * i, f"u{i}", "same.py") for i in range(6)] + [("q", "py", 3, f"v{i}", "same.py") for i in range(5)] + [("q", "py", 2**40, None, None)] * 3 + [("few", "py", 1, "r", "p")] * 2
+    hits = spark.createDataFrame(rows, "query string, extension string, size long, repository string, path string")
+    plan = discovery.search_plan(hits, ["py"], 2, 1 << 20).collect()
+    assert sum(p.n for p in plan) == len(rows) and [(p.n, p.extension) for p in plan if p.query == "few"] == [(2, None)]
+    assert {(p.size_min, p.n) for p in plan if p.gap} == {(3, 5), (2**40, 3)}  # same paths, or none, can't be cut
+    unknown = [p for p in plan if p.sizes == "unknown"]
+    assert sum(p.n for p in unknown) == 9 and all(p.n <= 2 for p in unknown) and all(p.path_in or p.path_out for p in unknown)
+    assert discovery.search_plan(hits, ["py"], 2, 1 << 20, most_splits=1).where("sizes = 'unknown' and gap").count() > 0
+    assert discovery.search_plan(hits.limit(0), ["py"]).count() == 0
 
 
 def test_archives(spark):

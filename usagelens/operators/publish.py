@@ -6,12 +6,14 @@ import hashlib
 import json
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsers import casefold
 from ..functions.text import csv_cell
+from ..session import settled
 from .relational import ranks
 
 
@@ -29,40 +31,147 @@ def csv_line(*cols: Column) -> Column:
     return F.concat_ws(",", *cells)
 
 
-def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: int, header: str = "", groups: DataFrame | None = None) -> DataFrame:
+def _next_starts(ends: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of a stretch, were it to open a shard: where (in bytes from the stretch's begin) the last shard opened from there on is full, and how many open.
+
+    A shard's end is found by binary search in the running sizes; then pointers are doubled until all lead out of the stretch.
+    """
+    n = len(ends)
+    begins = ends - sizes
+    to = np.searchsorted(ends, begins + room)  # the row that doesn't fit any more
+    last, count = np.arange(n), np.ones(n, np.int64)
+    while (inside := np.flatnonzero(to < n)).size:
+        at = to[inside]
+        last[inside], to_next, more = last[at], to[at], count[at]
+        count[inside] += more
+        to = to.copy()
+        to[inside] = to_next
+    return begins[last] + room, count
+
+
+def _stretches(room: int):
+    """(group, part, rows, total, upto, full, opened): of each group's stretch in a part, what a shard that is full at byte x of it leads to: the first entry with upto >= x."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        last: tuple | None = None
+        done: list[tuple] = []
+
+        def close() -> None:
+            sizes = np.concatenate(held)
+            ends = np.cumsum(sizes)
+            entries = int(np.searchsorted(ends, room)) + 1  # a shard from before is full by then
+            full, opened = _next_starts(ends, sizes, room)
+            full, opened, upto = full[:entries], opened[:entries], ends[:entries]
+            keep = np.flatnonzero(np.r_[(full[1:] != full[:-1]) | (opened[1:] != opened[:-1]), True])
+            done.append((*last, len(sizes), int(ends[-1]), upto[keep].tolist(), (full[keep] - ends[-1]).tolist(), opened[keep].tolist()))
+
+        for batch in batches:
+            groups, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            sizes = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            cuts = [0, *(i for i in range(1, len(groups)) if groups[i] != groups[i - 1]), len(groups)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if (groups[a], parts[a]) != last:
+                    if last is not None:
+                        close()
+                    held.clear()
+                    last = (groups[a], parts[a])
+                held.append(sizes[a:b])
+            yield _segments(done, batch.schema.field(0).type)
+            done = []
+        if last is not None:
+            close()
+            yield _segments(done, batch.schema.field(0).type)
+
+    return run
+
+
+def _segments(done: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    kinds = [kind, pa.int32(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3]
+    return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], k) for i, k in enumerate(kinds)], ["group", "part", "rows", "total", "upto", "full", "opened"])
+
+
+def _entered(segments: list) -> Iterator[tuple]:
+    """((group, part), (byte at which the open shard is full, its number, rows before, whether more follows)) for stretches of one group in order of parts."""
+    full, shard, rows = 0, -1, 0
+    for i, s in enumerate(segments):
+        yield (s["group"], s["part"]), (full, shard, rows, i + 1 < len(segments))
+        k = int(np.searchsorted(np.array(s["upto"]), full))
+        full, shard, rows = (s["full"][k], shard + s["opened"][k], rows + s["rows"]) if k < len(s["upto"]) else (full - s["total"], shard, rows + s["rows"])
+
+
+def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: int, header: str = "", groups: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """(group, shard, first, rows, bytes, sha256): one greedy pass over a group's lines in order; a shard stays strictly under `target` bytes.
 
-    The pass is sequential inside a group, streamed a batch at a time: a group's rows needn't fit in memory. `header` opens every
-    shard and counts. One line that is too large is an error. `groups` (group): those without a row give one empty shard.
+    The rows are those of a sequential pass, but no group is one task's work. Lines are dealt by ranges of (group, order). Each part
+    says, for every place where a shard from before may end in it, where its own last shard then ends: by running sums, binary search
+    and pointer doubling. Only groups that go over several parts are followed from part to part, on these short rows, two for each
+    part at most. Then each part cuts its lines, and only shards that cross a part's edge are sent on, whole.
+    `header` opens every shard and counts. One line that is too large is an error. `groups` (group): those without a row give one
+    empty shard; NULL is a group of its own; lines equal in `order` are ordered by themselves.
     """
     head = header.encode()
     base = len(head)
     if base >= target:
         raise ValueError(f"a header of {base} bytes doesn't fit in a shard of {target}")
+    room = target - base
+    kind = df.schema[group].dataType.simpleString()
+    by = [F.col("group"), *[F.col(f"_o{i}") for i in range(len(order))], F.col("_line")]
+    rows = df.select(F.col(group).alias("group"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(line).alias("_line"))
+    ranged = rows.repartitionByRange(parts, *by) if parts else rows.repartitionByRange(*by)
+    lines = settled(ranged.sortWithinPartitions(*by).select("group", F.spark_partition_id().alias("part"), "_line"))
+    size = F.octet_length("_line") + 1
+    sized = lines.select("group", "part", F.when(size >= room, F.raise_error(F.format_string(f"a row of %d bytes doesn't fit in a shard of {target}", size))).otherwise(size).cast("long").alias("size"))
+    stretches = settled(sized.mapInArrow(_stretches(room), f"group {kind}, part int, rows long, total long, upto array<long>, full array<long>, opened array<long>"))
+    several = stretches.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("group").alias("_g"))
+    crossing = stretches.join(several, F.col("group").eqNullSafe(F.col("_g"))).drop("_g").orderBy("group", "part")  # two rows for each part at most
+    entered: dict = {}
+    held: list = []
+    for s in crossing.toLocalIterator():
+        if held and held[-1]["group"] != s["group"]:
+            entered.update(_entered(held))
+            held = []
+        held.append(s)
+    entered.update(_entered(held))
+    sent = df.sparkSession.sparkContext.broadcast(entered)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, now = None, None
+
+        def closed(edge: bool) -> tuple:
+            return (last[0], now["shard"], now["first"], now["rows"], now["bytes"], None if edge else hashlib.sha256(head + b"".join(now["lines"])).hexdigest(), last[1], b"".join(now["lines"]) if edge else None)
 
-    def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now = None
         for batch in batches:
             done = []
-            for g, text in zip(batch[group], batch["_line"], strict=True):
-                size = len(text.encode()) + 1
-                if base + size >= target:
-                    raise ValueError(f"a row of {size} bytes doesn't fit in a shard of {target}")
-                if now is None or g != now["g"] or now["bytes"] + size >= target:
-                    fresh = {"g": g, "shard": now["shard"] + 1 if now and g == now["g"] else 0, "first": now["first"] + now["rows"] if now and g == now["g"] else 0, "rows": 0, "bytes": base, "sha": hashlib.sha256(head)}
+            for g, part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = text.encode() + b"\n"
+                if (g, part) != last:
                     if now:
-                        done.append(now)
-                    now = fresh
+                        done.append(closed(now["edge"] or more))
+                    last = (g, part)
+                    full, shard, first, more = sent.value.get(last, (0, -1, 0, False))
+                    # what a shard from before still takes
+                    at, now = 0, {"shard": shard, "first": first, "rows": 0, "bytes": 0, "lines": [], "edge": True}
+                at += len(data)
+                if at >= full:
+                    if now["rows"]:
+                        done.append(closed(now["edge"]))
+                    now = {"shard": now["shard"] + 1, "first": now["first"] + now["rows"], "rows": 0, "bytes": 0, "lines": [], "edge": False}
+                    full = at - len(data) + room
                 now["rows"] += 1
-                now["bytes"] += size
-                now["sha"].update(text.encode() + b"\n")
-            yield _shards(done, group)
+                now["bytes"] += len(data)
+                now["lines"].append(data)
+            yield _pieces(done, batch.schema.field(0).type)
         if now:
-            yield _shards([now], group)
+            yield _pieces([closed(now["edge"] or more)], batch.schema.field(0).type)
 
-    kind = df.schema[group].dataType.simpleString()
-    sorted_ = df.withColumn("_line", F.col(line)).repartition(group).sortWithinPartitions(group, *order).select(group, "_line")
-    out = sorted_.mapInPandas(cut, f"`{group}` {kind}, shard long, first long, rows long, bytes long, sha256 string")
+    pieces = settled(lines.mapInArrow(cut, f"group {kind}, shard long, first long, rows long, bytes long, sha256 string, part int, lines binary"))
+    whole = pieces.where("sha256 IS NOT NULL").select(F.col("group").alias(group), "shard", "first", "rows", (F.col("bytes") + base).alias("bytes"), "sha256")
+    edges = pieces.where("sha256 IS NULL").groupBy("group", "shard").agg(F.min("first").alias("first"), F.sum("rows").alias("rows"), (F.sum("bytes") + base).alias("bytes"), F.array_sort(F.collect_list(F.struct("part", "lines"))).alias("_l"))  # a shard each
+    sha = F.sha2(F.concat(F.lit(head), F.aggregate("_l", F.lit(b""), lambda a, x: F.concat(a, x["lines"]))), 256)
+    out = whole.unionByName(edges.select(F.col("group").alias(group), "shard", "first", "rows", "bytes", sha.alias("sha256")))
     if groups is None:
         return out
     zero = F.lit(0).cast("long")
@@ -70,8 +179,9 @@ def pack_rows(df: DataFrame, group: str, order: list[str], line: str, target: in
     return out.unionByName(none.select(group, zero.alias("shard"), zero.alias("first"), zero.alias("rows"), F.lit(base).cast("long").alias("bytes"), F.lit(hashlib.sha256(head).hexdigest()).alias("sha256")))
 
 
-def _shards(done: list[dict], group: str) -> pd.DataFrame:
-    return pd.DataFrame({group: [d["g"] for d in done], "shard": [d["shard"] for d in done], "first": [d["first"] for d in done], "rows": [d["rows"] for d in done], "bytes": [d["bytes"] for d in done], "sha256": [d["sha"].hexdigest() for d in done]})
+def _pieces(done: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    kinds = [kind, *[pa.int64()] * 4, pa.string(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], k) for i, k in enumerate(kinds)], ["group", "shard", "first", "rows", "bytes", "sha256", "part", "lines"])
 
 
 def release_identity(manifest: dict) -> str:

@@ -213,11 +213,31 @@ def split_token(tokens: DataFrame, item: str, token: str) -> DataFrame:
     return held.where("n < total").orderBy(F.abs(F.col("n") * 2 - F.col("total")), token).limit(1).select(token, "n")
 
 
+def running(df: DataFrame, groups: list[Column], order: list[Column], value: str, parts: int | None = None) -> DataFrame:
+    """`df` with `_before`, the sum of `value` over a group's earlier rows in order, and `_total`, the group's; NULL values count 0.
+
+    Two levels, so that no group is one task's work: rows are dealt by ranges of (group, order), a large group to many; the parts'
+    sums (a row for each group and part) give each part its start, and only inside a part is anything summed row by row. `order` must be total.
+    """
+    cols = df.columns
+    keyed = df.withColumns({f"_g{i}": g for i, g in enumerate(groups)} | {"_v": F.coalesce(F.col(value), F.lit(0))})
+    own = [f"_g{i}" for i in range(len(groups))]
+    by = [*own, *order]
+    ranged = keyed.repartitionByRange(parts, *by) if parts else keyed.repartitionByRange(*by)
+    ranged = settled(ranged.withColumn("_part", F.spark_partition_id()))
+    sums = ranged.groupBy(*own, "_part").agg(F.sum("_v").alias("_s"))
+    earlier = W.partitionBy(*own).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(*[F.col(g).alias(f"{g}x") for g in own], F.col("_part").alias("_partx"), F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_base"), F.sum("_s").over(W.partitionBy(*own)).alias("_total"))
+    on = F.col("_part") == F.col("_partx")
+    for g in own:
+        on = on & F.col(g).eqNullSafe(F.col(f"{g}x"))
+    inside = W.partitionBy("_part", *own).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return ranged.join(starts, on).withColumn("_before", F.col("_base") + F.coalesce(F.sum("_v").over(inside), F.lit(0))).select(*cols, "_before", "_total")
+
+
 def evict(df: DataFrame, order: list[Column], size: str, target: int, groups: Column) -> DataFrame:
-    """Rows to drop, first by order, until at most `target` is left, inside each group."""
-    before = F.sum(size).over(W.partitionBy(groups).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
-    total = F.sum(size).over(W.partitionBy(groups))
-    return df.withColumn("_left", total - F.coalesce(before, F.lit(0))).where(F.col("_left") > target).drop("_left")
+    """Rows to drop, first by order, until at most `target` is left, inside each group, however large."""
+    return running(df, [groups], order, size).where(F.col("_total") - F.col("_before") > target).drop("_before", "_total")
 
 
 def ranks(df: DataFrame, order: list[str], name: str = "_rank") -> DataFrame:
@@ -235,11 +255,15 @@ def ranks(df: DataFrame, order: list[str], name: str = "_rank") -> DataFrame:
 
 
 def median_and_largest(df: DataFrame, size: str, k: int) -> DataFrame:
-    """(median_size, largest, n, estimate): the exact median, the sum of the k largest, and largest + (n - k) medians. Nothing is sorted in one task."""
-    known = df.where(F.col(size).isNotNull()).select(F.col(size).alias("s"))
-    placed = ranks(known, ["s"])
-    n = known.count()
-    middle = [max(0, (n - 1) // 2), max(0, n // 2)]
-    top = F.sum(F.when(F.col("_rank") >= n - k, F.col("s")))
-    one = placed.agg(F.avg(F.when(F.col("_rank").isin(middle), F.col("s"))).alias("median_size"), top.alias("largest"), F.count(F.lit(1)).alias("n"))
+    """(median_size, largest, n, estimate): the exact median, the sum of the k largest, and largest + (n - k) medians.
+
+    From a histogram of the distinct sizes and its running counts: the rows are read once, and nothing is sorted in one task.
+    """
+    hist = df.where(F.col(size).isNotNull()).groupBy(F.col(size).alias("s")).agg(F.count(F.lit(1)).alias("c"))
+    placed = running(hist, [], [F.col("s")], "c")
+    n, end = F.col("_total"), F.col("_before") + F.col("c")
+    holds = lambda at: (F.col("_before") <= at) & (at < end)
+    low, high = (F.max(F.when(holds(F.floor(at)), F.col("s"))) for at in ((n - 1) / 2, n / 2))
+    top = F.sum(F.col("s") * F.greatest(end - F.greatest("_before", n - k), F.lit(0)))
+    one = placed.agg(((low + high) / 2).alias("median_size"), top.alias("largest"), F.coalesce(F.max("_total"), F.lit(0)).cast("long").alias("n"))
     return one.select("median_size", "largest", "n", (F.col("largest") + F.greatest(F.col("n") - k, F.lit(0)) * F.col("median_size")).alias("estimate"))

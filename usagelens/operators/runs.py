@@ -5,10 +5,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .relational import ranks
+from .relational import ranks, running
 
 SHARED = "_shared"
 
@@ -125,8 +124,9 @@ def refused(wanted: DataFrame, budgets: DataFrame, spent: DataFrame) -> DataFram
 
 def point_journal(points: DataFrame, limit: int) -> DataFrame:
     """(epoch, at, cost, spent, remaining): points spent so far in each reset window and what is left, never below 0. points: (epoch, at, seq, cost)."""
-    so_far = F.sum("cost").over(W.partitionBy("epoch").orderBy("at", "seq").rowsBetween(W.unboundedPreceding, W.currentRow))
-    return points.withColumn("spent", so_far).select("epoch", "at", "seq", "cost", "spent", F.greatest(F.lit(0), F.lit(limit) - F.col("spent")).alias("remaining"))
+    spent = F.col("_before") + F.coalesce("cost", F.lit(0))
+    rows = running(points.select("epoch", "at", "seq", "cost"), [F.col("epoch")], [F.col("at"), F.col("seq")], "cost").withColumn("spent", spent)
+    return rows.select("epoch", "at", "seq", "cost", "spent", F.greatest(F.lit(0), F.lit(limit) - F.col("spent")).alias("remaining"))
 
 
 def report(tasks: DataFrame) -> DataFrame:

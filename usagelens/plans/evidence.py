@@ -303,14 +303,33 @@ def size_buckets(spark, sf):
     return discovery.bucketed(_in(spark, sf, _HITS), 200)
 
 
-@_query("SELECT CAST(sum(CASE WHEN p_size >= 0 THEN 1 END) AS BIGINT) AS covered, true AS whole FROM part")
+_SIZED = """SELECT query, size, CASE WHEN size % 5 = 0 THEN 'u' ELSE 'R' END || CASE WHEN size % 5 = 0 THEN k ELSE k % 3 END AS repository, 'd' || (row_number() OVER (PARTITION BY query, size ORDER BY k) - 1) % 2 || '/x' || k || '.py' AS path
+FROM (SELECT p_partkey AS k, 'q' || p_partkey % 2 AS query, CASE WHEN p_partkey % 40 = 0 THEN NULL WHEN p_partkey % 40 = 1 THEN 64 + p_partkey % 300 ELSE p_size END AS size FROM {part}) t"""
+# all parts that can stand, by powers of two, each with the part above it
+_STAND = """w AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256]) AS w),
+closed AS (SELECT 'py' AS extension, 'range' AS sizes, lo, lo + w - 1 AS hi, w, CASE WHEN lo < 64 THEN 64 WHEN lo < 128 THEN 64 WHEN lo < 256 THEN 128 ELSE 256 END AS top FROM w, range(0, 512) r(lo) WHERE lo % w = 0 AND w <= CASE WHEN lo < 128 THEN 64 WHEN lo < 256 THEN 128 ELSE 256 END),
+parts AS (SELECT extension, sizes, lo, hi, CASE WHEN w < top THEN 'range' WHEN lo < 64 THEN 'any' ELSE 'open' END AS up, CASE WHEN w < top THEN lo - lo % (2 * w) ELSE lo END AS up_lo, CASE WHEN w < top THEN lo - lo % (2 * w) + 2 * w - 1 END AS up_hi FROM closed
+UNION ALL SELECT 'py', 'range', lo, NULL, CASE WHEN lo = 64 THEN 'any' ELSE 'open' END, lo // 2, NULL FROM (SELECT unnest([64, 128, 256, 512]) AS lo)
+UNION ALL SELECT 'py', 'unknown', NULL, NULL, 'any', NULL, NULL UNION ALL SELECT unnest(['py', 'md']), 'any', NULL, NULL, 'whole', NULL, NULL UNION ALL SELECT NULL, 'any', NULL, NULL, NULL, NULL, NULL),
+q AS (SELECT DISTINCT query FROM h), cap AS (SELECT greatest(12, count(*) // 100) AS cap FROM h),
+counted AS (SELECT query, p.*, (SELECT count(*) FROM h WHERE h.query = q.query AND (p.sizes = 'any' AND coalesce(p.extension, 'py') = 'py' OR p.sizes = 'unknown' AND h.size IS NULL OR p.sizes = 'range' AND h.size >= p.lo AND h.size <= coalesce(p.hi, 1000000))) AS n FROM q, parts p),
+stands AS (SELECT c.* FROM counted c, cap WHERE c.up IS NULL OR EXISTS (SELECT 1 FROM counted u WHERE u.query = c.query AND u.n > cap AND CASE c.up WHEN 'whole' THEN u.extension IS NULL WHEN 'any' THEN u.extension = 'py' AND u.sizes = 'any' WHEN 'open' THEN u.lo = c.up_lo AND u.sizes = 'range' AND u.hi IS NULL ELSE u.lo = c.up_lo AND u.hi = c.up_hi END)),
+crowded AS (SELECT s.*, cap FROM stands s, cap WHERE n > cap AND (sizes = 'unknown' OR lo = hi)),
+held AS (SELECT c.query, sizes, lo, hi, n, cap, h.repository, h.path FROM crowded c JOIN h ON h.query = c.query AND h.size IS NOT DISTINCT FROM c.lo),
+repos AS (SELECT *, coalesce(sum(k) OVER (PARTITION BY query, lo ORDER BY k DESC, lower(repository) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY query, lo ORDER BY k DESC, lower(repository)) AS r FROM (SELECT query, sizes, lo, hi, n, cap, repository, count(*) AS k FROM held GROUP BY ALL HAVING count(*) > 1)),
+out AS (SELECT * FROM repos WHERE n - before > cap),
+rest AS (SELECT query, sizes, lo, hi, cap, path, list_sort(coalesce((SELECT list((r, o.repository)) FROM out o WHERE o.query = held.query AND o.lo IS NOT DISTINCT FROM held.lo), [])) AS outs FROM held WHERE NOT EXISTS (SELECT 1 FROM out o WHERE o.query = held.query AND o.lo IS NOT DISTINCT FROM held.lo AND o.repository = held.repository)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY query, lo) AS m, starts_with(path, 'd0/') AS has FROM rest)"""
+
+
+@_query(_as(f""", {_STAND}
+SELECT query, extension, sizes, CAST(lo AS BIGINT) AS size_min, CAST(hi AS BIGINT) AS size_max, NULL AS repository, CAST([] AS VARCHAR[]) AS path_in, CAST([] AS VARCHAR[]) AS path_out, CAST([] AS VARCHAR[]) AS repos_out, n, false AS gap FROM stands, cap WHERE n <= cap
+UNION ALL SELECT query, 'py', sizes, lo, hi, repository, [], [], coalesce((SELECT list(o.repository ORDER BY o.r) FROM out o WHERE o.query = out.query AND o.lo IS NOT DISTINCT FROM out.lo AND o.r < out.r), []), 1, false FROM out
+UNION ALL SELECT query, 'py', sizes, lo, hi, NULL, CASE WHEN m > cap AND has THEN ['d0'] ELSE [] END, CASE WHEN m > cap AND NOT has THEN ['d0'] ELSE [] END, [x[2] for x in outs], count(*), false FROM sized GROUP BY ALL""", h=_SIZED))
 def search_plan(spark, sf):
-    """Parts of a search over parts' sizes: each within the cap, and together all hits."""
-    p = table(spark, sf, "part")
-    hits = p.select(F.lit("py").alias("extension"), F.col("p_size").cast("int").alias("size"), F.concat(F.lit("r"), F.col("p_partkey") % 3).alias("repository"), F.concat(F.lit("d"), F.col("p_partkey"), F.lit("/x.py")).alias("path"))
-    most = max(1, p.count() // 10)
-    plan = discovery.search_plan(hits, ["py"], most, 63)
-    return spark.createDataFrame([(sum(x["n"] for x in plan if x["repository"] is None), all(x["n"] <= most for x in plan))], "covered long, whole boolean")
+    """All parts of two searches over parts' sizes: halved, doubled above 63, of unknown size, less repositories, cut by path."""
+    hits = _in(spark, sf, _SIZED).withColumn("extension", F.lit("py"))
+    return discovery.search_plan(hits, ["py", "md"], max(12, table(spark, sf, "part").count() // 100), 63)
 
 
 _PAGES = """SELECT 'q' || o_custkey % 5 AS query, concat('{{"total_count":1,"incomplete_results":', CASE WHEN o_custkey % 5 = 4 THEN 'true' ELSE 'false' END, ',"items":[{{"path":"p', o_orderkey, '","sha":"s","repository":{{"full_name":"u/r', o_custkey, '","private":', CASE o_orderkey % 3 WHEN 0 THEN 'false' WHEN 1 THEN 'true' ELSE 'null' END, '}}}}]}}') AS body FROM {orders}"""

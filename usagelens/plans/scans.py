@@ -80,10 +80,10 @@ def first_use_history(spark, sf):
     return history.first_use(evidence, changes.drop("content", "d"), uses, 8)
 
 
-_WORDS = "SELECT DISTINCT lower(w) AS v FROM (SELECT explode(regexp_extract_all(text, '([A-Za-z]{4,})', 1)) AS w FROM {benchmark})"
+_WORDS = "SELECT DISTINCT lower(w) AS v FROM (SELECT explode(regexp_extract_all(text, '([A-Za-z][A-Za-z][A-Za-z][A-Za-z]+)', 1)) AS w FROM {benchmark})"
 
 
-@_query("""WITH v AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '([A-Za-z]{4,})', 1))) AS v FROM benchmark), d AS (SELECT doc_id, lower(text) AS t FROM documents WHERE text IS NOT NULL)
+@_query("""WITH v AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '([A-Za-z][A-Za-z][A-Za-z][A-Za-z]+)', 1))) AS v FROM benchmark), d AS (SELECT doc_id, lower(text) AS t FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, coalesce(list_sort(list(v) FILTER (v IS NOT NULL)), []) AS found FROM d LEFT JOIN v ON contains(t, v) GROUP BY doc_id""")
 def registry_literals(spark, sf):
     """Which words of the benchmark (a registry) each document holds, inside of other words too."""

@@ -10,9 +10,12 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators.relational import running
+from ..session import settled
 
 #: Byte sizes that a query with too many hits is parted by.
 SIZE_BUCKETS = ("0..2000", "2001..6000", "6001..20000", "20001..80000", ">80000")
@@ -31,61 +34,128 @@ def bucketed(hits: DataFrame, cap: int = 1000) -> DataFrame:
     return out.withColumn("capped", F.col("n") > cap)
 
 
-def search_plan(hits: DataFrame, extensions: list[str], cap: int = 1000, most_size: int = 1 << 20) -> list[dict]:
-    """Parts of a search, each of at most `cap` hits (extension, size, repository, path): first by extension, then by halving the byte
-    range, then, at one size, by taking the most repeated repository out, then by a path token. What still holds more is a gap.
+#: What names a part of a search: extension (NULL: all), sizes (any, range, unknown), and the range's ends (size_max NULL: open).
+PART = ("extension", "sizes", "size_min", "size_max")
 
-    The driver sees counts only: a histogram of (extension, size) once, whose rows are as many as sizes, and tokens of single sizes.
+
+def _part(extension: Column, sizes: str, low: Column | None = None, high: Column | None = None) -> Column:
+    none = F.lit(None).cast("long")
+    return F.struct(extension.cast("string").alias("extension"), F.lit(sizes).alias("sizes"), (none if low is None else low.cast("long")).alias("size_min"), (none if high is None else high.cast("long")).alias("size_max"))
+
+
+def _middle(part: Column) -> Column:
+    """Where a range is cut: in the middle; an open one at twice its beginning."""
+    return F.when(part["size_max"].isNull(), part["size_min"] * 2 - 1).otherwise(F.floor((part["size_min"] + part["size_max"]) / 2))
+
+
+def _halves(part: Column) -> list[Column]:
+    return [_part(part["extension"], "range", part["size_min"], _middle(part)), _part(part["extension"], "range", _middle(part) + 1, part["size_max"])]
+
+
+def _path(extension: Column, size: Column, most_size: int) -> Column:
+    """All parts that a hit of this size can come to stand in, the whole search first."""
+    head = F.array(_part(F.lit(None), "any"), _part(extension, "any"))
+    first = F.when(size <= most_size, _part(extension, "range", F.lit(0), F.lit(most_size))).otherwise(_part(extension, "range", F.lit(most_size + 1)))
+
+    def further(path: Column, _: Column) -> Column:
+        part = F.element_at(path, -1)
+        left, right = _halves(part)
+        return F.when(part["size_min"].eqNullSafe(part["size_max"]), path).otherwise(F.concat(path, F.array(F.when(size <= _middle(part), left).otherwise(right))))
+
+    steps = F.sequence(F.lit(1), F.lit(2 * most_size.bit_length() + 64))
+    return F.when(size.isNull(), F.concat(head, F.array(_part(extension, "unknown")))).otherwise(F.concat(head, F.aggregate(steps, F.array(first), further)))
+
+
+def _children(part: Column, extensions: list[str], most_size: int) -> Column:
+    whole = F.array(*[_part(F.lit(e), "any") for e in extensions])
+    by_size = F.array(_part(part["extension"], "range", F.lit(0), F.lit(most_size)), _part(part["extension"], "range", F.lit(most_size + 1)), _part(part["extension"], "unknown"))
+    return F.when(part["extension"].isNull(), whole).when(part["sizes"] == "any", by_size).otherwise(F.array(*_halves(part)))
+
+
+def _key(*cols: str) -> Column:
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def search_plan(hits: DataFrame, extensions: list[str], cap: int = 1000, most_size: int = 1 << 20, most_splits: int = 64) -> DataFrame:
+    """(query, extension, sizes, size_min, size_max, repository, path_in, path_out, repos_out, n, gap): parts of each query's search, of at most `cap` hits each, that together hold all.
+
+    hits: (query, extension, size, repository, path), of the given extensions. A search is parted by extension, then by size: up to
+    `most_size` by halving, above it by doubling, unknown sizes apart. What stands at one size and is still too much loses its most
+    repeated repositories (each as a part of one witness), then is cut by the path token that comes nearest to half, again and again.
+    Parts without a hit are listed too, as they have to be asked for. What can't be cut, or only by more than `most_splits` names, is a gap.
+
+    By extension and size all levels are one aggregate over a histogram: each size names every range that it can come to stand in, and
+    a range is a part if the one above it is too full. Repositories are ranked by running sums; each level of tokens is one job.
     """
-    counts: dict[str, dict[int, int]] = {}
-    for r in hits.where(F.col("extension").isin(*extensions)).groupBy("extension", "size").agg(F.count(F.lit(1)).alias("n")).toLocalIterator():
-        counts.setdefault(r["extension"], {})[r["size"]] = r["n"]
-    parts: list[dict] = []
-
-    def within(sizes: dict[int, int], low: int, high: int) -> int:
-        return sum(n for s, n in sizes.items() if low <= s <= high)
-
-    def halve(ext: str, low: int, high: int) -> None:
-        n = within(counts.get(ext, {}), low, high)
-        if n <= cap:
-            parts.append({"extension": ext, "size_min": low, "size_max": high, "n": n, "repository": None, "token": None, "gap": False})
-        elif low < high:
-            middle = (low + high) // 2
-            halve(ext, low, middle)
-            halve(ext, middle + 1, high)
-        else:
-            peel(ext, low, n)
-
-    def peel(ext: str, size: int, n: int) -> None:
-        """At one exact size: repositories out, the most repeated first, until the rest fits."""
-        rows = hits.where((F.col("extension") == ext) & (F.col("size") == size))
-        out: list[str] = []
-        for r in rows.groupBy("repository").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), F.lower("repository")).toLocalIterator():
-            if n <= cap:
-                break
-            out.append(r["repository"])
-            n -= r["n"]
-            parts.append({"extension": ext, "size_min": size, "size_max": size, "n": 1, "repository": r["repository"], "token": None, "gap": False})
-        if n <= cap:
-            parts.append({"extension": ext, "size_min": size, "size_max": size, "n": n, "repository": None, "token": None, "gap": False})
-            return
-        rest = rows.where(~F.col("repository").isin(*out)) if out else rows
-        by_token(ext, size, rest, n)
-
-    def by_token(ext: str, size: int, rows: DataFrame, n: int) -> None:
-        from ..operators.relational import split_token
-
-        tokens = rows.select("path", F.explode(F.array_distinct(F.split(F.lower("path"), "/"))).alias("token"))
-        found = split_token(tokens, "path", "token").collect()  # one row
-        for has in (True, False) if found else ():
-            k = found[0]["n"] if has else n - found[0]["n"]
-            parts.append({"extension": ext, "size_min": size, "size_max": size, "n": k, "repository": None, "token": found[0]["token"] if has else "-" + found[0]["token"], "gap": k > cap})
-        if not found:
-            parts.append({"extension": ext, "size_min": size, "size_max": size, "n": n, "repository": None, "token": None, "gap": True})
-
-    for ext in extensions:
-        halve(ext, 0, most_size)
-    return parts
+    hits = hits.where(F.col("extension").isin(*extensions)).select("query", "extension", F.col("size").cast("long").alias("size"), "repository", "path")
+    sizes = hits.groupBy("query", "extension", "size").agg(F.count(F.lit(1)).alias("n"))
+    stood = sizes.withColumn("path", _path(F.col("extension"), F.col("size"), most_size)).select("query", "n", "path", F.posexplode("path").alias("i", "part"))
+    above = F.when(F.col("i") > 0, F.get("path", F.col("i") - 1))
+    counts = settled(stood.select("query", "n", "part", above.alias("above")).groupBy("query", "part", "above").agg(F.sum("n").alias("n")).withColumn("key", _key("query", "part")))
+    full = counts.where(F.col("n") > cap)
+    # a part stands where there is none above it, or one that is too full
+    parents = full.select(F.col("key").alias("_up"))
+    real = counts.withColumn("_up", F.to_json(F.struct("query", F.col("above").alias("part")), {"ignoreNullFields": "false"}))
+    real = real.where("above IS NULL").unionByName(real.where("above IS NOT NULL").join(parents, "_up", "left_semi").select(*real.columns)).drop("_up")
+    part = F.col("part")
+    single = (part["sizes"] == "unknown") | ((part["sizes"] == "range") & part["size_min"].eqNullSafe(part["size_max"]))
+    leaves = real.where(F.col("n") <= cap).select("query", "part", "n")
+    empty = full.where(~single).select("query", F.explode(_children(part, extensions, most_size)).alias("part")).withColumn("key", _key("query", "part")).join(counts, "key", "left_anti").select("query", "part", F.lit(0).cast("long").alias("n"))
+    names = F.array().cast("array<string>")
+    told = leaves.unionByName(empty).select("query", "part", F.lit(None).cast("string").alias("repository"), names.alias("path_in"), names.alias("path_out"), names.alias("repos_out"), "n", F.lit(False).alias("gap"))
+    # single sizes that are too full, with their hits
+    crowded = real.where((F.col("n") > cap) & single).select("key", "query", "part", F.col("n").alias("_n"))
+    at = hits.withColumn("part", F.when(F.col("size").isNull(), _part(F.col("extension"), "unknown")).otherwise(_part(F.col("extension"), "range", F.col("size"), F.col("size"))))
+    open_ = settled(at.withColumn("key", _key("query", "part")).join(crowded.select("key", "_n"), "key").select("key", "query", "part", "_n", "repository", "path"))
+    peeled, open_ = _peeled(open_, cap, most_splits)
+    done = [told, peeled]
+    for _ in range(most_splits + 1):
+        if open_.isEmpty():
+            break
+        closed, open_ = _by_token(open_, cap, most_splits)
+        done.append(closed)
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.select("query", *[F.col(f"part.{c}").alias(c) for c in PART], *[c for c in out.columns if c not in ("query", "part")])
+
+
+def _peeled(open_: DataFrame, cap: int, most_splits: int) -> tuple[DataFrame, DataFrame]:
+    """(a part of one witness for each repository taken out, the hits that are left with what is out)."""
+    repos = open_.where("repository IS NOT NULL").groupBy("key", "query", "part", "_n", "repository").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    placed = running(repos, [F.col("key")], [F.desc("k"), F.lower("repository"), F.col("repository")], "k")
+    out = placed.where(F.col("_n") - F.col("_before") > cap)
+    out = out.withColumn("_r", F.row_number().over(W.partitionBy("key").orderBy(F.desc("k"), F.lower("repository"), F.col("repository")))).where(F.col("_r") <= most_splits)  # a few for each part
+    out = settled(out.select("key", "query", "part", "repository", "_r"))
+    names = F.array().cast("array<string>")
+    before = F.transform(F.filter("_all", lambda x: x["_r"] < F.col("_r")), lambda x: x["repository"])
+    lists = out.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("_r", "repository"))).alias("_all"))
+    witnesses = out.join(lists, "key").select("query", "part", "repository", names.alias("path_in"), names.alias("path_out"), before.alias("repos_out"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("gap"))
+    rest = open_.join(out.select("key", "repository"), ["key", "repository"], "left_anti").join(lists, "key", "left")
+    rest = rest.select("query", "part", names.alias("path_in"), names.alias("path_out"), F.coalesce(F.transform("_all", lambda x: x["repository"]), names).alias("repos_out"), "path")
+    rest = settled(rest)
+    # a part that nothing is left of has still to be asked for
+    all_out = lists.join(out.groupBy("key", "query", "part").agg(F.count(F.lit(1)).alias("_c")), "key").join(rest.select(_key("query", "part").alias("key")), "key", "left_anti")
+    none = all_out.select("query", "part", F.lit(None).cast("string").alias("repository"), names.alias("path_in"), names.alias("path_out"), F.transform("_all", lambda x: x["repository"]).alias("repos_out"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("gap"))
+    return witnesses.unionByName(none), rest
+
+
+def _by_token(open_: DataFrame, cap: int, most_splits: int) -> tuple[DataFrame, DataFrame]:
+    """(parts that end here, the hits of both sides of all others' cuts)."""
+    cols = ["query", "part", "path_in", "path_out", "repos_out"]
+    keyed = open_.withColumn("key", _key(*cols))
+    counts = keyed.groupBy("key", *cols).agg(F.count(F.lit(1)).alias("n"))
+    tokens = F.array_distinct(F.split(F.lower("path"), "/"))
+    held = keyed.select("key", F.explode(tokens).alias("token")).where("token <> ''").groupBy("key", "token").agg(F.count(F.lit(1)).alias("k"))
+    cut = held.join(counts.select("key", "n"), "key").where("k < n").groupBy("key").agg(F.min(F.struct(F.abs(F.col("k") * 2 - F.col("n")).alias("d"), "token")).alias("_c"))
+    used = F.size("path_in") + F.size("path_out") + F.size("repos_out")
+    level = settled(counts.join(cut, "key", "left").withColumn("_cut", F.when((F.col("n") > cap) & (used < most_splits), F.col("_c.token"))))
+    closed = level.where("_cut IS NULL").select("query", "part", F.lit(None).cast("string").alias("repository"), "path_in", "path_out", "repos_out", "n", (F.col("n") > cap).alias("gap"))
+    has = F.coalesce(F.array_contains(tokens, F.col("_cut")), F.lit(False))
+    more = keyed.join(level.where("_cut IS NOT NULL").select("key", "_cut"), "key")
+    new = F.array("_cut")
+    more = more.withColumns({"path_in": F.when(has, F.concat("path_in", new)).otherwise(F.col("path_in")), "path_out": F.when(has, F.col("path_out")).otherwise(F.concat("path_out", new))})
+    return closed, settled(more.select(*cols, "path"))
 
 
 def stream_events(payload: str) -> list[tuple[str, str]]:
