@@ -93,11 +93,21 @@ def word_tokens(path: str) -> WordTokens:
     return _TOKENIZERS[path]
 
 
-def patterns(hist: np.ndarray, size: int, per_length: int = 16, most: int = 12) -> list[tuple[int, ...]]:
-    """Patterns of up to `most` pieces, of lengths in the histogram, that leave little room.
+#: A pattern: (length, how many pieces of it), longest first.
+Pattern = tuple[tuple[int, int], ...]
 
-    Each starts with a length and some copies of a partner (frequent lengths, and lengths spread over the range); one or two
-    pieces that fit best close it.
+
+def _times(room: int, length: int, most: int) -> list[int]:
+    """How many pieces of a length to try in a room: few, and as many as fit or one or two less."""
+    n = room // length
+    return [*range(1, min(most, n) + 1), *(k for k in (n - 2, n - 1, n) if k > most)]
+
+
+def patterns(hist: np.ndarray, size: int, per_length: int = 16, most: int = 12) -> list[Pattern]:
+    """Patterns of few lengths of the histogram that leave little room, or as little as any with their first length.
+
+    Each starts with some pieces of a length, or one of it and some of a partner (frequent lengths, and lengths spread over the
+    range): up to `most`, or about as many as fit; one or two pieces that fit best close it.
     """
     have = np.flatnonzero(hist)
     have = have[have > 0]
@@ -110,49 +120,57 @@ def patterns(hist: np.ndarray, size: int, per_length: int = 16, most: int = 12)
     by_count = have[np.argsort(-hist[have], kind="stable")]
     spread = have[np.linspace(0, len(have) - 1, per_length).astype(int)]
     partners = np.unique(np.concatenate([by_count[:per_length], spread]))
-    found: set[tuple[int, ...]] = set()
+    found: set[Pattern] = set()
 
-    def close(head: tuple[int, ...], room: int) -> None:
+    def close(*head: tuple[int, int]) -> tuple[int, Pattern]:
+        counts = Counter()
+        for length, k in head:
+            counts[length] += k
+        room = size - sum(length * k for length, k in counts.items())
         for _ in range(2):
-            if room <= slack:
+            if room <= slack or not (x := int(fits[room])):
                 break
-            if len(head) == most or not (x := int(fits[room])):
-                return
-            head, room = (*head, x), room - x
-        if room <= slack:
-            found.add(tuple(sorted(head, reverse=True)))
+            counts[x] += 1
+            room -= x
+        return room, tuple(sorted(counts.items(), reverse=True))
 
     for a in map(int, have):
-        for k in range(1, min(most, size // a) + 1):
-            close((a,) * k, size - k * a)
+        tried = [close((a, k)) for k in _times(size, a, most)]
         for b in map(int, partners):
-            for k in range(1, min(most - 1, (size - a) // b) + 1):
-                close((a,) + (b,) * k, size - a - k * b)
+            tried += [close((a, 1), (b, k)) for k in _times(size - a, b, most - 1)]
+        least = max(slack, min(room for room, _ in tried))
+        found.update(p for room, p in tried if room <= least)
     return sorted(found)
 
 
-def fit_counts(hist: np.ndarray, found: list[tuple[int, ...]], rounds: int = 400) -> np.ndarray:
-    """How often to use each pattern: non-negative least squares by accelerated projected gradients."""
+def fit_counts(hist: np.ndarray, found: list[Pattern], rounds: int = 400) -> np.ndarray:
+    """How often to use each pattern: non-negative least squares by accelerated projected gradients, over patterns scaled to length one."""
     if not found:
         return np.zeros(0)
-    col = np.repeat(np.arange(len(found)), [len(p) for p in found])
-    row = np.fromiter((x for p in found for x in p), np.int64)
-    goal = hist.astype(float)
-    scale = max(goal.max(), 1.0)
-    goal = goal / scale
-    x = np.zeros(len(found))
+    n, size = len(found), len(hist)
+    col = np.repeat(np.arange(n), [len(p) for p in found])
+    row, k = (np.fromiter((x[i] for p in found for x in p), np.int64) for i in (0, 1))
+    norm = np.sqrt(np.bincount(col, weights=k * k, minlength=n))
+    k = k / norm[col]
+    scale = max(float(hist.max()), 1.0)
+    goal = hist / scale
+    v, most = np.ones(n), 1.0
+    for _ in range(30):  # the largest eigenvalue bounds the step
+        v = np.bincount(col, weights=k * np.bincount(row, weights=k * v[col], minlength=size)[row], minlength=n)
+        most = float(np.linalg.norm(v))
+        v /= most
+    step = 1 / (1.05 * most)
+    x = np.zeros(n)
     y, t = x, 1.0
-    at, per = np.bincount(row, minlength=len(hist)).max(), max(len(p) for p in found)
-    step = 1.0 / (at * per)
     for _ in range(rounds):
-        gone = np.bincount(row, weights=y[col], minlength=len(hist)) - goal
-        new = np.maximum(0, y - step * np.bincount(col, weights=gone[row], minlength=len(found)))
+        gone = np.bincount(row, weights=k * y[col], minlength=size) - goal
+        new = np.maximum(0, y - step * np.bincount(col, weights=k * gone[row], minlength=n))
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y, x, t = new + (t - 1) / t2 * (new - x), new, t2
-    return x * scale
+    return x / norm * scale
 
 
-def rounded(hist: np.ndarray, found: list[tuple[int, ...]], used: np.ndarray, least: float) -> np.ndarray:
+def rounded(hist: np.ndarray, found: list[Pattern], used: np.ndarray, least: float) -> np.ndarray:
     """Whole counts inside the histogram: whole parts first, then one more by falling fraction where it is above `least` and the pieces are still there."""
     left = hist.astype(np.int64).copy()
     out = np.zeros(len(found), np.int64)
@@ -162,11 +180,10 @@ def rounded(hist: np.ndarray, found: list[tuple[int, ...]], used: np.ndarray, le
         for j in np.lexsort((np.arange(len(found)), -part, -wanted)):
             if wanted[j] <= 0:
                 break
-            need = Counter(found[j])
-            n = min(int(wanted[j]), *(int(left[length]) // k for length, k in need.items()))
+            n = min(int(wanted[j]), *(int(left[length]) // k for length, k in found[j]))
             if n > 0:
                 out[j] += n
-                for length, k in need.items():
+                for length, k in found[j]:
                     left[length] -= n * k
     return out
 
@@ -199,26 +216,30 @@ def best_fit(left: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
     return [(tuple(p), t) for groups in rooms.values() for p, t in groups]
 
 
-def plan(hist: np.ndarray, size: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By length: (first rank, sequence of that rank, offset) of stretches of ranks; the next ranks of a stretch go to the next sequences.
-
-    Fitted patterns first; what rounding leaves of each length is packed by best fit. Of some ways of rounding, the one of the
-    fewest sequences; of equal ones, that which leaves the least to best fit.
-    """
+def sequences(hist: np.ndarray, size: int) -> tuple[list[tuple[Pattern, int]], list[tuple[tuple[int, ...], int]]]:
+    """((pattern, times) by the fit, (lengths, times) by best fit of what rounding left). Of some ways of rounding, the one of the fewest sequences; of equal ones, that which leaves the least to best fit."""
     found = patterns(hist, size)
     used = fit_counts(hist, found)
-    parts: list[tuple[tuple[int, ...], int]] = []
+    best: tuple | None = None
     for least in (0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0):
         left = hist.astype(np.int64).copy()
-        now = []
+        fitted = []
         for p, n in zip(found, rounded(hist, found, used, least).tolist(), strict=True):
             if n:
-                now.append((p, n))
-                for x in p:
-                    left[x] -= n
-        now += best_fit(left, size)
-        if not parts or sum(n for _, n in now) < sum(n for _, n in parts):
-            parts = now
+                fitted.append((p, n))
+                for length, k in p:
+                    left[length] -= n * k
+        rest = best_fit(left, size)
+        total = sum(n for _, n in fitted) + sum(n for _, n in rest)
+        if best is None or total < best[0]:
+            best = total, fitted, rest
+    return best[1], best[2]
+
+
+def plan(hist: np.ndarray, size: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By length: (first rank, sequence of that rank, offset) of stretches of ranks; the next ranks of a stretch go to the next sequences. Fitted patterns first."""
+    fitted, rest = sequences(hist, size)
+    parts = [(tuple(length for length, k in p for _ in range(k)), n) for p, n in fitted] + rest
     out: dict[int, list[tuple[int, int, int]]] = {}
     seen: Counter = Counter()
     base = 0
