@@ -11,7 +11,8 @@ the one of the smallest doc_id is sent, so a run that a third of all documents h
 Survivors are carried by filters of a bounded size that lose none (`KeyFilter`).
 
 Defined cases: null text has no words; a text with fewer words than a window keeps all; a null doc_id, or one that is no whole
-number, is compared with nothing; rows with one doc_id don't remove each other's words; texts of any length are read whole; an
+number, is compared with nothing, and is returned as it came; rows with one doc_id don't remove each other's words, repeated rows
+lose the same ones, each marked once; texts of any length are read whole; an
 empty table gives no rows; clashing or extra columns are left out (`cleaned` keeps them).
 """
 
@@ -183,7 +184,8 @@ def marked(docs: DataFrame, window: int = 50, least: int = 12) -> DataFrame:
         if not n:  # no candidates survive
             break
     marks = _compare(_stretches(own, window, filters))
-    return marks.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "flags")).alias("marks"))
+    # repeated rows mark the same places
+    return marks.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "flags")).alias("marks"))
 
 
 def _kept(text: bytes, marks: list | None, window: int) -> tuple[int, int, bytes]:
@@ -219,9 +221,8 @@ def digest(docs: DataFrame, window: int = 50) -> DataFrame:
                 sha.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    slim = docs.select(_whole(F.col("doc_id")).alias("doc_id"), "text")
-    joined = _joined(slim, window).select("doc_id", F.col("text").cast("binary"), "_marks")
-    return joined.mapInArrow(sums, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    joined = _joined(docs.select("doc_id", "text"), window).select("doc_id", F.col("text").cast("binary"), "_marks")
+    return joined.mapInArrow(sums, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame, window: int = 50) -> DataFrame:
