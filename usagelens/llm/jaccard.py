@@ -449,8 +449,19 @@ def join(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+#: Bytes of keys that are sent to all tasks instead of sending texts to the keys.
+LIGHT = 64 << 20
+
+
+def _light(keys: DataFrame) -> DataFrame:
+    """Keys (one column of id and hash) as a broadcast if they are LIGHT; beyond that Spark joins by a shuffle."""
+    id_ = F.col(keys.columns[0])["id"].cast("string")
+    size = keys.agg(F.sum(F.lit(64) + F.coalesce(F.octet_length(id_), F.lit(0)))).first()[0] or 0
+    return F.broadcast(keys) if size <= LIGHT else keys
+
+
 def one_of_each(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame:
-    """`docs` with one row of each component: of the smallest doc_id (null is the largest), and once if repeated. Texts without words all stay."""
+    """`docs` with one row of each component: of the smallest doc_id (null is the largest), and once if repeated: of rows alike in id and text the first by their JSON. Texts without words all stay."""
     # a row is known by its doc_id and text; rows alike in both are one
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     found = staged(join(docs.select(row.alias("doc_id"), "text"), n, t, **how).where("n_shingles > 0"), "found")
@@ -458,7 +469,8 @@ def one_of_each(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame
     twice = staged(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "twice")
     # the caller's columns travel as one, clear of this operator's names
     rows = docs.select(F.struct(*docs.columns).alias("_row"), row.alias("_key"))
+    gone, twice = _light(gone), _light(twice)
     left = rows.join(gone, rows["_key"].eqNullSafe(gone["_gone"]), "left_anti")
     once = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_anti")
-    again = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_semi").groupBy("_key").agg(F.first("_row").alias("_row"))
+    again = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_semi").groupBy("_key").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
     return once.select("_row.*").union(again.select("_row.*"))

@@ -229,9 +229,10 @@ def mix(
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.array_sort(F.array_distinct(F.transform("pieces", lambda x: x["shard"]))).alias("shards"), "pieces", *[k for k in keep if k not in ("doc_id", "source")])
 
 
-def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: int = 17, part_words: int = 1 << 24, **how) -> DataFrame:
     """The mix as rows of `docs`' own columns: one row for each pass over a document, its text cut to the words taken where that
-    pass takes a part. A row goes to the shard of its first words, and shards are shuffled, each in a partition of its own."""
+    pass takes a part. A row goes to the shard of its first words. Each shard is shuffled in a partition of its own; where the mix has more than
+    `part_words` words a shard, in as many partitions as that takes, dealt by a hash, so that none grows with the corpus."""
     cols = docs.columns
     # the caller's columns travel as one, clear of this plan's names
     whole = docs.select("doc_id", "source", "text", F.struct(*[c for c in cols if c != "text"]).alias("_row"))
@@ -246,5 +247,9 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     out = F.struct(*[new.get(c, F.col("_row")[c]).alias(c) for c in cols])
     # no more than the rows themselves travel to their shards
-    one = one.select(out.alias("_out"), F.element_at("_own", 1)["shard"].alias("_shard"), F.xxhash64(F.lit(seed), "doc_id", "_pass").alias("_order"))
-    return one.repartition(shards, "_shard").sortWithinPartitions("_shard", "_order").select("_out.*")
+    words = docs.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
+    parts = math.ceil(how.get("share", 1.5) * words / shards / part_words) or 1
+    order = F.xxhash64(F.lit(seed), "doc_id", "_pass")
+    one = one.select(out.alias("_out"), F.element_at("_own", 1)["shard"].alias("_shard"), order.alias("_order"))
+    place = F.col("_shard") * parts + F.pmod(F.xxhash64("_order", F.lit(seed)), F.lit(parts)).cast("int")
+    return one.repartitionById(shards * parts, place).sortWithinPartitions("_order").select("_out.*")
