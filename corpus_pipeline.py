@@ -10,27 +10,47 @@ from usagelens.llm.queries import TOKENIZERS
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is recognised: those without text or letters go."""
+    """Documents in a language that is recognised: those without text or letters go.
+
+    Null and empty texts have no letter; very long ones are read whole; ties go to the first language by name; each repeated row
+    gets the same answer; a null lang teaches nothing; an empty table, or one without any lang, keeps none; other columns stay.
+    """
     return language.known_language(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: of the smallest doc_id, null being the largest.
+
+    Null and empty texts are like nothing and all stay; very long ones are read whole; of repeated rows one stays, and of rows alike
+    in doc_id and text alone the first by its JSON; an empty table gives none; other columns stay with their row.
+    """
     return jaccard.one_of_each(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more stay in the document of the smallest doc_id that holds them."""
+    """Passages of 50 words or more stay in the document of the smallest doc_id that holds them.
+
+    Null, empty and short texts stay; a text that loses all its words goes; very long ones are read whole; rows with one doc_id
+    don't remove each other's words; a doc_id that is null or no whole number is compared with nothing; an empty table gives none.
+    """
     return substrings.cleaned(docs)
 
 
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources' words brought to their target weights; a document may come twice, or in part."""
+    """The sources' words brought to their target weights; a document may come twice, or in part.
+
+    Null and blank texts have no words and go; a null source is one, last in order; very long texts are cut anywhere between words;
+    repeated rows count each; equal sources split by order; an empty table gives none; n_chars follows the text, other columns stay.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces placed in sequences of 2048."""
+    """Token pieces placed in sequences of 2048.
+
+    A null or empty text is one piece of the separator; very long ones are cut into pieces; repeated rows are packed each; which of
+    equal lengths goes where follows from tasks and is no promise; an empty table gives none; other columns are left out.
+    """
     return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
