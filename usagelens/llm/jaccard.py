@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, components, flat_words, gram_hashes, in_chunks, retire, staged, tidy
+from .common import KeyFilter, components, flat_words, gram_hashes, in_chunks, release, retire, staged, tidy
 
 
 def shingles(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -146,6 +146,7 @@ def _first_pairs(t: float):
             carry = (row(first[-1]) if first[-1] >= 0 else carry[0], row(-1))
             both = np.unique(np.concatenate(out, axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+        release()
 
     return pairs
 
@@ -177,6 +178,7 @@ def _by_parity(t: float):
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(a), -1) for i in (4, 5))
             ok = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= _may_differ(na, nb, t)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
+        release()
 
     return keep
 
@@ -205,6 +207,7 @@ def _hopeful(t: float, parities: bool = False):
                 group = group.select(["token", "lo", "hi", "key", "n", "root"]).append_column("other", pa.nulls(len(n), pa.int64()))
             if rows.any():
                 yield from group.filter(pa.array(rows)).to_batches()
+        release()
 
     return keep
 
@@ -217,6 +220,7 @@ def _block_links(t: float):
             a, b = _forest(*(group[c].to_numpy() for c in ("key", "root", "n")), [np.frombuffer(s, np.uint64) for s in group["tokens"].to_pylist()], t)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        release()
 
     return links
 
@@ -359,6 +363,7 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 ok.append(bool(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), t)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        release()
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         one, other = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
@@ -437,6 +442,7 @@ def _shared_only(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in body], ["token", "g", "n", "at"])
     if held is not None and open_token == held[0, 0]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], ["token", "g", "n", "at"])
+    release()
 
 
 def join(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame:
