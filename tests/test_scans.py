@@ -171,3 +171,29 @@ def test_manifests_by_their_formats():
     assert names("requirements.txt", "a==1 # c\nb \\\n  >=2 --hash=sha256:xx\n-r x\n# k\nc[z] ; python_version<'3'\n d") == ["a", "b", "c", "d"]
     links = [parsers.cmake_links(t, "kit::core") for t in ("target_link_libraries(x PRIVATE kit::core)", "#[[ link_libraries(kit::core) ]]", "if(TARGET kit::core)", "if(x kit::core)", 'list(APPEND MY_LIBS "kit::core")', "list(APPEND X kit::core)", "message(\"link_libraries(kit::core)\")", "link_libraries(a (b kit::core))", "link_libraries(kit::core")]
     assert links == [True, False, True, False, True, False, False, True, False]
+
+
+def test_own_headers_answer_includes(spark):
+    from usagelens.operators import detect
+
+    def left(files, includes):
+        f = spark.createDataFrame([("u/r", p) for p in files], "repository string, path string")
+        i = spark.createDataFrame([("u/r", p, "fft", n, q) for p, n, q in includes], "repository string, file string, library string, include string, quoted boolean")
+        return sorted(r.file for r in detect.without_local(i, detect.local_headers(f, spark.createDataFrame([("fft", "fftkit.hpp")], "library string, header string"))).collect())
+
+    assert left(["a.cu"], [("a.cu", "fftkit.hpp", False)]) == ["a.cu"]
+    assert left(["inc/FFTkit.hpp"], [("a.cu", "fftkit.hpp", False), ("b.cu", "x/fftkit.hpp", False), ("c.cu", "inc/fftkit.hpp", False)]) == ["b.cu"]
+    assert left(["inc/fftkit.hpp"], [("inc/fftkit.hpp", "fftkit.hpp", False), ("src/fftkit.hpp", "fftkit.hpp", True)]) == ["inc/fftkit.hpp", "src/fftkit.hpp"]  # wrappers
+    assert left(["src/fftkit.hpp"], [("src/fftkit.hpp", "fftkit.hpp", True)]) == []  # itself
+    assert left(["third_party/fftkit.hpp", "dist/fftkit.hpp"], [("a.cu", "fftkit.hpp", True)]) == ["a.cu"] and left([], []) == []
+    assert left(["p/q/fftkit.hpp"], [("p/a.cu", "q/fftkit.hpp", True), ("z/a.cu", "q/fftkit.hpp", True), ("a.cu", "xq/fftkit.hpp", True)]) == ["a.cu"]
+
+
+def test_canonical_fingerprints(spark):
+    from usagelens.functions import text
+
+    one = spark.createDataFrame([(((1, ("x", None)), [(1, 2)], {"b": (1, 2), "a": (3, 4)}),)], "v struct<a:struct<p:int,q:struct<z:string,y:string>>,l:array<struct<m:int,k:int>>,h:map<string,struct<d:int,c:int>>>")
+    other = spark.createDataFrame([(({"a": (4, 3), "b": (2, 1)}, [(2, 1)], ((None, "x"), 1)),)], "v struct<h:map<string,struct<c:int,d:int>>,l:array<struct<k:int,m:int>>,a:struct<q:struct<y:string,z:string>,p:int>>")
+    print_ = lambda df: df.select(text.fingerprint("d", {"v": F.col("v")}, {"v": df.schema["v"].dataType})).first()[0]
+    assert print_(one) == print_(other) and len(print_(one)) == 64
+    assert print_(one) != print_(one.select(F.col("v").withField("a.p", F.lit(2)).alias("v")))

@@ -8,6 +8,7 @@ from urllib.parse import quote, quote_plus
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 #: Folders and endings by which paths are classed.
 VENDORED = (
@@ -222,9 +223,23 @@ def agent_labels(name: Column, email: Column, body: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(by[f].rlike(p), F.lit(n)) for n, f, p in AGENTS]))))
 
 
-def fingerprint(domain: str, fields: dict[str, Column]) -> Column:
-    """SHA-256 of canonical JSON (sorted keys, nulls kept) in a domain envelope."""
-    body = F.struct(*[fields[k].alias(k) for k in sorted(fields)])
+def canonical(x: Column, kind: DataType) -> Column:
+    """`x` with its fields and map keys in order at every depth; lists keep theirs."""
+    if isinstance(kind, StructType):
+        inner = F.struct(*[canonical(x[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)])
+        return F.when(x.isNotNull(), inner)
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, (StructType, ArrayType, MapType)):
+        return F.transform(x, lambda y: canonical(y, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(x), lambda e: F.struct(e["key"].alias("key"), canonical(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(F.array_sort(entries, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)))
+    return x
+
+
+def fingerprint(domain: str, fields: dict[str, Column], kinds: dict[str, DataType] | None = None) -> Column:
+    """SHA-256 of canonical JSON (sorted keys, nulls kept) in a domain envelope; fields whose type is in `kinds` are sorted at every depth."""
+    own = {k: canonical(c, kinds[k]) if kinds and k in kinds else c for k, c in fields.items()}
+    body = F.struct(*[own[k].alias(k) for k in sorted(own)])
     return F.sha2(F.to_json(F.struct(F.lit(domain).alias("domain"), body.alias("value")), {"ignoreNullFields": "false"}), 256)
 
 

@@ -184,6 +184,34 @@ def shadowed(files: DataFrame, namespaces: DataFrame) -> DataFrame:
     return own.join(F.broadcast(first), "_first").select("repository", "folder", "library").distinct()
 
 
+def local_headers(files: DataFrame, headers: DataFrame) -> DataFrame:
+    """(repository, library, path): a tree's own files (repository, path) that are named like a library's header (library, header); copies and generated files are none."""
+    name = lambda c: F.element_at(F.split(F.lower(c), "/"), -1)
+    path = F.lower(F.regexp_replace(F.regexp_replace("path", r"\\", "/"), "^/+|/+$", ""))
+    own = files.where(text.own_source(F.col("path"))).select("repository", path.alias("path")).withColumn("_n", name(F.col("path")))
+    return own.join(F.broadcast(headers.select("library", name(F.col("header")).alias("_n")).distinct()), "_n").select("repository", "library", "path").distinct()  # a registry
+
+
+def without_local(includes: DataFrame, local: DataFrame) -> DataFrame:
+    """Includes (repository, file, library, include, quoted, ...) less those that find one of the tree's own headers (`local_headers`): by its path, beside the file if
+    quoted, by an end of its path where the include has folders, and by its bare name unless the file has that name itself: a wrapper may include what it wraps.
+
+    Both sides name the keys by which they can meet, so it is one equi join.
+    """
+    low = lambda c: F.lower(F.regexp_replace(F.regexp_replace(c, r"\\", "/"), "^/+|/+$", ""))
+    ends = F.filter(tails(F.col("path")), lambda t: (t != F.col("path")) & t.contains("/"))
+    keys = F.concat(F.array(F.concat(F.lit("p:"), "path"), F.concat(F.lit("b:"), F.element_at(F.split("path", "/"), -1))), F.transform(ends, lambda t: F.concat(F.lit("t:"), t)))
+    there = local.select("repository", "library", F.explode(keys).alias("_k")).distinct()
+    rows = includes.withColumns({"_f": low("file"), "_i": low("include")})
+    folder = F.regexp_replace("_f", "/?[^/]*$", "")
+    beside = F.when(F.col("quoted"), F.concat(F.lit("p:"), F.when(folder == "", F.col("_i")).otherwise(F.concat(folder, F.lit("/"), F.col("_i")))))
+    by_end = F.when(F.col("_i").contains("/"), F.concat(F.lit("t:"), "_i"))
+    by_name = F.when(~F.col("_i").contains("/") & (F.element_at(F.split("_f", "/"), -1) != F.col("_i")), F.concat(F.lit("b:"), "_i"))
+    asked = rows.select("repository", "file", "library", "include", F.explode(F.array_compact(F.array(F.concat(F.lit("p:"), "_i"), beside, by_end, by_name))).alias("_k"))
+    found = asked.join(there, ["repository", "library", "_k"], "left_semi").select("repository", "file", "library", "include").distinct()
+    return includes.join(found, ["repository", "file", "library", "include"], "left_anti").select(*includes.columns)
+
+
 def without_shadowed(evidence: DataFrame, shadows: DataFrame) -> DataFrame:
     """Evidence (repository, file, library) less that of files whose own folder or the tree's root shadows the library's name."""
     folder = F.regexp_replace(F.lower("file"), "/?[^/]*$", "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .relational import ranks, running
@@ -136,6 +137,24 @@ def report(tasks: DataFrame) -> DataFrame:
     return out.withColumn("per_hour", F.when(F.col("seconds") > 0, F.bround(F.col("tasks") * 3600.0 / F.col("seconds"), 3))).withColumn("hit_rate", F.when(known > 0, F.bround(F.col("cache_hits") / known, 6)))
 
 
+def busy(spans: DataFrame, by: str = "library", width: int = 3600) -> DataFrame:
+    """(by, began, ended, tasks, task_seconds, busy_seconds, idle_seconds): how long any of a key's tasks ran, overlapping ones once, and how long none did.
+
+    spans: (by, began, ended) in whole seconds. A span counts in each slice of `width` seconds that it touches, cut to it, so a key's
+    time is worked on by as many tasks as it has slices; within a slice a span adds what goes beyond all that began before it. NULL ends are
+    left out, an end before its beginning counts none; a key is NULL for shared work.
+    """
+    known = spans.where("began IS NOT NULL AND ended IS NOT NULL").select(F.col(by).alias("_by"), F.col("began").cast("long").alias("a"), F.greatest("began", "ended").cast("long").alias("b"))
+    cut = known.withColumn("_s", F.explode(F.sequence(F.floor(F.col("a") / width), F.floor(F.greatest(F.col("b") - 1, F.col("a")) / width))))
+    cut = cut.select("_by", "_s", F.greatest("a", F.col("_s") * width).alias("a"), F.least("b", (F.col("_s") + 1) * width).alias("b"))
+    reach = F.max("b").over(W.partitionBy("_by", "_s").orderBy("a", "b").rowsBetween(W.unboundedPreceding, -1))
+    added = F.greatest(F.lit(0), F.col("b") - F.greatest("a", F.coalesce(F.col("_r"), F.col("a"))))
+    ran = cut.withColumn("_r", reach).groupBy("_by").agg(F.sum(added).alias("busy_seconds"))
+    whole = known.groupBy("_by").agg(F.min("a").alias("began"), F.max("b").alias("ended"), F.count(F.lit(1)).alias("tasks"), F.sum(F.col("b") - F.col("a")).alias("task_seconds"))
+    out = whole.join(ran.withColumnRenamed("_by", "_k"), F.col("_by").eqNullSafe(F.col("_k")))
+    return out.select(F.col("_by").alias(by), "began", "ended", "tasks", "task_seconds", "busy_seconds", (F.col("ended") - F.col("began") - F.col("busy_seconds")).alias("idle_seconds"))
+
+
 def schedule(tasks: DataFrame) -> DataFrame:
     """(repository, size, place): of unknown size first, then the largest; ties by name."""
     first = tasks.select("repository", "size", F.when(F.col("size").isNull(), 0).otherwise(1).alias("_k"), (-F.coalesce("size", F.lit(0))).alias("_s"))

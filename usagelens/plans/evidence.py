@@ -16,6 +16,7 @@ from ..functions import parsers, text
 from ..operators import adoption, citations, dashboard, detect, families, graph, publish, relational, runs, serve, validate
 from ..sources import discovery
 from ..sources.tables import table, text_inventory
+from .catalogue import _FIELD, _PACKED, _QUERY_URL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -586,12 +587,11 @@ def measured_counts(spark, sf):
     return families.measured_counts(rows)
 
 
-@_query("SELECT doc_id, substr(regexp_replace(coalesce(text, ''), '\\b(a)(b)(c)(zz)', '', 'g'), 1, 500) AS note FROM documents WHERE doc_id % 2 = 0 AND NOT regexp_matches(coalesce(text, ''), '(?i)https?://[^ ]*[?]|token|auth|api|bearer')")
+@_query(rf"""SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace('token=' || doc_id || ' ' || coalesce(text, ''), '{_QUERY_URL}', '[redacted url]', 'g'), '{_FIELD}', '\1\2[redacted]', 'g'), '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]+', 'Bearer [redacted]', 'g'), 1, 500) AS note FROM documents WHERE doc_id % 2 = 0""")
 def sanitised_rows(spark, sf):
-    """Rows of public identities alone; the twin covers those without a credential's words, which redaction leaves as they are."""
-    d = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("note"))
-    plain = d.where("NOT note rlike '(?i)https?://[^ ]*[?]|token|auth|api|bearer'")
-    return families.sanitised(plain, d.where("doc_id % 2 = 0"), "doc_id", ["note"])
+    """Rows of public identities alone, each with a credential before its text."""
+    d = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("token="), "doc_id", F.lit(" "), F.coalesce("text", F.lit(""))).alias("note"))
+    return families.sanitised(d, d.where("doc_id % 2 = 0"), "doc_id", ["note"])
 
 
 # --- runs ----------------------------------------------------------------------------------------------------------------
@@ -713,9 +713,10 @@ def run_gate(spark, sf):
     return runs.publishable_run(tasks, cover)
 
 
-@_query("SELECT count(*) AS n, count(*) - count(DISTINCT l_suppkey) AS duplicates FROM lineitem")
+@_query("""WITH h AS (SELECT sha256('{"l_suppkey":' || l_suppkey || '}') AS h FROM lineitem), p AS (SELECT substr(h, 1, 3) AS p, sha256(string_agg(h, '' ORDER BY h)) AS s FROM h GROUP BY 1)
+SELECT (SELECT count(*) FROM h) AS n, (SELECT count(*) - count(DISTINCT h) FROM h) AS duplicates, sha256(string_agg(p || s, '' ORDER BY p)) AS fingerprint FROM p""")
 def exact_universe(spark, sf):
-    return runs.universe(table(spark, sf, "lineitem"), ["l_suppkey"]).drop("fingerprint")
+    return runs.universe(table(spark, sf, "lineitem"), ["l_suppkey"])
 
 
 # --- checks --------------------------------------------------------------------------------------------------------------
@@ -818,7 +819,7 @@ def export_lines(spark, sf):
     return publish.export_lines(c, ["c_name"], "libraries", "c_name")
 
 
-@_query()
+@_query(_PACKED.format(order="lower(c_name)", header="", room=2000, empty="n_nationkey + 5", out="c_nationkey, CAST(sum(n) AS BIGINT) AS \"rows\", count(*) AS n_parts") + " GROUP BY c_nationkey")
 def library_index(spark, sf):
     rows = table(spark, sf, "customer").select("c_nationkey", F.lower("c_name").alias("k"), publish.json_line("c_custkey", "c_name").alias("line"))
     packed = publish.pack_rows(rows, "c_nationkey", ["k"], "line", 2000, "", table(spark, sf, "nation").select((F.col("n_nationkey") + 5).alias("c_nationkey")))
@@ -898,12 +899,10 @@ def axis_ticks(spark, sf):
 
 
 @_query("""WITH s AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS date, count(*) AS v FROM orders GROUP BY 1, 2), w AS (SELECT *, min(date) OVER q AS a, max(date) OVER q AS b, min(v) OVER q AS l, max(v) OVER q AS h FROM s WINDOW q AS (PARTITION BY p))
-SELECT p, count(*) AS n, min(34 - 2 - (v - l) / CASE WHEN h = l THEN 1 ELSE h - l END * 30.0) AS top FROM w GROUP BY 1""")
+SELECT p, string_agg(format('{:.1f},{:.1f}', date_diff('day', a, date) / greatest(date_diff('day', a, b), 1) * 240, 34 - 2 - (v - l) / CASE WHEN h = l THEN 1 ELSE h - l END * 30.0), ' ' ORDER BY date) AS points FROM w GROUP BY 1""")
 def spark_lines(spark, sf):
     s = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("v"))
-    out = dashboard.spark_points(s, ["p"], "v").withColumn("x", F.split("points", " "))
-    top = F.array_min(F.transform("x", lambda q: F.substring_index(q, ",", -1).cast("double")))
-    return out.select("p", F.size("x").cast("long").alias("n"), top.alias("top"))
+    return dashboard.spark_points(s, ["p"], "v")
 
 
 @_query("SELECT n_nationkey, 'A:' || n_nationkey || ':' || CASE WHEN n_nationkey % 2 = 0 THEN 'true' ELSE 'false' END || ' B:1:false' AS badges, CASE WHEN n_nationkey % 5 = 0 THEN 'confirmed' WHEN n_nationkey % 5 = 1 THEN 'targeted confirmed' ELSE 'bundled targeted confirmed' END AS series FROM nation")

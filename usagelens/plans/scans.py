@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.literals import literals_in
-from ..operators import history, lattice
+from ..operators import detect, history, lattice
 from ..sources.tables import table
 from .evidence import _as, _in, _query
 
@@ -89,3 +89,19 @@ def registry_literals(spark, sf):
     """Which words of the benchmark (a registry) each document holds, inside of other words too."""
     words = [r["v"] for r in _in(spark, sf, _WORDS).collect()]  # a registry; its size is checked where it is sent
     return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", literals_in(F.col("text"), words).alias("found"))
+
+
+# trees of documents: some hold a header of a library's name, some a wrapper, and all include it in their way
+_TREES = "SELECT 'r' || doc_id % 60 AS repository, CASE doc_id % 8 WHEN 0 THEN 'src/kit.h' WHEN 1 THEN 'src/use' || doc_id || '.cc' WHEN 2 THEN 'third_party/kit.h' WHEN 3 THEN 'own/sub/kit.h' ELSE 'app/main' || doc_id || '.cc' END AS path FROM {documents}"
+_INCLUDED = "SELECT repository, path AS file, 'kit' AS library, CASE length(path) % 3 WHEN 0 THEN 'kit.h' WHEN 1 THEN 'sub/kit.h' ELSE 'other/kit.h' END AS include, length(path) % 2 = 0 AS quoted FROM t"
+
+
+@_query(_as(f""", i AS (SELECT DISTINCT * FROM ({_INCLUDED})), own AS (SELECT DISTINCT repository, path FROM t WHERE path IN ('src/kit.h', 'own/sub/kit.h'))
+SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM own WHERE own.repository = i.repository AND (own.path = include OR quoted AND own.path = regexp_replace(file, '[^/]*$', '') || include OR contains(include, '/') AND ends_with(own.path, '/' || include)
+OR NOT contains(include, '/') AND NOT ends_with(file, '/' || include)))""", t=_TREES))
+def header_shadows(spark, sf):
+    """Includes of a library's header that a tree's own header of that name doesn't answer."""
+    files = _in(spark, sf, _TREES).distinct()
+    k = F.length("path") % 3
+    found = files.select("repository", F.col("path").alias("file"), F.lit("kit").alias("library"), F.when(k == 0, "kit.h").when(k == 1, "sub/kit.h").otherwise("other/kit.h").alias("include"), (F.length("path") % 2 == 0).alias("quoted"))
+    return detect.without_local(found, detect.local_headers(files, spark.createDataFrame([("kit", "kit.h")], "library string, header string")))

@@ -17,12 +17,18 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """`df` written once where all executors can read it, its lineage cut: in the folder of spark.checkpoint.dir. Only a local session may go without."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """Where all executors can read and write: the folder of spark.checkpoint.dir. Only a local session may go without, and gets one made."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        found = spark.conf.get("spark.checkpoint.dir", None)
         if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="usagelens-"))
+    return sc.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` written once where all executors can read it, its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -29,7 +29,7 @@ def size_bucket(size: Column) -> Column:
 def bucketed(hits: DataFrame, cap: int = 1000) -> DataFrame:
     """(query, bucket, n, capped): a query's hits (query, size) as one part if at most `cap`, else by size bucket; a bucket above the cap is a coverage gap."""
     whole = hits.groupBy("query").agg(F.count(F.lit(1)).alias("_n"))
-    split = hits.join(F.broadcast(whole), "query").withColumn("bucket", F.when(F.col("_n") > cap, size_bucket(F.col("size"))))  # a row for each query
+    split = hits.join(whole, "query").withColumn("bucket", F.when(F.col("_n") > cap, size_bucket(F.col("size"))))
     out = split.groupBy("query", "bucket").agg(F.count(F.lit(1)).alias("n"))
     return out.withColumn("capped", F.col("n") > cap)
 
