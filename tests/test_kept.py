@@ -174,3 +174,28 @@ def test_retention_keeps_what_is_named(spark, tmp_path):
     for t in tables:
         rows = sorted(map(str, spark.read.parquet(once[t]).collect()))
         assert rows == sorted(map(str, spark.read.parquet(twice[t]).collect())) and len(rows) == {"runs": 6, "files": 1}[t]
+
+
+def test_trees_are_read_where_they_lie(spark, tmp_path):
+    from usagelens.sources.tables import read_tree
+
+    for path, data in {"o~r/src/a b.cu": b"x\x00y", "o~r/README.md": b"", "p/deep/er/é.py": "é".encode(), "p/big.bin": b"z" * 50}.items():
+        at = tmp_path / "tree" / path
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_bytes(data)
+    for root in (f"{tmp_path}/tree", f"file://{tmp_path}/tree/"):
+        got = {(r.repository, r.path): (r.bytes, r.content and bytes(r.content)) for r in read_tree(spark, root, most=40).collect()}
+        assert got == {("o~r", "src/a b.cu"): (3, b"x\x00y"), ("p", "deep/er/é.py"): (2, "é".encode()), ("p", "big.bin"): (50, None)}
+    assert read_tree(spark, f"{tmp_path}/tree", "*.py").count() == 1
+
+
+def test_counts_and_dois_of_works(spark):
+    from usagelens.sources import discovery
+
+    pages = spark.createDataFrame([("q", 1, '{"meta":{"count":3},"results":[{"id":"a"},{"id":"b"}]}'), ("q", 2, '{"meta":{"count":2},"results":[{"id":"b"},{"id":"c"}]}'), ("r", 1, '{"meta":{"count":1},"results":[]}'), ("s", 1, "broken"), ("t", 1, None)], "query string, page int, body string")
+    assert {r.query: (r.counted, r.listed, r.complete) for r in discovery.work_counts(pages).collect()} == {"q": (3, 3, True), "r": (1, 0, False), "s": (None, 0, False), "t": (None, 0, False)}
+    asked = spark.createDataFrame([("10.1234/A",), ("doi:10.1234/a",), ("10.9999/none",), ("x",), (None,), ("10.5555/two",)], "doi string")
+    there = spark.createDataFrame([("W1", "https://doi.org/10.1234/a"), ("W3", "10.5555/TWO"), ("W2", "10.5555/two"), ("W4", None), ("W5", "bad")], "id string, doi string")
+    got = {r.doi: (r.id, r.how) for r in discovery.works_by_doi(asked, there).collect()}
+    assert got == {"10.1234/A": ("W1", "found"), "doi:10.1234/a": ("W1", "found"), "10.9999/none": (None, "missing"), "x": (None, "malformed"), None: (None, "malformed"), "10.5555/two": ("W2", "several")}
+    assert discovery.works_by_doi(asked.limit(0), there).count() == 0 and discovery.work_counts(pages.limit(0)).count() == 0

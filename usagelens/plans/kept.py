@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import graph, parity, publish, retention, runs, snapshots
 from ..session import shared_folder
-from ..sources.tables import table
+from ..sources import discovery
+from ..sources.tables import read_tree, table, text_inventory
 from ..streaming import merge
 from .evidence import _as, _in, _query
 
@@ -47,10 +49,11 @@ def snapshot_groups(spark, sf):
 _NESTED = "SELECT o_orderkey AS k, named_struct('status', CASE WHEN o_orderkey % {side} = 0 THEN 'X' ELSE o_orderstatus END, 'who', named_struct('c', o_custkey)) AS head, l AS items, t AS tags FROM {orders} JOIN (SELECT l_orderkey, transform(array_sort(collect_list(struct(l_linenumber, CASE WHEN l_orderkey % {side} = 1 AND l_linenumber = 1 THEN -1 ELSE l_quantity END AS q))), x -> x.q) AS l, {tags}(collect_list(l_returnflag)) AS t FROM {lineitem} GROUP BY l_orderkey) ON l_orderkey = o_orderkey WHERE o_orderkey % 13 <> {gone}"
 
 
-@_query("""WITH i AS (SELECT l_orderkey AS k, count(*) AS n, max(CASE WHEN l_linenumber = 1 THEN l_quantity END) AS q FROM lineitem GROUP BY 1), o AS (SELECT o_orderkey AS k, o_orderstatus AS s, n, q FROM orders JOIN i ON k = o_orderkey), d AS (
-SELECT k, '' AS path, CASE WHEN k % 13 = 5 THEN 'there' END AS "left", CASE WHEN k % 13 = 4 THEN 'there' END AS "right" FROM o WHERE k % 13 IN (4, 5)
-UNION ALL SELECT k, 'head.status', CASE WHEN k % 7 = 0 THEN 'X' ELSE s END, CASE WHEN k % 11 = 0 THEN 'X' ELSE s END FROM o WHERE k % 13 NOT IN (4, 5) AND (k % 7 = 0) <> (k % 11 = 0)
-UNION ALL SELECT k, 'items[0]', CASE WHEN k % 7 = 1 THEN '-1.0' ELSE CAST(q AS VARCHAR) END, CASE WHEN k % 11 = 1 THEN '-1.0' ELSE CAST(q AS VARCHAR) END FROM o WHERE k % 13 NOT IN (4, 5) AND (k % 7 = 1) <> (k % 11 = 1) AND q IS NOT NULL)
+@_query("""WITH i AS (SELECT l_orderkey AS k, list_sort(list({'n': l_linenumber, 'q': CASE WHEN l_orderkey % 7 = 1 AND l_linenumber = 1 THEN -1 ELSE l_quantity END})) AS a, list_sort(list({'n': l_linenumber, 'q': CASE WHEN l_orderkey % 11 = 1 AND l_linenumber = 1 THEN -1 ELSE l_quantity END})) AS b FROM lineitem GROUP BY 1),
+o AS (SELECT k, o_orderstatus AS s, a, b, k % 13 IN (4, 5) AS lone FROM orders JOIN i ON k = o_orderkey), d AS (
+SELECT k, '' AS path, CASE WHEN k % 13 = 5 THEN 'there' END AS "left", CASE WHEN k % 13 = 4 THEN 'there' END AS "right" FROM o WHERE lone
+UNION ALL SELECT k, 'head.status', CASE WHEN k % 7 = 0 THEN 'X' ELSE s END, CASE WHEN k % 11 = 0 THEN 'X' ELSE s END FROM o WHERE NOT lone AND (k % 7 = 0) <> (k % 11 = 0)
+UNION ALL SELECT k, 'items[' || j || ']', CAST(a[j + 1].q AS VARCHAR), CAST(b[j + 1].q AS VARCHAR) FROM (SELECT *, unnest(range(len(a))) AS j FROM o WHERE NOT lone) WHERE a[j + 1].q <> b[j + 1].q)
 SELECT 'parity' AS rule, '{"k":' || k || '}' AS key, path, "left", "right" FROM d""")
 def nested_parity(spark, sf):
     """Two trees of orders with their lines: other statuses and quantities, orders that one side lacks, tags in another order."""
@@ -80,3 +83,61 @@ def retained_rows(spark, sf):
     tables = {"customers": c, "orders": o}
     names = [("customers", "parent", "customers"), ("orders", "customer", "customers")]
     return retention.reached(tables, {"customers": F.col("id") % 97 == 0, "orders": F.col("status") == "P"}, names, "id")
+
+
+@_query("""SELECT 'contract' AS rule, '' AS key, unnest(['head.who.c', 'items', 'tags', 'version']) AS path, unnest(['string', NULL, 'string', 'int']) AS "left", unnest(['bigint', 'array<double>', 'array<string>', NULL]) AS "right" """)
+def migration_contract(spark, sf):
+    """Where the schema of nested orders departs from what a migration asks for."""
+    tree = _in(spark, sf, _NESTED.replace("{side}", "7").replace("{tags}", "array_sort").replace("{gone}", "4"))
+    return parity.contract(tree, {"k": "bigint", "head.status": "string", "head.who.c": "string", "tags": "string", "version": "int"})
+
+
+def _tree(spark: SparkSession, sf: str) -> str:
+    """A folder for each nation with its customers' lines in one file."""
+    root = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
+    lines = table(spark, sf, "customer").select(F.concat(F.lit("n"), "c_nationkey").alias("nation"), "c_custkey", F.col("c_name").alias("line"))
+    lines.repartition("nation").sortWithinPartitions("nation", "c_custkey").select("nation", "line").write.partitionBy("nation").text(root)
+    return root
+
+
+_FILES_OF_NATIONS = """SELECT 'nation=n' || c_nationkey AS repository, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes, sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY 1"""
+
+
+@_query(f"SELECT repository, bytes, sha256, CASE WHEN bytes > 1200 THEN 'too-large' ELSE 'text' END AS state FROM ({_FILES_OF_NATIONS})")
+def tree_files(spark, sf):
+    """Files of a tree, read where they lie, with what they are."""
+    files = text_inventory(read_tree(spark, _tree(spark, sf), "part-*"), F.col("content"), most_own=1200)
+    return files.select("repository", "bytes", F.sha2("content", 256).alias("sha256"), "state")
+
+
+@_query(f"SELECT 'tree/' || repository AS folder, bytes, sha256 FROM ({_FILES_OF_NATIONS})")
+def artifact_files(spark, sf):
+    """Every file of a published tree with its bytes and digest."""
+    found = runs.artifact_inventory(spark, _tree(spark, sf), "tree")
+    return found.select(F.regexp_replace("path", "/part-.*$", "").alias("folder"), "bytes", "sha256")
+
+
+@_query("SELECT c_custkey, c_name, c_nationkey FROM customer")
+def checkpoint_rows(spark, sf):
+    """Customers written in deterministic shards and read back, each shard checked against the manifest."""
+    path = f"{shared_folder(spark)}/checkpoint-{uuid.uuid4().hex}"
+    publish.write_checkpoint(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), path, ["c_custkey"], 100)
+    return publish.read_checkpoint(spark, path, "c_custkey long, c_name string, c_nationkey int")
+
+
+@_query("""SELECT o_orderpriority AS query, CAST(count(*) // 2 + 5 AS BIGINT) AS counted, count(DISTINCT o_custkey) AS listed, count(DISTINCT o_custkey) >= count(*) // 2 + 5 AS complete FROM orders GROUP BY 1""")
+def scholarly_counts(spark, sf):
+    """What queries for works say that they have against what their pages list."""
+    o = table(spark, sf, "orders")
+    said = F.floor(F.count(F.lit(1)).over(W.partitionBy("o_orderpriority")) / 2) + 5
+    body = F.concat(F.lit('{"meta":{"count":'), said, F.lit('},"results":[{"id":"W'), F.col("o_custkey"), F.lit('"}]}'))
+    return discovery.work_counts(o.select(F.col("o_orderpriority").alias("query"), F.col("o_orderkey").alias("page"), body.alias("body")))
+
+
+@_query("""SELECT doi, CASE WHEN k % 3 = 1 THEN 'W' || k END AS id, CASE WHEN k % 5 = 0 THEN 'malformed' WHEN k % 3 = 1 THEN 'found' ELSE 'missing' END AS how FROM (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN 'no doi ' || p_partkey WHEN p_partkey % 2 = 0 THEN 'https://doi.org/10.1234/AB.' || p_partkey ELSE 'doi: 10.1234/ab.' || p_partkey || '.' END AS doi FROM part WHERE p_partkey % 15 <> 10)""")
+def works_by_doi(spark, sf):
+    """Works by DOIs that are written in different forms."""
+    k = F.col("p_partkey")
+    asked = table(spark, sf, "part").where(k % 15 != 10).select(F.when(k % 5 == 0, F.concat(F.lit("no doi "), k)).when(k % 2 == 0, F.concat(F.lit("https://doi.org/10.1234/AB."), k)).otherwise(F.concat(F.lit("doi: 10.1234/ab."), k, F.lit("."))).alias("doi"))
+    there = table(spark, sf, "part").where(k % 3 == 1).select(F.concat(F.lit("W"), k).alias("id"), F.concat(F.lit("HTTP://dx.doi.org/10.1234/Ab."), k).alias("doi"))
+    return discovery.works_by_doi(asked, there)

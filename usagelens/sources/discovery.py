@@ -255,6 +255,24 @@ def works(pages: DataFrame, most: int | None = None) -> DataFrame:
     return first.select("query", "w.*")
 
 
+def work_counts(pages: DataFrame) -> DataFrame:
+    """(query, counted, listed, complete): how many works a query's pages say that it has (the most any says), how many different ones they list, and whether that is all."""
+    one = pages.select("query", F.from_json("body", "meta struct<count:bigint>, results array<struct<id:string>>").alias("b"))
+    said = one.groupBy("query").agg(F.max("b.meta.count").alias("counted"))
+    listed = one.select("query", F.explode("b.results.id").alias("id")).distinct().groupBy("query").agg(F.count("id").alias("listed"))
+    both = said.join(listed, "query", "left").withColumn("listed", F.coalesce("listed", F.lit(0).cast("long")))
+    return both.select("query", "counted", "listed", F.coalesce(F.col("listed") >= F.col("counted"), F.lit(False)).alias("complete"))
+
+
+def works_by_doi(dois: DataFrame, found: DataFrame) -> DataFrame:
+    """(doi, id, how): each asked DOI (doi) with the work (id, doi) of that DOI, in whatever form both are written: found, several (the least id), missing, or malformed."""
+    key = lambda c: text.normal_doi(F.col(c)).alias("_doi")
+    there = found.select("id", key("doi")).where("_doi IS NOT NULL").groupBy("_doi").agg(F.min("id").alias("id"), F.countDistinct("id").alias("_n"))
+    asked = dois.select("doi", key("doi")).distinct().join(there, "_doi", "left")
+    how = F.when(F.col("_doi").isNull(), "malformed").when(F.col("id").isNull(), "missing").when(F.col("_n") > 1, "several").otherwise("found")
+    return asked.select("doi", "id", how.alias("how"))
+
+
 def archive_texts(files: DataFrame, most_bytes: int = 64 << 20, most_members: int = 2000, most_total: int = 128 << 20) -> DataFrame:
     """(path, links, problem): repository links in the .tex and .bbl members of tar archives (path, content), within bounds; a broken or too large one says so and gives none."""
 
