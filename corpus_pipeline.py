@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelens.llm import jaccard, language, mixing, packing, substrings
-from usagelens.llm.common import staged
+from usagelens.llm.common import small_batches, staged
 from usagelens.llm.queries import TOKENIZERS
 
 
@@ -15,6 +15,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts have no letter; very long ones are read whole; ties go to the first language by name; each repeated row
     gets the same answer; a null lang teaches nothing; an empty table, or one without any lang, keeps none; other columns stay.
     """
+    small_batches(spark)
     return language.known_language(docs)
 
 
@@ -24,6 +25,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null and empty texts are like nothing and all stay; very long ones are read whole; of repeated rows one stays, and of rows alike
     in doc_id and text alone the first by its JSON; an empty table gives none; other columns stay with their row.
     """
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
@@ -33,6 +35,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     Null, empty and short texts stay; a text that loses all its words goes; very long ones are read whole; rows with one doc_id
     don't remove each other's words; a doc_id that is null or no whole number is compared with nothing; an empty table gives none.
     """
+    small_batches(spark)
     return substrings.cleaned(docs)
 
 
@@ -42,6 +45,7 @@ def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Null and blank texts have no words and go; a null source is one, last in order; very long texts are cut anywhere between words;
     repeated rows count each; equal sources split by order; an empty table gives none; n_chars follows the text, other columns stay.
     """
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
@@ -51,6 +55,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is one piece of the separator; very long ones are cut into pieces; repeated rows are packed each; which of
     equal lengths goes where follows from tasks and is no promise; an empty table gives none; other columns are left out.
     """
+    small_batches(spark)
     return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
