@@ -70,6 +70,16 @@ def test_families_gates_and_guards(spark):
     assert got["fft"].files == ["own/a.cu"]
 
 
+def test_a_tree_s_own_header_proves_no_use(spark):
+    files = {"inc/fftkit.hpp": "#pragma once\n", "src/a.cu": "#include <fftkit.hpp>\n", "src/b.cu": "#include \"hash/core.hpp\"\n"}
+    assert bands(spark, files)["fft"].band == "confirmed"
+    got = bands(spark, files, own_headers=True)
+    assert got["fft"].band == "bundled" and got["fft"].files == ["inc/fftkit.hpp"] and got["hash"].band == "confirmed"
+    wrapped = {"wrap/fftkit.hpp": "#include <fftkit.hpp>\n", "src/a.cu": "#include \"wrap/fftkit.hpp\"\n"}
+    got = bands(spark, wrapped, own_headers=True)["fft"]
+    assert got.band == "confirmed" and got.files == ["wrap/fftkit.hpp"]
+
+
 def test_repeats_ties_and_many_files(spark):
     rows = [("u/r", f"s{i:03d}.cu", "#include <fftkit.hpp>") for i in range(300)] + [("u/r", "s000.cu", "#include <fftkit.hpp>")] * 3 + [(None, "a.cu", "#include <fftkit.hpp>"), ("u/r", None, "#include <fftkit.hpp>")]
     got = bands(spark, rows[:-2])["fft"]

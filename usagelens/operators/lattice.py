@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsers, text
 from ..functions.literals import Literals
-from .detect import inside_roots
+from .detect import inside_roots, local_headers, without_local
 
 INCLUDE, IMPORT, MANIFEST, LINK, STRONG, BUNDLED, MENTION, CUDA = (1 << k for k in range(8))
 #: Detectors, as choices in order: C and C++ libraries, Python packages, families that are chosen when building.
@@ -33,7 +33,7 @@ KINDS = ("header", "stem", "namespace", "distribution", "link", "build", "build_
 #: A registry's rows at most: it is sent to all tasks.
 MOST_SIGNALS = 200_000
 SHOWN = 25
-_INCLUDES = re.compile(r"""^[ \t]*#[ \t]*include[ \t]*[<"]([^>"\n]+)[>"]""", re.I | re.M)
+_INCLUDES = re.compile(r"""^[ \t]*#[ \t]*include[ \t]*([<"])([^>"\n]+)[>"]""", re.I | re.M)
 _BUILD = re.compile(r"(?i)(^|/)(cmakelists\.txt|makefile|meson\.(build|options)|build|[^/]*\.(cmake|cmake\.in|mk|bazel|bzl))$")
 _GROUPS = 20_000
 
@@ -59,13 +59,15 @@ class Scanner:
             for library in libraries:
                 self.components[library].append((signal.lower(), label))
 
-    def includes(self, content: str) -> set[str]:
-        found = set()
-        for name in {m.strip().lower() for m in _INCLUDES.findall(parsers.c_code(content))}:
+    def includes(self, content: str) -> dict[str, set[tuple[str, bool]]]:
+        """By library the headers of it that C code includes, each with whether it is quoted."""
+        found: dict[str, set[tuple[str, bool]]] = defaultdict(set)
+        for name, quoted in {(m[2].strip().lower(), m[1] == '"') for m in _INCLUDES.finditer(parsers.c_code(content))}:
             parts = name.split("/")
-            for i in range(len(parts)):
-                found.update(self.by["header"].get("/".join(parts[i:]), ()))
-            found.update(library for stem, libraries in self.by["stem"].items() if any(p.startswith(stem) for p in parts) for library in libraries)
+            libraries = [x for i in range(len(parts)) for x in self.by["header"].get("/".join(parts[i:]), ())]
+            libraries += [x for stem, own in self.by["stem"].items() if any(p.startswith(stem) for p in parts) for x in own]
+            for library in libraries:
+                found[library].add((name, quoted))
         return found
 
     def imports(self, content: str) -> set[str]:
@@ -87,16 +89,17 @@ class Scanner:
                         out[library] |= LINK | (STRONG if library in self.by["build_strong"].get(signal, ()) else 0)
         return out
 
-    def signs(self, path: str, content: str, vendored: bool, prose: bool) -> dict[str, int]:
-        """Bits by library of one file."""
+    def signs(self, path: str, content: str, vendored: bool, prose: bool) -> tuple[dict[str, int], dict[str, set[tuple[str, bool]]]]:
+        """Bits by library of one file, and the headers that it includes."""
         low = path.lower()
         name = low.rsplit("/", 1)[-1]
         out: dict[str, int] = defaultdict(int)
         shims = {library for part, libraries in self.by["backend"].items() if part in name for library in libraries}
         is_c = low.endswith(text.C_SOURCES)
         surface, code = content, None
+        included = self.includes(content) if is_c else {}
         if is_c:
-            for library in self.includes(content):
+            for library in included:
                 if vendored:
                     out[library] |= BUNDLED
                 elif library not in shims:
@@ -120,7 +123,7 @@ class Scanner:
             for library in {library for t in self.tokens.found(surface) for library in self.by["token"][t]} - shims:
                 if code is None or library not in self.strict or any(parsers.namespace_evidence(code, self.spaces[library])):
                     out[library] |= MENTION | (BUNDLED if vendored and is_c else 0)
-        return out
+        return out, included
 
     def operators(self, library: str, content: str) -> list[str]:
         low = content.lower() if library in self.components else ""
@@ -134,11 +137,12 @@ def _registry(signals: DataFrame) -> list[tuple[str, str, str]]:
     return sorted(rows)
 
 
-def signs(files: DataFrame, signals: DataFrame, keep: Iterable[str] = (), roots: DataFrame | None = None) -> DataFrame:
+def signs(files: DataFrame, signals: DataFrame, keep: Iterable[str] = (), roots: DataFrame | None = None, own_headers: bool = False) -> DataFrame:
     """(repository, path, *keep, library, mask, operators): what each file (repository, path, content) proves of each library; a file that proves nothing has no row.
 
     Folders of package managers and generated output give nothing, nor does binary, empty or NULL content or what lies at or below
     one of `roots` (repository, root); prose and skill trees give no mention. signals: (library, kind, value), kinds as in KINDS.
+    `own_headers`: an include that a header of the tree itself answers is none (`detect.without_local`); it takes two more shuffles, of names alone.
     """
     keys = ["repository", "path", *keep]
     rows = _registry(signals)
@@ -152,16 +156,26 @@ def signs(files: DataFrame, signals: DataFrame, keep: Iterable[str] = (), roots:
         scanner = Scanner(rows)
         for batch in batches:
             n = len(keys)
-            found: list[tuple[int, str, int, list[str]]] = []
+            found: list[tuple] = []
             for i, (p, c, v, d) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, n, n + 1, n + 2)), strict=True)):
-                found += [(i, library, bits, scanner.operators(library, c)) for library, bits in sorted(scanner.signs(p, c, v, d).items())]
+                bits, included = scanner.signs(p, c, v, d)
+                found += [(i, library, b, scanner.operators(library, c), [{"include": x, "quoted": q} for x, q in sorted(included.get(library, ()))]) for library, b in sorted(bits.items())]
             at = pa.array([f[0] for f in found], pa.int32())
-            told = [pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(n)), *told], [*keys, "library", "mask", "operators"])
+            told = [pa.array([f[j] for f in found], t) for j, t in ((1, pa.string()), (2, pa.int32()), (3, pa.list_(pa.string())), (4, pa.list_(pa.struct([("include", pa.string()), ("quoted", pa.bool_())]))))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(n)), *told], [*keys, "library", "mask", "operators", "includes"])
 
     kinds = dict(files.dtypes)
-    out = own.mapInArrow(scan, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", library string, mask int, operators array<string>")
-    return out if roots is None else inside_roots(out, roots).where("NOT inside").drop("inside")
+    out = own.mapInArrow(scan, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", library string, mask int, operators array<string>, includes array<struct<include:string,quoted:boolean>>")
+    if roots is not None:
+        out = inside_roots(out, roots).where("NOT inside").drop("inside")
+    if own_headers:
+        local = local_headers(files, signals.where("kind = 'header'").select("library", F.col("value").alias("header")))
+        use = F.col("mask").bitwiseAND(INCLUDE) != 0
+        asked = out.where(use).select("repository", F.col("path").alias("file"), "library", F.explode("includes").alias("_i")).select("repository", "file", "library", "_i.*").distinct()
+        proved = without_local(asked, local).select("repository", F.col("file").alias("path"), "library").distinct().withColumn("_there", F.lit(True))
+        out = out.join(proved, ["repository", "path", "library"], "left")
+        out = out.withColumn("mask", F.when(use & F.col("_there").isNull(), F.col("mask").bitwiseAND(~(INCLUDE | CUDA))).otherwise(F.col("mask"))).where("mask <> 0")
+    return out.select(*keys, "library", "mask", "operators")
 
 
 def _combined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
