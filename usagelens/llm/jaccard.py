@@ -327,7 +327,8 @@ def classes(docs: DataFrame, n: int = 5, t: float = 0.8, most_common: int = 1 <<
     # parities leave out what can't link before any set is sent
     met = pairs.select(F.col("a").alias("ga"), F.col("b").alias("gb")).join(named("g", "a"), "ga").join(named("g", "b"), "gb")
     pairs = staged(met.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(_by_parity(t), "a long, b long"), "pairs")
-    sorted_ = within.repartition("token").sortWithinPartitions("token", "n", "key")
+    # by a hash of its own: an exchange by the join's very key would be left out, and the join's rows may then lie anywhere
+    sorted_ = within.repartition(F.xxhash64("token")).sortWithinPartitions("token", "n", "key")
     same = lambda k: members.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
     met = sorted_.mapInArrow(_first_pairs(t), "a long, b long").distinct().join(same("a"), "a").join(same("b"), "b")
     inner = staged(met.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(_by_parity(t), "a long, b long"), "pairs")
