@@ -80,3 +80,25 @@ def test_one_row_is_kept_by_its_own_values(spark, monkeypatch):
     for light in (64 << 20, 0):
         monkeypatch.setattr(jaccard, "LIGHT", light)
         assert sorted(tuple(r) for r in jaccard.one_of_each(df).collect()) == [(1, "a b c d e f", "x"), (3, "", "e"), (3, "", "e")]
+
+
+def test_groups_meet_whatever_plan_their_join_takes(spark):
+    """With a small limit for broadcasts a join that turns out light is read where it lies, not dealt by its key."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(4000)]
+    docs = [rng.choice(words, 160).tolist() for _ in range(500)]
+    for d in docs[:250]:
+        docs.append([*d[:80], "changed", *d[81:]])
+    rows = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    want = {i: i if i < 500 else i - 500 for i in range(750)}
+    try:
+        for limit, parts in (("10m", "4"), ("4k", "8"), ("2k", "16"), ("-1", "8")):
+            spark.conf.set(names[0], limit)
+            spark.conf.set(names[1], parts)
+            assert {r.doc_id: r.component_id for r in jaccard.join(df).collect()} == want, limit
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)
