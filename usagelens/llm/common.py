@@ -52,7 +52,7 @@ def retire(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
     """From now on at most about `most` bytes, or one row, go to a Python worker at a time: texts may be long, and several batches are held at once."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
