@@ -480,4 +480,6 @@ def one_of_each(docs: DataFrame, n: int = 5, t: float = 0.8, **how) -> DataFrame
     left = rows.join(gone, rows["_key"].eqNullSafe(gone["_gone"]), "left_anti")
     once = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_anti")
     again = left.join(twice, left["_key"].eqNullSafe(twice["_twice"]), "left_semi").groupBy("_key").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
-    return once.select("_row.*").union(again.select("_row.*"))
+    kept = once.select("_row", "_key").union(again.select("_row", "_key"))
+    # where groups of copies went, little is left: rows are dealt evenly, for those that read them
+    return kept.withColumn("_deal", F.xxhash64("_key")).hint("rebalance", "_deal").select("_row.*")
