@@ -200,3 +200,8 @@ def test_streamed_first_uses(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("days").count() == 3
+
+
+def test_formulas_of_signed_zeros(spark):
+    df = spark.createDataFrame([(1, "a", -0.0), (2, "a", -0.5), (3, "=a", 0.0), (4, " -a", float("nan")), (5, "a", float("-inf")), (6, None, None)], "id int, name string, n double")
+    assert {r["key"]: r["detail"] for r in validate.formulas(df, "id", ["name", "n"]).collect()} == {"2": "n", "3": "name", "4": "name", "5": "n"}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, MapType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, MapType, NumericType, StructType
 
 Problem = "rule string, key string, detail string"
 
@@ -72,8 +72,10 @@ def quality(discovery: DataFrame, scans: DataFrame, libraries: DataFrame) -> Dat
 
 
 def formulas(exports: DataFrame, key: str, cells: list[str]) -> DataFrame:
-    """Exported cells that a spreadsheet would run."""
-    bad = F.filter(F.array(*[F.when(F.col(c).cast("string").rlike(r"^[\x00-\x20]*[=+\-@]"), F.lit(c)) for c in cells]), lambda x: x.isNotNull())
+    """Exported cells that a spreadsheet would run. Of numbers those below zero begin with a sign; a negative zero is zero."""
+    kinds = {f.name: f.dataType for f in exports.schema.fields}
+    runs = lambda c: F.col(c) < 0 if isinstance(kinds.get(c), NumericType) else F.col(c).cast("string").rlike(r"^[\x00-\x20]*[=+\-@]")
+    bad = F.filter(F.array(*[F.when(runs(c), F.lit(c)) for c in cells]), lambda x: x.isNotNull())
     return problems(exports.withColumn("_bad", bad), "formula", F.col(key), F.when(F.size("_bad") > 0, F.array_join("_bad", ",")))
 
 
