@@ -207,3 +207,21 @@ def test_canonical_fingerprints(spark):
     print_ = lambda df: df.select(text.fingerprint("d", {"v": F.col("v")}, {"v": df.schema["v"].dataType})).first()[0]
     assert print_(one) == print_(other) and len(print_(one)) == 64
     assert print_(one) != print_(one.select(F.col("v").withField("a.p", F.lit(2)).alias("v")))
+
+
+def test_overlapping_over_long_times(spark):
+    rng = random.Random(5)
+    rows = lambda n: [(rng.randrange(3), b, b + rng.choice([0, 1, 3, 40, 3000, 10**6]) if rng.random() < 0.8 else history.OPEN) for b in (rng.choice([rng.randrange(60), rng.randrange(5000), rng.randrange(2 * 10**6)]) for _ in range(n))]
+    a, b = rows(60), rows(60)
+    # one begins after a billion of the narrowest slices
+    a.append((1, 4 * 10**9, history.OPEN))
+    want = sorted((k, x, y, u, v) for k, x, y in a for j, u, v in b if j == k and x < v and u < y)
+    met = history.overlapping(spark.createDataFrame(a, "k int, begins long, ends long"), spark.createDataFrame(b, "k int, begins long, ends long"), ["k"], 4)
+    assert sorted(tuple(r) for r in met.select("k", "begins", "ends", "_begins", "_ends").collect()) == want
+
+
+def test_found_versions_show_until_the_next_change(spark):
+    changes = spark.createDataFrame([("r", "a", 0, "A", None), ("r", "a", 2, "M", None), ("r", "b", 5, "R", "a"), ("r", "b", 7, "D", None)], "repository string, path string, position long, status string, old_path string")
+    found = spark.createDataFrame([("r", "a", 0, "x"), ("r", "a", 2, "x"), ("r", "b", 5, "y")], "repository string, path string, position long, library string")
+    got = history.shown(changes, found)
+    assert sorted((r.path, r.begins, r.ends, r.library) for r in got.collect()) == [("a", 0, 2, "x"), ("a", 2, 5, "x"), ("b", 5, 7, "y")]

@@ -69,39 +69,58 @@ def lineage(evidence: DataFrame, alive: DataFrame, most_rounds: int = 40) -> Dat
     return reach.groupBy("repository", "library", "path", "begins").agg(F.max("until").alias("until")).join(alive.select(*key, "ends"), key).select("repository", "library", "path", "begins", F.least("ends", "until").alias("ends"))
 
 
-def slices(begins: Column, ends: Column, width: int) -> Column:
+def slices(begins: Column, ends: Column, width: Column | int) -> Column:
     """The slices of time that an interval [begins, ends) touches."""
     return F.sequence(F.floor(begins / width), F.floor((F.greatest(ends - 1, begins)) / width))
 
 
+#: Slices of a level are so many times as wide as those of the one below it.
+_WIDER = 8
+
+
+def _sliced(df: DataFrame, begins: str, ends: Column, width: int, levels: int) -> DataFrame:
+    """`df` with a row for each slice that its interval touches, in its own level, the first where these are few, and in all wider ones: _own, _level, _slice."""
+    wide = [width * _WIDER**k for k in range(levels)]
+    own = F.lit(levels - 1)
+    for k in reversed(range(levels - 1)):
+        own = F.when(F.greatest(ends - 1, F.col(begins)) - F.col(begins) < wide[k] * _WIDER, F.lit(k)).otherwise(own)
+    of = lambda level: F.transform(slices(F.col(begins), ends, F.element_at(F.array(*[F.lit(w).cast("long") for w in wide]), level + 1)), lambda x: F.struct(level.alias("_level"), x.alias("_slice")))
+    places = F.flatten(F.transform(F.sequence(F.col("_own"), F.lit(levels - 1)), of))
+    return df.withColumn("_own", own).withColumn("_at", F.explode(places)).withColumns({"_level": F.col("_at._level"), "_slice": F.col("_at._slice")}).drop("_at")
+
+
 def overlapping(a: DataFrame, b: DataFrame, on: list[str], width: int) -> DataFrame:
     """Pairs of rows of both, equal in `on`, whose intervals [begins, ends) meet; b's are named _begins and _ends.
 
-    Each row stands once in every slice of `width` that it touches, and rows meet by equality of slice: of a pair only in the first
-    slice of both, so nothing comes twice. An open end is cut at the other side's last begin: there is nothing to meet behind it.
+    Time has levels of slices, `width` at the lowest and ever wider. An interval's own level is the first where it touches some ten
+    at most, so a long one isn't repeated for all of time; it stands in those, and in one or two of each wider level. Rows meet by
+    equality of level and slice: of a pair only in the wider one of its own levels and in the first slice of both, so nothing comes
+    twice. An open end is cut at the other side's last begin: there is nothing to meet behind it.
     """
     last = a.agg(F.max("begins").alias("m")).union(b.agg(F.max("begins").alias("m"))).agg(F.max("m")).first()[0]
     if last is None:
         return a.join(b.limit(0).withColumnsRenamed({"begins": "_begins", "ends": "_ends"}), on)
+    levels = 1
+    while width * _WIDER**levels <= abs(last) and levels < 20:
+        levels += 1
     cut = lambda c: F.least(F.col(c), F.lit(last + 1))
-    left = a.withColumn("_slice", F.explode(slices(F.col("begins"), cut("ends"), width)))
-    right = b.withColumnsRenamed({"begins": "_begins", "ends": "_ends"})
-    right = right.withColumn("_slice", F.explode(slices(F.col("_begins"), cut("_ends"), width)))
-    both = left.join(right, [*on, "_slice"])
-    first = F.floor(F.greatest("begins", "_begins") / width)
-    return both.where((F.col("_slice") == first) & (F.col("begins") < F.col("_ends")) & (F.col("_begins") < F.col("ends"))).drop("_slice")
+    left = _sliced(a, "begins", cut("ends"), width, levels)
+    right = _sliced(b.withColumnsRenamed({"begins": "_begins", "ends": "_ends"}), "_begins", cut("_ends"), width, levels).withColumnRenamed("_own", "_own_b")
+    both = left.join(right, [*on, "_level", "_slice"]).where(F.col("_level") == F.greatest("_own", "_own_b"))
+    first = F.floor(F.greatest("begins", "_begins") / (F.lit(width) * F.pow(F.lit(_WIDER), F.col("_level")).cast("long")))
+    return both.where((F.col("_slice") == first) & (F.col("begins") < F.col("_ends")) & (F.col("_begins") < F.col("ends"))).drop("_slice", "_level", "_own", "_own_b")
 
 
 def first_use(evidence: DataFrame, changes: DataFrame, uses: DataFrame, width: int = 4096) -> DataFrame:
     """(repository, library, first_date, commit, how): the earliest (date, commit) among versions that show a library, in the lives that its evidence has come from.
 
     evidence: (repository, library, path, exact); uses: (repository, library, path, begins, ends, commit, date), versions of files with
-    how long they stayed, as `lattice.signs` finds them in their contents. Where no version shows it, the first commit that began
+    how long they stayed, as `shown` gives them. Where no version shows it, the first commit that began
     one of these lives counts (`fallback`), but not for evidence that is exact in all its paths (headers): a comment or a copy
     proves nothing, and the row stays undated. A file that was deleted and added again is dated by its last life's lineage alone.
     """
     alive = settled(lives(changes))
-    line = settled(lineage(evidence, alive))
+    line, uses = settled(lineage(evidence, alive)), settled(uses)
     by = ["repository", "library"]
     seen = overlapping(line, uses, [*by, "path"], width).select(*by, F.lit(0).alias("rank"), "date", "commit")
     loose = evidence.groupBy(*by).agg(F.bool_and(F.coalesce("exact", F.lit(False))).alias("exact"))
@@ -117,3 +136,9 @@ def versions(changes: DataFrame) -> DataFrame:
     marks = changes.withColumn("_gone", F.col("status") == "D").unionByName(away, allowMissingColumns=True)
     after = F.lead("position").over(W.partitionBy("repository", "path").orderBy("position", F.col("_gone").desc()))
     return marks.withColumn("ends", F.coalesce(after, F.lit(OPEN))).where("NOT _gone").withColumn("begins", F.col("position")).drop("_gone")
+
+
+def shown(changes: DataFrame, found: DataFrame) -> DataFrame:
+    """`found` with begins and ends: what is found in a version of a file (repository, path, position and more, as `lattice.signs` keeps them) shows until the next change of its path. Contents aren't sent: only what is found in them."""
+    stays = versions(changes.select("repository", "path", "position", "status", "old_path")).groupBy("repository", "path", "position").agg(F.max("ends").alias("ends"))
+    return found.join(stays, ["repository", "path", "position"]).withColumnRenamed("position", "begins")

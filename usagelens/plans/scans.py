@@ -72,9 +72,9 @@ SELECT repository, 'kit' AS library, DATE '2020-01-01' + CAST(p AS INT) AS first
 def first_use_history(spark, sf):
     """When each repository first showed a header, through renames; commented includes and lives before a deletion don't date."""
     changes = _in(spark, sf, _CHANGES.replace("CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) s", "LATERAL VIEW explode(array(0, 1, 2, 3)) s AS k")).withColumnRenamed("id", "commit")
-    files = history.versions(changes).select("repository", "path", "begins", "ends", "commit", "date", "content")
-    uses = lattice.signs(files, spark.createDataFrame([("kit", "header", "kit/core.h")], "library string, kind string, value string"), ["begins", "ends", "commit", "date"])
-    uses = uses.where(F.col("mask").bitwiseAND(lattice.INCLUDE) != 0).drop("mask", "operators")
+    files = changes.where("status <> 'D'").select("repository", "path", "position", "commit", "date", "content")
+    found = lattice.signs(files, spark.createDataFrame([("kit", "header", "kit/core.h")], "library string, kind string, value string"), ["position", "commit", "date"])
+    uses = history.shown(changes, found.where(F.col("mask").bitwiseAND(lattice.INCLUDE) != 0).drop("mask", "operators"))
     now = changes.groupBy("d", "repository").agg(F.max_by("path", "position").alias("path"))
     evidence = now.select("repository", F.lit("kit").alias("library"), "path", (F.col("d") % 7 != 0).alias("exact"))
     return history.first_use(evidence, changes.drop("content", "d"), uses, 8)
