@@ -225,3 +225,16 @@ def test_found_versions_show_until_the_next_change(spark):
     found = spark.createDataFrame([("r", "a", 0, "x"), ("r", "a", 2, "x"), ("r", "b", 5, "y")], "repository string, path string, position long, library string")
     got = history.shown(changes, found)
     assert sorted((r.path, r.begins, r.ends, r.library) for r in got.collect()) == [("a", 0, 2, "x"), ("a", 2, 5, "x"), ("b", 5, 7, "y")]
+
+
+@pytest.mark.parametrize("column", [lambda x: F.length(parsers.strip_comments(x)), lambda x: F.size(literals_in(x, ["x"]))])
+def test_texts_go_to_python_in_small_batches(spark, column):
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        sizes = F.pandas_udf(lambda s: s.map(lambda _: len(s)), "long")
+        texts = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("t"))
+        got = texts.select(column(F.col("t")).alias("n"), sizes("t").alias("rows")).agg(F.min("n"), F.max("rows")).first()
+        assert got[0] > 0 and got[1] <= 50  # 8 MB of 200 KB each
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
