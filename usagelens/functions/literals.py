@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import small_batches
+
 #: Bytes of a registry's strings that are sent to tasks at most.
 MOST_BYTES = 64 << 20
 _BEFORE, _AFTER = re.compile("[a-z0-9_]"), re.compile("[a-z0-9]")
@@ -51,7 +53,9 @@ def literals_in(x: Column, values: Iterable[str], whole: bool = False) -> Column
     low = sorted({v.lower() for v in values if v})
     if sum(len(v.encode()) for v in low) > MOST_BYTES:
         raise ValueError(f"a registry of more than {MOST_BYTES} bytes isn't sent to tasks: part it, and unite what the parts find")
-    sent = SparkSession.active().sparkContext.broadcast(pickle.dumps(low))
+    spark = SparkSession.active()
+    small_batches(spark)
+    sent = spark.sparkContext.broadcast(pickle.dumps(low))
 
     @F.pandas_udf("array<string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

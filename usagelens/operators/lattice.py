@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsers, text
 from ..functions.literals import Literals
+from ..session import small_batches
 from .detect import inside_roots, local_headers, without_local
 
 INCLUDE, IMPORT, MANIFEST, LINK, STRONG, BUNDLED, MENTION, CUDA = (1 << k for k in range(8))
@@ -146,6 +147,7 @@ def signs(files: DataFrame, signals: DataFrame, keep: Iterable[str] = (), roots:
     """
     keys = ["repository", "path", *keep]
     rows = _registry(signals)
+    small_batches(files.sparkSession)
     path, content = F.col("path"), F.col("content")
     fits = ~text.env_dump(path) & ~text.generated(path) & (F.length(content) > 0) & ~F.contains(F.substring(content, 1, 8192), F.lit("\x00"))
     manifest = F.lower(F.element_at(F.split(path, "/"), -1)).rlike(r"^(cmakelists\.txt|requirements.*\.txt)$")
