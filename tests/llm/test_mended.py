@@ -102,3 +102,21 @@ def test_groups_meet_whatever_plan_their_join_takes(spark):
     finally:
         for n, v in zip(names, before, strict=True):
             spark.conf.set(n, v)
+
+
+def test_index_files_hold_few_shards(spark, monkeypatch):
+    build, put, seen = search.build_index, search.staged, []
+
+    def staged(df, name, **kw):
+        out = put(df, name, **kw)
+        assert name != "hits" or df.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        if name == "index":
+            seen.extend(r["count"] for r in out.groupBy(F.input_file_name()).count().collect())
+        return out
+
+    monkeypatch.setattr(search, "build_index", lambda d: build(d.repartition(60, "doc_id")))
+    monkeypatch.setattr(search, "staged", staged)
+    docs = spark.createDataFrame([(i, f"w{i} w{i % 7} same") for i in range(60)], "doc_id long, text string")
+    hits = search.search(docs.select(F.col("doc_id").alias("q"), "text"), docs, k=2)
+    assert {r.q for r in hits.where("rank = 1 AND q = doc_id").collect()} == set(range(60))
+    assert sum(seen) > 20 and max(seen) <= search.SHARDS_A_FILE
