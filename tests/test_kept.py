@@ -1,6 +1,7 @@
 """Components kept from run to run, parity of nested documents, busy time, retention, snapshots that survive a crash at any step."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,3 +200,37 @@ def test_counts_and_dois_of_works(spark):
     got = {r.doi: (r.id, r.how) for r in discovery.works_by_doi(asked, there).collect()}
     assert got == {"10.1234/A": ("W1", "found"), "doi:10.1234/a": ("W1", "found"), "10.9999/none": (None, "missing"), "x": (None, "malformed"), None: (None, "malformed"), "10.5555/two": ("W2", "several")}
     assert discovery.works_by_doi(asked.limit(0), there).count() == 0 and discovery.work_counts(pages.limit(0)).count() == 0
+
+
+def test_parity_of_random_documents(spark):
+    rng = random.Random(12)
+    some = lambda: tuple({"id": rng.choice([1, 1, 2, 3, None]), "name": rng.choice(["x", "", None]), "tags": rng.choice([None, [], ["a"], ["b", "a", None], ["a", None, "b"]]), "files": rng.choice([None, [("p", 1)], [("p", 1), None], [None, ("p", 1)]]), "more": rng.choice([None, (1, None), (None, ("c",))]), "counts": rng.choice([None, {}, {"k": 1, "l": 2}, {"l": 2, "k": 1}])}.values())
+    a, b = ([some() for _ in range(30)] for _ in "ab")
+    b += a[:15] + a[:3]
+    left, right = spark.createDataFrame(a, NESTED), spark.createDataFrame(b, NESTED)
+    for sets in (set(), {"tags"}, {"tags", "files"}):
+        count = [Counter(map(tuple, parity.leaves(df, ["id"], sets).collect())) for df in (left, right)]
+        want = {}
+        for n, (x, y) in enumerate((count, count[::-1])):
+            for (key, path, value), k in (x - y).items():
+                want.setdefault((key, path), [[], []])[n] += [value] * k
+        lone = {key for key, path in want if not path}
+        want = {(*k, *("|".join(sorted(v)) if v else None for v in lr)) for k, lr in want.items() if k[0] not in lone or not k[1]}
+        assert {tuple(r)[1:] for r in parity.differences(left, right.select("counts", "id", "files", "more", "tags", "name"), ["id"], sets).collect()} == want and lone
+
+
+def test_parity_sends_documents_not_leaves(spark):
+    docs = spark.range(300).selectExpr("id", "transform(sequence(0, 199), i -> id * 1000 + i) AS items", "CAST(id % 9 AS STRING) AS name")
+    diff = parity.differences(docs, docs.withColumn("name", F.when(F.col("id") == 7, "other").otherwise(F.col("name"))), ["id"])
+    assert [tuple(r) for r in diff.collect()] == [("parity", '{"id":7}', "name", "7", "other")]
+    sent, plans = [], [diff._jdf.queryExecution().executedPlan()]
+    while plans:
+        p = plans.pop()
+        if p.nodeName() == "Exchange":
+            sent.append(p.metrics().apply("shuffleRecordsWritten").value())
+        if p.nodeName() == "AdaptiveSparkPlan":
+            plans.append(p.executedPlan())
+        elif "QueryStage" in p.nodeName():
+            plans.append(p.plan())
+        plans += [p.children().apply(i) for i in range(p.children().size())]
+    assert sent and sum(sent) < 1000
