@@ -80,6 +80,15 @@ def test_search_plan_of_unknown_and_huge_sizes(spark):
     assert discovery.search_plan(hits.limit(0), ["py"]).count() == 0
 
 
+def test_search_plan_makes_paths_of_sizes_not_of_hits(spark, monkeypatch):
+    plans, settled = [], discovery.settled
+    monkeypatch.setattr(discovery, "settled", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or settled(df))
+    hits = spark.range(60).selectExpr("'q' AS query", "'py' AS extension", "id % 4 AS size", "concat('r', id) AS repository", "concat('d', id % 2, '/', id, '.py') AS path")
+    plan = discovery.search_plan(hits, ["py"], 10, 7).collect()
+    assert sum(p.n for p in plan) == 60 and all(p.n <= 10 for p in plan)
+    assert any("lambda" in p for p in plans) and not [p for p in plans if "lambda" in p and "Range (0, 60" in p]
+
+
 def test_archives(spark):
     def tar(names):
         out = io.BytesIO()
